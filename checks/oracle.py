@@ -359,9 +359,28 @@ def oracle_sql() -> dict[str, str]:
         + ")",
         "stream_total_count": posts
         + _closed(_counts("posts", "topic, tweet_type", 0, "1 hour"), str(HOUR_MS), "posts"),
-        "stream_retweets_followers": posts
-        + _closed(_win_followers("1 hour", HOUR_MS), str(HOUR_MS), "posts"),
+        "stream_avg_retweets": posts
+        + _closed(_win_retweets("1 hour", HOUR_MS), str(HOUR_MS), "posts"),
+        "stream_popular_top": posts + _closed(_users(TOP), str(DAY_MS), "posts"),
+        "stream_cmp_hashtag": tags
+        + _closed(
+            _in(
+                _after(_counts("tags", "hashtag, topic", 0, "1 day"), SPLIT, "tags"),
+                _before(_top("tags", "hashtag", 10, "hashtag, topic"), SPLIT, "tags"),
+                "hashtag",
+            ),
+            str(DAY_MS), "posts",
+        ),
+        "stream_pred_avg_retweets": "WITH RECURSIVE " + POSTS + ","
+        + _smoothed(
+            _closed(_win_retweets("1 hour", HOUR_MS), str(HOUR_MS), "posts"),
+            AVG_RETWEETS, "retweets", "CAST(trunc(({p} + {x}) / 2) AS INTEGER)",
+        ),
+        "stream_pred_retweets_followers": posts.rstrip() + ","
+        + LINE.replace(
+            "{series}", _closed(_win_followers("1 hour", HOUR_MS), str(HOUR_MS), "posts")
+        ),
         "stream_hashtag_count": tags
-        + _closed(_counts("tags", "hashtag, topic", 1, "1 day"), str(DAY_MS), "tags"),
+        + _closed(_counts("tags", "hashtag, topic", 1, "1 day"), str(DAY_MS), "posts"),
     }
     return sql

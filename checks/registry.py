@@ -11,10 +11,11 @@ from postpulse.functions import text as tx
 from postpulse.functions.numeric import millis
 from postpulse.functions.topics import route_topics
 from postpulse.operators import compare, metrics, predict, topn
-from postpulse.operators.sentiment import sentiment_by_join
-from postpulse.schema import ORIGINAL
 from postpulse.sources import baselines, raw, tables
+from postpulse.plans.batch import stage
 from postpulse.streaming.documents import documents
+from postpulse.streaming.stateful import stream_line, stream_smoothed
+from postpulse.streaming.windows import event_time, run_to_table
 
 from .oracle import DOC_SPLIT, LEXICON, SPLIT
 
@@ -22,6 +23,9 @@ DAY, HOUR = "1 day", "1 hour"
 # Baseline period of the event posts: 1 to 16 January 2024, in day windows.
 BASELINE_WINDOWS = baselines.windows_between(1704067200000, 1705363200000, 86_400_000)
 
+# Streams here keep state per topic, type or tag and window: little of it.
+STATE_PARTITIONS = 8
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -115,10 +119,7 @@ def pred_retweets_followers(spark: SparkSession, sf: str) -> DataFrame:
 def sentiment_lexicon_table(spark: SparkSession, sf: str) -> DataFrame:
     pairs = [F.lit(item) for pair in LEXICON.items() for item in pair]
     lexicon = spark.range(1).select(F.explode(F.create_map(*pairs)).alias("word", "weight"))
-    posts = tables.document_posts(spark, sf).filter(
-        (F.col("text") != "") & (F.col("tweet_type") == ORIGINAL)
-    )
-    return metrics.count_by(sentiment_by_join(posts, lexicon), None, ["sentiment", "topic"])
+    return metrics.sentiment_count(tables.document_posts(spark, sf), lexicon)
 
 
 def topic_route(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,6 +169,51 @@ def json_documents(spark: SparkSession, sf: str) -> DataFrame:
     return documents(metrics.hashtag_count(tables.posts(spark, sf), DAY), "hashtag")
 
 
+def _streamed(spark: SparkSession, sf: str) -> DataFrame:
+    return event_time(tables.event_posts(tables.stream_events(spark, sf), sf))
+
+
+def stream_total_count(spark: SparkSession, sf: str) -> DataFrame:
+    rows = metrics.total_count(_streamed(spark, sf), HOUR)
+    return _plain(run_to_table(rows, "stream_total_count", partitions=STATE_PARTITIONS))
+
+
+def stream_avg_retweets(spark: SparkSession, sf: str) -> DataFrame:
+    rows = metrics.avg_retweets(_streamed(spark, sf), HOUR)
+    return _plain(run_to_table(rows, "stream_avg_retweets", partitions=STATE_PARTITIONS))
+
+
+def stream_hashtag_count(spark: SparkSession, sf: str) -> DataFrame:
+    rows = metrics.hashtag_count(_streamed(spark, sf), DAY)
+    return _plain(run_to_table(rows, "stream_hashtag_count", partitions=STATE_PARTITIONS))
+
+
+def stream_popular_top(spark: SparkSession, sf: str) -> DataFrame:
+    rows = metrics.popular_user(_streamed(spark, sf), DAY, "followers")
+    return _plain(run_to_table(rows, "stream_popular_top", partitions=STATE_PARTITIONS))
+
+
+def stream_cmp_hashtag(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream-static: the stream's windows against the stored top tags."""
+    stored, _ = _event_halves(spark, sf)
+    live = tables.stream_events(spark, sf).filter(F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz"))
+    tags = metrics.hashtag_count(event_time(tables.event_posts(live, sf)), DAY, more_than=0)
+    rows = compare.compare_hashtag(tags, stage(topn.top_hashtags(stored), "top_hashtags"))
+    return _plain(run_to_table(rows, "stream_cmp_hashtag", partitions=STATE_PARTITIONS))
+
+
+def stream_pred_avg_retweets(spark: SparkSession, sf: str) -> DataFrame:
+    seeds = stage(metrics.avg_retweets(tables.posts(spark, sf)), "seeds")
+    series = metrics.avg_retweets(_streamed(spark, sf), HOUR)
+    rows = stream_smoothed(series, seeds, "retweets")
+    return _plain(run_to_table(rows, "stream_pred_avg_retweets", partitions=STATE_PARTITIONS))
+
+
+def stream_pred_retweets_followers(spark: SparkSession, sf: str) -> DataFrame:
+    rows = stream_line(metrics.retweets_followers(_streamed(spark, sf), HOUR))
+    return _plain(run_to_table(rows, "stream_pred_retweets_followers", partitions=STATE_PARTITIONS))
+
+
 QUERIES: dict[str, Query] = {
     "total_count": _posts(metrics.total_count),
     "topic_count": _posts(metrics.topic_count),
@@ -213,4 +259,11 @@ QUERIES: dict[str, Query] = {
     "parse_roundtrip": parse_roundtrip,
     "source_filter": source_filter,
     "json_documents": json_documents,
+    "stream_total_count": stream_total_count,
+    "stream_avg_retweets": stream_avg_retweets,
+    "stream_hashtag_count": stream_hashtag_count,
+    "stream_popular_top": stream_popular_top,
+    "stream_cmp_hashtag": stream_cmp_hashtag,
+    "stream_pred_avg_retweets": stream_pred_avg_retweets,
+    "stream_pred_retweets_followers": stream_pred_retweets_followers,
 }

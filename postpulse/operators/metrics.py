@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import millis, truncated_mean
 from ..functions.text import hashtag, is_counted_word, source_app, tokens, utf16_length
 from ..schema import ORIGINAL, RETWEET
-from .sentiment import sentiment_label
+from .sentiment import sentiment_by_join, sentiment_label
 
 WINDOW = "60 seconds"
 
@@ -199,11 +199,16 @@ def source_count(posts: DataFrame, window: str | None = None, more_than: int | N
 
 
 def sentiment_count(
-    posts: DataFrame, lexicon: dict[str, int], window: str | None = None
+    posts: DataFrame, lexicon: dict[str, int] | DataFrame, window: str | None = None
 ) -> DataFrame:
-    """Sentiment labels per topic over non-empty original posts."""
+    """Sentiment labels per topic over non-empty original posts. A lexicon is
+    inlined when given as a dict and joined when given as a table."""
     rows = posts.filter((F.col("text") != "") & (F.col("tweet_type") == ORIGINAL))
-    labelled = rows.select("ts", "topic", sentiment_label(F.col("text"), lexicon).alias("sentiment"))
+    if isinstance(lexicon, DataFrame):
+        labelled = sentiment_by_join(rows, lexicon)
+    else:
+        label = sentiment_label(F.col("text"), lexicon).alias("sentiment")
+        labelled = rows.select("ts", "topic", label)
     return count_by(labelled, window, ["sentiment", "topic"])
 
 

@@ -16,7 +16,7 @@ def read_stored(
         spark.read.schema(STORED[metric])
         .option("sep", sep)
         .option("header", header)
-        .option("quote", "")
+        .option("escape", '"')
         .csv(path)
     )
 
