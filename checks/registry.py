@@ -12,7 +12,7 @@ from postpulse.functions.numeric import millis
 from postpulse.functions.topics import route_topics
 from postpulse.operators import compare, metrics, predict, topn
 from postpulse.sources import baselines, raw, tables
-from postpulse.plans.batch import stage
+from postpulse.session import stage
 from postpulse.streaming.documents import documents
 from postpulse.streaming.stateful import stream_line, stream_smoothed
 from postpulse.streaming.windows import event_time, run_to_table

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.topics import ELECTION_TOPICS, TopicRules
 from ..operators import metrics, topn
 from ..schema import STORED
-from ..session import cut_lineage, scratch_path
+from ..session import cut_lineage, stage
 from ..sources.raw import parse_limits, parse_posts, read_lines
 from ..streaming.sinks import write_csv
 
@@ -40,13 +40,6 @@ SMALL = {
 }
 
 
-def stage(rows: DataFrame, label: str) -> DataFrame:
-    """Rows stored once in the shared folder and read back, for several users."""
-    path = scratch_path(rows.sparkSession, label)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def results(
     posts: DataFrame,
     lexicon: dict[str, int],

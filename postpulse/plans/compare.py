@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import compare, metrics
+from ..session import stage
 from ..sources.baselines import one_per_key, per_window, read_stored
 from ..streaming.documents import COMPARE_INDEX
 from ..streaming.sinks import Output, start_documents
@@ -19,7 +20,7 @@ def load_baselines(spark: SparkSession, folder: str, windows: int) -> dict[str,
     def stored(name: str) -> DataFrame:
         return read_stored(spark, f"{folder}/{FILES[name]}", name)
 
-    return {
+    base = {
         "avg_retweets": one_per_key(stored("avg_retweets"), ["topic"], "last"),
         "avg_length": one_per_key(stored("avg_length"), ["topic"], "last"),
         "total_count": per_window(
@@ -31,6 +32,8 @@ def load_baselines(spark: SparkSession, folder: str, windows: int) -> dict[str,
         "hashtag": stored("hashtag_topn"),
         "word": stored("word_topn"),
     }
+    # Stored once more, so that micro-batches do not each repeat this.
+    return {metric: stage(rows, f"baseline_{metric}") for metric, rows in base.items()}
 
 
 def compared(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import metrics
+from ..session import stage
 from ..sources.baselines import one_per_key, read_stored
 from ..streaming.documents import PREDICT_INDEX
 from ..streaming.sinks import start_documents
@@ -43,7 +44,8 @@ def run(
     spark = posts.sparkSession
 
     def seeds(name: str) -> DataFrame:
-        return one_per_key(read_stored(spark, f"{baselines}/{FILES[name]}", name), ["topic"], "last")
+        stored = read_stored(spark, f"{baselines}/{FILES[name]}", name)
+        return stage(one_per_key(stored, ["topic"], "last"), name)
 
     streams = predicted(
         event_time(posts, delay, time_domain), seeds("avg_retweets"), seeds("avg_length"), window

@@ -56,3 +56,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     read it instead of repeating the scan behind it."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(rows: DataFrame, label: str) -> DataFrame:
+    """Rows stored once in the shared folder and read back, for several users.
+
+    Read back from files they have a known size, by which Spark decides
+    whether to broadcast them.
+    """
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
