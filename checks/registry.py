@@ -50,8 +50,8 @@ def _event_halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     events = tables.events(spark, sf)
     split = F.lit(SPLIT).cast("timestamp_ntz")
     return (
-        tables.event_posts(events.filter(F.col("ts") < split), sf),
-        tables.event_posts(events.filter(F.col("ts") >= split), sf),
+        tables.posts(spark, sf, events.filter(F.col("ts") < split)),
+        tables.posts(spark, sf, events.filter(F.col("ts") >= split)),
     )
 
 
@@ -137,7 +137,7 @@ def source_anchor(spark: SparkSession, sf: str) -> DataFrame:
 
 def text_clean(spark: SparkSession, sf: str) -> DataFrame:
     text = F.col("text")
-    return tables.table(spark, sf, "documents").select(
+    return tables.documents(spark, sf).select(
         "doc_id",
         tx.clean_text(text).alias("cleaned"),
         tx.ascii_only(text).alias("ascii"),
@@ -170,7 +170,7 @@ def json_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, sf: str) -> DataFrame:
-    return event_time(tables.event_posts(tables.stream_events(spark, sf), sf))
+    return event_time(tables.posts(spark, sf, tables.stream_events(spark, sf)))
 
 
 def stream_total_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -197,7 +197,7 @@ def stream_cmp_hashtag(spark: SparkSession, sf: str) -> DataFrame:
     """Stream-static: the stream's windows against the stored top tags."""
     stored, _ = _event_halves(spark, sf)
     live = tables.stream_events(spark, sf).filter(F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz"))
-    tags = metrics.hashtag_count(event_time(tables.event_posts(live, sf)), DAY, more_than=0)
+    tags = metrics.hashtag_count(event_time(tables.posts(spark, sf, live)), DAY, more_than=0)
     rows = compare.compare_hashtag(tags, stage(topn.top_hashtags(stored), "top_hashtags"))
     return _plain(run_to_table(rows, "stream_cmp_hashtag", partitions=STATE_PARTITIONS))
 

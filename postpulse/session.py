@@ -51,6 +51,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/postpulse/{label}-{uuid.uuid4().hex}"
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores where the files alone give fewer tasks: one small
+    file, or a few that cannot be split. Larger inputs are left as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.isStreaming or rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store a small intermediate result reliably, so that the steps after it
     read it instead of repeating the scan behind it."""

@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens
 from ..functions.topics import ELECTION_TOPICS, TopicRules, route_topics
 from ..schema import ORIGINAL, RAW_POST, REPLY, RETWEET
+from ..session import spread
 
 # How a post line starts, and the whole of a limit notice.
 POST_PREFIX = '{"cre'
@@ -21,7 +21,7 @@ CREATED_AT = "MMM dd HH:mm:ss Z yyyy"
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Bounded scan of a file or folder of lines."""
-    return spark.read.text(path).select("value")
+    return spread(spark.read.text(path).select("value"))
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -137,29 +137,22 @@ def select_posts(
     kept = posts
     if wanted := _items(langs):
         kept = kept.filter(F.col("lang").isin(*wanted))
-    tests = []
+    found = None
     if phrases := _items(terms):
-        words = F.array_union(
-            tokens(F.concat_ws(" ", "text", "links")),
-            F.transform("hashtags", lambda tag: F.lower(tag)),
-        )
-        has_phrase = [
-            F.forall(
-                F.array(*[F.lit(word) for word in phrase.lower().split()]),
-                lambda word: F.array_contains(F.col("_words"), word),
-            )
-            for phrase in phrases
-        ]
-        kept = kept.withColumn("_words", words)
-        tests += has_phrase
+        searched = F.lower(F.concat_ws(" ", "text", "links", F.array_join("hashtags", " ")))
+        found = searched.rlike(_any_phrase(phrases))
     if ids := _items(users):
-        tests.append(F.col("user_id").isin(*[int(user) for user in ids]))
-    if tests:
-        anything = tests[0]
-        for test in tests[1:]:
-            anything = anything | test
-        kept = kept.filter(anything)
-    return kept.drop("_words")
+        listed = F.col("user_id").isin(*[int(user) for user in ids])
+        found = listed if found is None else found | listed
+    return kept if found is None else kept.filter(found)
+
+
+def _any_phrase(phrases: list[str]) -> str:
+    """One pattern for all phrases, so that a text is prepared and read once:
+    some phrase has each of its words, in any order, as a whole word."""
+    whole = r"(?=.*?(?<!\w)\Q{}\E(?!\w))"
+    each = ("".join(whole.format(word) for word in phrase.lower().split()) for phrase in phrases)
+    return r"(?s)\A(?:" + "|".join(each) + ")"
 
 
 def _items(comma_list: str) -> list[str]:

@@ -1,17 +1,17 @@
 """Post rows derived from general event and document tables.
 
-Three mappings: ``event_posts`` (one post per event), ``document_posts`` (one
-post per document, with its whole text) and ``raw_lines`` (document posts and
-limit notices in the collector's line format, mixed with junk).
+Three mappings: ``posts`` (one post per event), ``document_posts`` (one post
+per document, with its whole text) and ``raw_lines`` (document posts and limit
+notices in the collector's line format, mixed with junk).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.topics import TopicRules, route_topics
-from ..schema import ORIGINAL, REPLY, RETWEET
+from ..session import spread, stage
 
 # Needles that occur in the table texts.
 TABLE_TOPICS = TopicRules(
@@ -19,14 +19,17 @@ TABLE_TOPICS = TopicRules(
     default="other",
 )
 
-EVENT_COLUMNS = (
-    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
-    "value DOUBLE, props STRING"
-)
+SCHEMAS = {
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+        "value DOUBLE, props STRING"
+    ),
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,135 +38,137 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        spark.readStream.schema(EVENT_COLUMNS)
+        spark.readStream.schema(SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )
 
 
-def event_posts(event_rows: DataFrame, sf_dir: str) -> DataFrame:
-    """Post rows without texts: each document is reduced to its topic before
-    the join, so no text travels through a shuffle."""
-    documents = table(event_rows.sparkSession, sf_dir, "documents")
-    labelled = route_topics(documents, TABLE_TOPICS, F.col("text")).select(
-        "doc_id", "topic", "lang", F.col("source").alias("doc_source")
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
+def document_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document reduced to its topic, language and source.
+
+    Partitioned by document, which the join with events needs anyway: without
+    that exchange Spark would put off the topic rules into the join and apply
+    them again for every event of a document.
+    """
+    return (
+        route_topics(table(spark, sf_dir, "documents"), TABLE_TOPICS, F.col("text"))
+        .select("doc_id", "topic", "lang", F.col("source").alias("doc_source"))
+        .repartition("doc_id")
     )
-    # Row count from the file footers.
-    n_documents = documents.count()
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    posts = (
-        event_rows.withColumn("doc_id", F.col("event_id") % F.lit(n_documents))
-        .withColumn("k", k)
-        .join(labelled, "doc_id")
-        .withColumn(
-            "tweet_type",
-            F.when(F.col("event_type").isin("view", "click"), RETWEET)
-            .when(F.col("event_type") == "error", REPLY)
-            .otherwise(ORIGINAL),
+
+
+def event_posts(event_rows: DataFrame, topics: DataFrame, n_documents: Column) -> DataFrame:
+    """Post rows without texts: event ``i`` is about document ``i`` modulo
+    their number. Only the documents' topics travel through the join."""
+    joined = (
+        event_rows.withColumn("_n", n_documents)
+        .selectExpr(
+            "*",
+            "event_id % _n AS doc_id",
+            "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+            """CASE WHEN event_type IN ('view', 'click') THEN 'Retweet'
+                    WHEN event_type = 'error' THEN 'Reply' ELSE 'Original Tweet' END
+               AS tweet_type""",
+            "CONCAT('u', CAST(user_id * 7 % 150 AS STRING)) AS author",
         )
+        .join(topics, "doc_id")
     )
-    shared = F.col("tweet_type") == RETWEET
-    author = F.concat(F.lit("u"), (F.col("user_id") * 7 % 150).cast("string"))
-    anchor = F.format_string(
-        '<a href="https://x.example/%s" rel="nofollow">%s</a>', "doc_source", "doc_source"
-    )
-    tags = (
-        F.when(F.col("k") % 3 == 1, F.array(F.upper("lang")))
-        .when(F.col("k") % 3 == 2, F.array(F.upper("lang"), F.col("doc_source")))
-        .otherwise(F.array().cast("array<string>"))
-    )
-    return posts.select(
-        F.col("event_id").alias("id"),
-        F.col("ts").cast("timestamp").alias("ts"),
+    return joined.selectExpr(
+        "event_id AS id",
+        "CAST(ts AS TIMESTAMP) AS ts",
         "topic",
         "tweet_type",
-        shared.alias("retweet"),
+        "tweet_type = 'Retweet' AS retweet",
         "lang",
-        F.when(F.col("k") % 10 == 0, "").when(F.col("k") % 10 == 1, "web").otherwise(anchor).alias("source"),
-        F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("account_name"),
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("screen_name"),
+        """CASE WHEN k % 10 = 0 THEN '' WHEN k % 10 = 1 THEN 'web'
+                ELSE CONCAT('<a href="https://x.example/', doc_source, '" rel="nofollow">',
+                            doc_source, '</a>') END AS source""",
+        "CONCAT('User ', CAST(user_id AS STRING)) AS account_name",
+        "CONCAT('u', CAST(user_id AS STRING)) AS screen_name",
         "user_id",
-        (F.col("user_id") * 10 + F.col("k")).alias("followers"),
-        F.concat(F.lit("https://x.example/img/"), F.col("user_id").cast("string")).alias("img_url"),
-        tags.alias("hashtags"),
-        F.when(shared, F.concat(F.lit("Author "), author)).otherwise("").alias("retweet_account_name"),
-        F.when(shared, author).otherwise("").alias("retweet_screen_name"),
-        F.when(shared, F.floor(F.col("value") * 10)).otherwise(0).cast("bigint").alias("retweet_num_retweets"),
-        F.when(shared, F.col("k") * 100 + F.col("user_id")).otherwise(0).alias("retweet_followers"),
-        F.when(shared, F.concat(F.lit("https://x.example/img/"), author)).otherwise("").alias("retweet_img_url"),
+        "user_id * 10 + k AS followers",
+        "CONCAT('https://x.example/img/', CAST(user_id AS STRING)) AS img_url",
+        """CASE WHEN k % 3 = 1 THEN array(upper(lang))
+                WHEN k % 3 = 2 THEN array(upper(lang), doc_source)
+                ELSE CAST(array() AS ARRAY<STRING>) END AS hashtags""",
+        "IF(tweet_type = 'Retweet', CONCAT('Author ', author), '') AS retweet_account_name",
+        "IF(tweet_type = 'Retweet', author, '') AS retweet_screen_name",
+        "IF(tweet_type = 'Retweet', FLOOR(value * 10), 0L) AS retweet_num_retweets",
+        "IF(tweet_type = 'Retweet', k * 100 + user_id, 0L) AS retweet_followers",
+        """IF(tweet_type = 'Retweet', CONCAT('https://x.example/img/', author), '')
+           AS retweet_img_url""",
     )
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_posts(events(spark, sf_dir), sf_dir)
+def posts(spark: SparkSession, sf_dir: str, event_rows: DataFrame | None = None) -> DataFrame:
+    """One post per event; ``event_rows`` narrows the events."""
+    rows = events(spark, sf_dir) if event_rows is None else event_rows
+    topics = document_topics(spark, sf_dir)
+    # Answered from the file footers.
+    counted = table(spark, sf_dir, "documents").select(F.count(F.lit(1)))
+    if rows.isStreaming:
+        # Micro-batches read small stored results instead of all texts again.
+        return event_posts(rows, stage(topics, "topics"), F.lit(counted.first()[0]))
+    return event_posts(rows, topics, counted.scalar())
 
 
 def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One post per document, a minute apart, with the whole text."""
-    documents = route_topics(table(spark, sf_dir, "documents"), TABLE_TOPICS, F.col("text"))
-    kind = F.col("doc_id") % 3
-    return documents.select(
-        F.col("doc_id").alias("id"),
-        F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 60).alias("ts"),
+    routed = route_topics(documents(spark, sf_dir), TABLE_TOPICS, F.col("text"))
+    return routed.selectExpr(
+        "doc_id AS id",
+        "timestamp_seconds(1704067200 + doc_id * 60) AS ts",
         "topic",
-        F.when(kind == 0, RETWEET).when(kind == 1, REPLY).otherwise(ORIGINAL).alias("tweet_type"),
-        (kind == 0).alias("retweet"),
+        """CASE doc_id % 3 WHEN 0 THEN 'Retweet' WHEN 1 THEN 'Reply'
+                ELSE 'Original Tweet' END AS tweet_type""",
+        "doc_id % 3 = 0 AS retweet",
         "text",
         "lang",
         "source",
-        F.col("n_chars"),
+        "n_chars",
     )
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a raw post line, every event as a limit notice or junk."""
-    row = document_posts(spark, sf_dir)
-    user = F.struct(
-        F.col("id").alias("id"),
-        F.concat(F.lit("User "), F.col("id").cast("string")).alias("name"),
-        F.concat(F.lit("u"), (F.col("id") % 150).cast("string")).alias("screen_name"),
-        F.col("n_chars").alias("followers_count"),
-        (F.col("id") % 2 == 0).alias("verified"),
-    )
-    original = F.struct(
-        (F.col("id") + 1000000).alias("id"),
-        F.col("text"),
-        (F.col("n_chars") % 97).alias("retweet_count"),
-        F.struct(
-            F.lit("Author").alias("name"),
-            F.col("source").alias("screen_name"),
-            (F.col("n_chars") * 3).alias("followers_count"),
-        ).alias("user"),
+    post_lines = documents(spark, sf_dir).selectExpr(
+        """to_json(named_struct(
+             'created_at', date_format(timestamp_seconds(1704067200 + doc_id * 60),
+                                       'EEE MMM dd HH:mm:ss Z yyyy'),
+             'id', doc_id,
+             'text', IF(doc_id % 3 = 0, CONCAT('RT ', substring(text, 1, 5)), text),
+             'source', CONCAT('<a href="https://x.example/', source, '">', source, '</a>'),
+             'lang', lang,
+             'in_reply_to_status_id', IF(doc_id % 3 = 1, doc_id + 1, NULL),
+             'user', named_struct(
+               'id', doc_id,
+               'name', CONCAT('User ', CAST(doc_id AS STRING)),
+               'screen_name', CONCAT('u', CAST(doc_id % 150 AS STRING)),
+               'followers_count', n_chars,
+               'verified', doc_id % 2 = 0),
+             'entities', named_struct(
+               'urls', array(named_struct('expanded_url', CONCAT('https://x.example/', source))),
+               'hashtags', array(named_struct('text', upper(lang)), named_struct('text', source))),
+             'retweeted_status', IF(doc_id % 3 = 0, named_struct(
+               'id', doc_id + 1000000,
+               'text', text,
+               'retweet_count', n_chars % 97,
+               'user', named_struct('name', 'Author', 'screen_name', source,
+                                    'followers_count', n_chars * 3)), NULL)
+           )) AS value"""
     )
-    line = F.to_json(
-        F.struct(
-            F.date_format("ts", "EEE MMM dd HH:mm:ss Z yyyy").alias("created_at"),
-            F.col("id"),
-            F.when(F.col("retweet"), F.concat(F.lit("RT "), F.substring("text", 1, 5)))
-            .otherwise(F.col("text"))
-            .alias("text"),
-            F.format_string('<a href="https://x.example/%s">%s</a>', "source", "source").alias("source"),
-            F.col("lang"),
-            F.when(F.col("tweet_type") == REPLY, F.col("id") + 1).alias("in_reply_to_status_id"),
-            user.alias("user"),
-            F.struct(
-                F.array(F.struct(F.concat(F.lit("https://x.example/"), F.col("source")).alias("expanded_url"))).alias("urls"),
-                F.array(F.struct(F.upper("lang").alias("text")), F.struct(F.col("source").alias("text"))).alias("hashtags"),
-            ).alias("entities"),
-            F.when(F.col("retweet"), original).alias("retweeted_status"),
-        )
-    )
-    posts_as_lines = row.select(line.alias("value"))
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    event_lines = events(spark, sf_dir).select(
-        F.when(
-            F.col("event_type") == "error",
-            F.format_string('{"limit":{"track":%d,"timestamp_ms":"%d"}}', "user_id", ms),
-        )
-        .when(F.col("event_type") == "view", F.lit('{"created_at":"not a date","user":{"id":1}}'))
-        .when(F.col("event_type") == "click", F.lit('{"created_at":"Sun Oct 27 19:09'))
-        .when(F.col("event_type") == "signup", F.lit(""))
-        .otherwise(F.format_string('{"id":%d}', "event_id"))
-        .alias("value")
+    event_lines = events(spark, sf_dir).selectExpr(
+        """CASE event_type
+             WHEN 'error' THEN CONCAT('{"limit":{"track":', CAST(user_id AS STRING),
+               ',"timestamp_ms":"', CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING), '"}}')
+             WHEN 'view' THEN '{"created_at":"not a date","user":{"id":1}}'
+             WHEN 'click' THEN '{"created_at":"Sun Oct 27 19:09'
+             WHEN 'signup' THEN ''
+             ELSE CONCAT('{"id":', CAST(event_id AS STRING), '}') END AS value"""
     )
-    return posts_as_lines.unionByName(event_lines)
+    return post_lines.unionByName(event_lines)
