@@ -98,17 +98,16 @@ def cmp_word(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pred_avg_retweets(spark: SparkSession, sf: str) -> DataFrame:
-    posts = tables.posts(spark, sf)
-    return _plain(
-        predict.predict_avg_retweets(metrics.avg_retweets(posts, HOUR), metrics.avg_retweets(posts))
-    )
+    # One pass over the posts: the seeds follow from the windows.
+    summary = stage(metrics.topic_summary(tables.posts(spark, sf), HOUR), "summary")
+    seeds = metrics.avg_retweets_of(metrics.whole_of(summary))
+    return _plain(predict.predict_avg_retweets(metrics.avg_retweets_of(summary), seeds))
 
 
 def pred_avg_length(spark: SparkSession, sf: str) -> DataFrame:
-    posts = tables.document_posts(spark, sf)
-    return _plain(
-        predict.predict_avg_length(metrics.avg_length(posts, HOUR), metrics.avg_length(posts))
-    )
+    summary = stage(metrics.topic_summary(tables.document_posts(spark, sf), HOUR), "summary")
+    seeds = metrics.avg_length_of(metrics.whole_of(summary))
+    return _plain(predict.predict_avg_length(metrics.avg_length_of(summary), seeds))
 
 
 def pred_retweets_followers(spark: SparkSession, sf: str) -> DataFrame:

@@ -76,6 +76,16 @@ def topic_summary(posts: DataFrame, window: str | None = None) -> DataFrame:
     return _aggregate(posts, window, ["topic", "tweet_type"], *aggs)
 
 
+def whole_of(summary: DataFrame) -> DataFrame:
+    """The summary of all windows together, from the summary per window."""
+    merge = {"first_ts": F.min, "first_text_ts": F.min}
+    sums = [name for name in summary.columns if name not in ("window_start", "window_end")]
+    keys = ["topic", "tweet_type"]
+    return summary.groupBy(*keys).agg(
+        *[merge.get(name, F.sum)(name).alias(name) for name in sums if name not in keys]
+    )
+
+
 def total_count_of(summary: DataFrame) -> DataFrame:
     return summary.select(
         *_starts(summary), millis(F.col("first_ts")).alias("timestamp"), "topic", "tweet_type",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import INT_MAX, INT_MIN, saturating_int
-from ..session import cut_lineage
+from ..session import stage
 
 # Fixed value: marks predicted rows.
 SUFFIX = "#prediction"
@@ -50,7 +50,7 @@ def predict_retweets_followers(series: DataFrame) -> DataFrame:
     f = F.col("followers").cast("decimal(10,0)")
     r = F.col("retweets").cast("decimal(10,0)")
     summed = running_totals(
-        cut_lineage(series), {"_n": F.lit(1), "_f": f, "_r": r, "_ff": f * f, "_fr": f * r}
+        stage(series, "series"), {"_n": F.lit(1), "_f": f, "_r": r, "_ff": f * f, "_fr": f * r}
     )
     predicted = line_at(
         *[F.col(name).cast("decimal(38,0)") for name in ("_n", "_f", "_r", "_ff", "_fr")],
@@ -122,7 +122,7 @@ def _smoothed(
     if piece < 33:
         raise ValueError("a piece needs at least 33 windows")
     seeded = series.join(seeds.select("topic", F.col(value).cast("int").alias("_seed")), "topic")
-    ranked = running_totals(cut_lineage(seeded), {"_rank": F.lit(1)})
+    ranked = running_totals(stage(seeded, "series"), {"_rank": F.lit(1)})
     pieces = (
         ranked.withColumn("_piece", F.floor(F.col("_rank") / piece))
         .groupBy("topic", "_piece")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, tokens
@@ -15,6 +15,16 @@ POSITIVE, NEGATIVE, NEUTRAL, ERROR = "POSITIVE", "NEGATIVE", "NEUTRAL", "ERROR"
 MAX_INLINE_WORDS = 10_000
 
 
+def read_lexicon(spark: SparkSession, path: str) -> dict[str, int] | DataFrame:
+    """A ``word;weight`` file: a dict while small enough to inline, else a table."""
+    lexicon = (
+        spark.read.schema("word STRING, weight INT").option("sep", ";").csv(path)
+        .dropDuplicates(["word"])
+    )
+    head = lexicon.take(MAX_INLINE_WORDS + 1)
+    return lexicon if len(head) > MAX_INLINE_WORDS else {row.word: row.weight for row in head}
+
+
 def label_of(score: Column, cleaned: Column) -> Column:
     return (
         F.when(F.trim(cleaned) == "", ERROR)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.topics import ELECTION_TOPICS, TopicRules
 from ..operators import metrics, topn
 from ..schema import STORED
-from ..session import cut_lineage, stage
+from ..session import stage
 from ..sources.raw import parse_limits, parse_posts, read_lines
 from ..streaming.sinks import write_csv
 
@@ -42,13 +42,13 @@ SMALL = {
 
 def results(
     posts: DataFrame,
-    lexicon: dict[str, int],
+    lexicon: dict[str, int] | DataFrame,
     words: int = topn.TOP_WORDS,
     hashtags: int = topn.TOP_HASHTAGS,
     sources: int = topn.TOP_SOURCES,
 ) -> dict[str, DataFrame]:
     """All batch results by metric name, in stored column order."""
-    summary = cut_lineage(metrics.topic_summary(posts))
+    summary = stage(metrics.topic_summary(posts), "summary")
     all_words = stage(metrics.word_count(posts, more_than=0), "words")
     all_tags = stage(metrics.hashtag_count(posts, more_than=0), "hashtags")
     all_apps = stage(metrics.source_count(posts, more_than=0), "sources")
@@ -78,7 +78,7 @@ def run(
     spark: SparkSession,
     source: str,
     output: str,
-    lexicon: dict[str, int],
+    lexicon: dict[str, int] | DataFrame,
     rules: TopicRules = ELECTION_TOPICS,
 ) -> None:
     lines = read_lines(spark, source)

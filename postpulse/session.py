@@ -41,8 +41,6 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         named = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
     return named
 
 
@@ -52,26 +50,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores where the files alone give fewer tasks: one small
-    file, or a few that cannot be split. Larger inputs are left as they are."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.isStreaming or rows.rdd.getNumPartitions() >= cores:
+    """Rows over all cores where the files alone keep at most half of them
+    busy: one small file, or a few that cannot be split. Inputs of many files
+    are left as they are, so nothing large is shuffled for this."""
+    if rows.isStreaming:
         return rows
-    return rows.repartition(cores)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store a small intermediate result reliably, so that the steps after it
-    read it instead of repeating the scan behind it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() * 2 <= cores else rows
 
 
 def stage(rows: DataFrame, label: str) -> DataFrame:
     """Rows stored once in the shared folder and read back, for several users.
 
-    Read back from files they have a known size, by which Spark decides
-    whether to broadcast them.
+    It cuts the lineage like a checkpoint: what comes after does not repeat the
+    scan behind it, and a lost executor costs nothing already stored. Unlike a
+    checkpoint the rows keep a known size, by which Spark decides whether to
+    broadcast them, and readers take only the columns they need.
     """
     path = scratch_path(rows.sparkSession, label)
     rows.write.parquet(path)

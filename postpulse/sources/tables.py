@@ -51,9 +51,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document reduced to its topic, language and source.
 
-    Partitioned by document, which the join with events needs anyway: without
-    that exchange Spark would put off the topic rules into the join and apply
-    them again for every event of a document.
+    Partitioned by document, which the join with events needs at scale anyway:
+    without that exchange Spark would put the topic rules off into the join and
+    apply them again for every event of a document. No document can be hot
+    there, as ``event_posts`` deals the events out evenly.
     """
     return (
         route_topics(table(spark, sf_dir, "documents"), TABLE_TOPICS, F.col("text"))

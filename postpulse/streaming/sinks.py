@@ -39,9 +39,10 @@ def write_csv(rows: DataFrame, path: str, one_file: bool = False) -> None:
     """``;``-separated rows without a header, replacing an earlier result.
 
     ``one_file`` is for results whose size the topics bound; results that grow
-    with words, tags, apps or users keep one file per task.
+    with words, tags, apps or users keep one file per task. The exchange keeps
+    the aggregation before it parallel.
     """
-    (rows.coalesce(1) if one_file else rows).write.mode("overwrite").option("sep", ";").option(
+    (rows.repartition(1) if one_file else rows).write.mode("overwrite").option("sep", ";").option(
         "escape", '"'
     ).option("emptyValue", "").csv(path)
 

@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 from postpulse.functions import text as tx
 from postpulse.functions.numeric import saturating_int, truncated_mean
 from postpulse.functions.topics import ELECTION_TOPICS, route_topics
-from postpulse.operators.sentiment import lexicon_score, sentiment_by_join, sentiment_label
+from postpulse.operators.sentiment import (
+    lexicon_score,
+    read_lexicon,
+    sentiment_by_join,
+    sentiment_label,
+)
 
 
 def one(spark, value, expression, kind="string"):
@@ -160,3 +165,10 @@ def test_lexicon_limits(spark):
     assert one(spark, "good", lambda c: lexicon_score(c, {})) == 0
     with pytest.raises(ValueError):
         lexicon_score(F.lit("x"), {str(i): 1 for i in range(10_001)})
+
+
+def test_read_lexicon(spark, tmp_path):
+    (tmp_path / "small").write_text("good;2\nbad;-2\n")
+    assert read_lexicon(spark, str(tmp_path / "small")) == {"good": 2, "bad": -2}
+    (tmp_path / "large").write_text("".join(f"w{i};1\n" for i in range(10_001)))
+    assert read_lexicon(spark, str(tmp_path / "large")).count() == 10_001

@@ -53,6 +53,17 @@ def test_summary_serves_all_five(spark):
             assert rows_of(derived, "*") == rows_of(whole, "*")
 
 
+def test_windows_add_up_to_the_whole(spark):
+    posts = make_posts(
+        spark,
+        [share(ts=at(20 * i), retweet_num_retweets=i) for i in range(9)]
+        + [{"ts": at(25 * i), "text": "x" * i} for i in range(9)],
+    )
+    whole = metrics.topic_summary(posts)
+    merged = metrics.whole_of(metrics.topic_summary(posts, "60 seconds"))
+    assert rows_of(merged, *whole.columns) == rows_of(whole, "*")
+
+
 def test_means_truncate_over_all_and_stay_exact_per_window(spark):
     posts = make_posts(
         spark, [share(retweet_num_retweets=n, retweet_followers=n * 3, ts=at(n)) for n in (1, 2, 2)]

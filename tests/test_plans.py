@@ -1,0 +1,65 @@
+"""Physical plans: what is pushed down, joined and shuffled."""
+
+import re
+
+import pytest
+
+from checks.registry import QUERIES
+from postpulse.operators import metrics
+from postpulse.sources import tables
+
+PLAIN = [name for name in QUERIES if not name.startswith("stream_")]
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", PLAIN)
+def test_no_python_no_products_no_single_partition(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython",
+                     "MapInPandas", "FlatMapGroupsInPandas", "BatchEvalPython"):
+        assert unwanted not in text
+
+
+def scan(text: str, table: str) -> str:
+    """The table's scan, other than the one that only counts rows."""
+    scans = [line for line in text.splitlines() if "FileScan" in line and f"/{table}.parquet" in line]
+    return next(line for line in scans if "ReadSchema: struct<>" not in line)
+
+
+def read_columns(text: str, table: str) -> set[str]:
+    schema = re.search(r"ReadSchema: struct<(.*?)>?$", scan(text, table)).group(1)
+    return {part.split(":")[0] for part in schema.rstrip(">").split(",")}
+
+
+def test_scans_read_needed_columns_only(spark, sf_dir):
+    text = plan(QUERIES["topic_count"](spark, sf_dir))
+    assert read_columns(text, "events") == {"event_id", "ts"}
+    assert read_columns(text, "documents") == {"doc_id", "text"}
+    text = plan(QUERIES["distinct_users"](spark, sf_dir))
+    assert read_columns(text, "documents") == {"doc_id"}
+    text = plan(QUERIES["word_count"](spark, sf_dir))
+    assert read_columns(text, "documents") == {"doc_id", "text"}
+
+
+def test_period_is_pushed_to_the_scan(spark, sf_dir):
+    text = plan(QUERIES["cmp_total_count"](spark, sf_dir))
+    assert "GreaterThanOrEqual(ts,2024-01-16" in text and "LessThan(ts,2024-01-16" in text
+
+
+def test_counts_are_combined_before_the_shuffle(spark, sf_dir):
+    text = plan(QUERIES["win_word_count"](spark, sf_dir))
+    assert "partial_count" in text and "SortAggregate" not in text
+
+
+def test_rankings_are_cut_before_the_shuffle(spark, sf_dir):
+    for name in ("word_topn", "hashtag_topn", "source_topn"):
+        assert "WindowGroupLimit" in plan(QUERIES[name](spark, sf_dir)), name
+
+
+def test_summary_is_one_shuffle(spark, sf_dir):
+    posts = tables.document_posts(spark, sf_dir)
+    text = plan(metrics.avg_length(posts, "1 hour"))
+    assert text.count("Exchange hashpartitioning") == 1
