@@ -1,4 +1,4 @@
-"""Command line: python -m postpulse {collect,batch,live,compare,predict} ..."""
+"""Command line: python -m postpulse {collect,store,batch,live,compare,predict} ..."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from .operators.metrics import WINDOW
 from .operators.sentiment import read_lexicon
 from .plans import batch, collect, compare, live, predict
 from .session import build_session, shared_dir
+from .sources.posts import store_posts, stream_posts
 from .sources.raw import parse_posts, select_posts, stream_lines, stream_topic_lines
 
 
@@ -19,7 +20,10 @@ def _arguments() -> argparse.Namespace:
 
     def job(name: str, text: str) -> argparse.ArgumentParser:
         command = jobs.add_parser(name, help=text)
-        command.add_argument("--input", required=True, help="folder of raw lines, or kafka://servers/topic")
+        command.add_argument(
+            "--input", required=True,
+            help="folder of raw lines, kafka://servers/topic, or posts:FOLDER of the store job",
+        )
         command.add_argument("--output", required=True)
         return command
 
@@ -38,6 +42,7 @@ def _arguments() -> argparse.Namespace:
         command.add_argument("--users", default="")
 
     streaming(job("collect", "store raw lines"))
+    streaming(job("store", "decode raw lines once into a folder of typed posts"))
     job("batch", "all metrics as CSV").add_argument("--lexicon", required=True)
     command = job("live", "windowed metrics as index documents")
     windowed(command)
@@ -66,11 +71,18 @@ def main() -> None:
         batch.run(spark, given.input, given.output, read_lexicon(spark, given.lexicon))
         return
     checkpoint = given.checkpoint or f"{shared_dir(spark)}/{given.job}"
-    lines = _lines(spark, given.input)
-    if given.job == "collect":
-        collect.run(lines, given.output, checkpoint, given.trigger).awaitTermination()
+    if given.input.startswith("posts:"):
+        posts = stream_posts(spark, given.input.removeprefix("posts:"))
+    else:
+        lines = _lines(spark, given.input)
+        if given.job == "collect":
+            collect.run(lines, given.output, checkpoint, given.trigger).awaitTermination()
+            return
+        posts = parse_posts(lines)
+    if given.job == "store":
+        store_posts(posts, given.output, checkpoint, given.trigger).awaitTermination()
         return
-    posts = select_posts(parse_posts(lines), given.langs, given.terms, given.users)
+    posts = select_posts(posts, given.langs, given.terms, given.users)
     timing = {
         "window": given.window,
         "delay": given.delay,

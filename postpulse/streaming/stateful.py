@@ -7,10 +7,12 @@ The state is one number, or five exact sums, per topic.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from decimal import Decimal
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..functions.numeric import INT_MAX, INT_MIN
 from ..operators.predict import SUFFIX
 
+# The processors travel to the executors whole: no package to install there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _cut(value: float) -> int:
     """Fraction cut off, clamped to INT, NaN 0."""

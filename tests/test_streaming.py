@@ -11,6 +11,7 @@ from postpulse.plans import batch, collect, compare, live
 from postpulse.plans import predict as predict_job
 from postpulse.schema import POST
 from postpulse.sources import raw
+from postpulse.sources.posts import read_posts, store_posts, stream_posts
 from postpulse.streaming.documents import documents
 from postpulse.streaming.sinks import save_lines, write_documents
 from postpulse.streaming.stateful import stream_line, stream_smoothed
@@ -131,6 +132,26 @@ def test_late_posts_count_only_within_the_delay(spark, tmp_path):
     assert total("200 seconds", "late200") == [(at(0), 2), (at(60), 1), (at(120), 2)]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_splitting_into_files_does_not_matter(spark, tmp_path, seed):
+    """Posts in any order over any files, all within the allowed delay."""
+    rng = random.Random(seed)
+    rows = some_posts(150, seed)
+    far = [{"ts": at(2 * 3600), "topic": "z", "hashtags": ["x"]}]
+    posts = make_posts(spark, rows + far)
+    shuffled = rows[:]
+    rng.shuffle(shuffled)
+    while shuffled:
+        size = rng.randint(20, 90)
+        part, shuffled = shuffled[:size], shuffled[size:]
+        make_posts(spark, part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    make_posts(spark, far).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    timed = event_time(stream(spark, tmp_path / "in", 2), "20 minutes")
+    streamed = run_to_table(metrics.hashtag_count(timed, "60 seconds"), f"split{seed}")
+    whole = metrics.hashtag_count(posts, "60 seconds")
+    assert rows_of(streamed, "*") == rows_of(whole.filter(F.col("window_start") < F.lit(at(2 * 3600))), "*")
+
+
 def test_processing_time(spark, fed):
     folder, _ = fed
     timed = event_time(stream(spark, folder), time_domain="processing")
@@ -252,6 +273,41 @@ def test_batch_job_writes_all_results(spark, stored):
     assert len(list((stored / "batch" / "totalcount.csv").glob("part-*"))) == 1
 
 
+def test_stored_posts_are_decoded_once_and_streamed_again(spark, stored):
+    path = str(stored / "posts")
+    for _ in range(2):
+        store_posts(live_lines(spark, stored), path, str(stored / "posts_cp")).awaitTermination()
+    posts = raw.parse_posts(raw.read_lines(spark, str(stored / "live")))
+    again = read_posts(spark, path)
+    assert rows_of(again.drop("day"), *posts.columns) == rows_of(posts, "*")
+    streamed = metrics.total_count(event_time(stream_posts(spark, path, 1)), "60 seconds")
+    closed = metrics.total_count(posts, "60 seconds").filter(F.col("window_start") < F.lit(at(7200)))
+    assert rows_of(run_to_table(streamed, "stored"), "*") == rows_of(closed, "*")
+
+
+def test_command_line(spark, stored, monkeypatch):
+    from postpulse import __main__ as command
+
+    (stored / "lexicon").write_text("good;1\nbad;-1\n")
+    monkeypatch.setattr(command, "build_session", lambda app: spark)
+
+    def call(*words):
+        monkeypatch.setattr("sys.argv", ["postpulse", *words])
+        command.main()
+
+    source, out = str(stored / "live"), str(stored / "cli")
+    lexicon = ["--lexicon", str(stored / "lexicon")]
+    call("batch", "--input", source, "--output", f"{out}/batch", *lexicon)
+    call("collect", "--input", source, "--output", f"{out}/lines", "--checkpoint", f"{out}/c1")
+    call("store", "--input", f"{out}/lines", "--output", f"{out}/posts", "--checkpoint", f"{out}/c2")
+    timing = ["--delay", "0 seconds", "--state-partitions", "2", "--terms", "joe,plain warren"]
+    call("compare", "--input", f"posts:{out}/posts", "--output", f"{out}/compared", "--checkpoint",
+         f"{out}/c3", "--baselines", f"{out}/batch", "--baseline-windows", "3", *timing)
+    found = spark.read.text(f"{out}/compared/comptweetcount-idx").collect()
+    assert {json.loads(row.value)["trackterm"] for row in found} <= {"biden", "warren"}
+    assert found
+
+
 def live_lines(spark, stored):
     return raw.parse_posts(raw.stream_lines(spark, str(stored / "live"), 1), ELECTION_TOPICS)
 
