@@ -128,10 +128,8 @@ def topic_route(spark: SparkSession, sf: str) -> DataFrame:
 
 def source_anchor(spark: SparkSession, sf: str) -> DataFrame:
     source = F.col("source")
-    apps = tables.posts(spark, sf).select(
-        "id", tx.source_app(source).alias("app"), tx.source_link(source).alias("link")
-    )
-    return apps.filter(F.col("app") != "")
+    found = F.arrays_zip(tx.source_apps(source).alias("app"), tx.source_links(source).alias("link"))
+    return tables.posts(spark, sf).select("id", F.inline(found).alias("app", "link"))
 
 
 def text_clean(spark: SparkSession, sf: str) -> DataFrame:

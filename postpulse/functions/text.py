@@ -34,19 +34,24 @@ def is_counted_word(word: Column) -> Column:
 
 def utf16_length(text: Column) -> Column:
     """Length in UTF-16 units. Pure ASCII, the common case, needs no re-encoding."""
-    code_points = F.length(text)
-    return F.when(F.octet_length(text) == code_points, code_points).otherwise(
+    octets = F.octet_length(text)
+    return F.when(F.length(text) == octets, octets).otherwise(
         F.call_function("div", F.octet_length(F.encode(text, "UTF-16BE")), F.lit(2)).cast("int")
     )
 
 
-def source_link(source: Column) -> Column:
-    return F.regexp_extract(source, SOURCE_ANCHOR, 1)
+def source_links(source: Column) -> Column:
+    """The target of a client-app anchor; empty when the value is not one anchor."""
+    return F.regexp_extract_all(source, F.lit(SOURCE_ANCHOR), F.lit(1))
 
 
-def source_app(source: Column) -> Column:
-    """Name inside a client-app anchor; '' when the value is not one anchor."""
-    return F.regexp_extract(source, SOURCE_ANCHOR, 3)
+def source_apps(source: Column) -> Column:
+    """The name inside a client-app anchor; empty when the value is not one anchor.
+
+    An array of at most one name. Exploding it drops the other rows without a
+    filter, which Spark would move below, matching the pattern twice.
+    """
+    return F.regexp_extract_all(source, F.lit(SOURCE_ANCHOR), F.lit(3))
 
 
 def clean_text(text: Column) -> Column:

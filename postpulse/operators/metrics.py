@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import millis, truncated_mean
-from ..functions.text import hashtag, is_counted_word, source_app, tokens, utf16_length
+from ..functions.text import hashtag, is_counted_word, source_apps, tokens, utf16_length
 from ..schema import ORIGINAL, RETWEET
-from .sentiment import sentiment_by_join, sentiment_label
+from .sentiment import sentiment_by_join, with_sentiment
 
 WINDOW = "60 seconds"
 
@@ -182,9 +182,7 @@ def retweets_followers(posts: DataFrame, window: str | None = None) -> DataFrame
 
 def hashtag_count(posts: DataFrame, window: str | None = None, more_than: int = 1) -> DataFrame:
     """Tag uses per topic; a tag repeated within a post counts each time."""
-    tags = posts.filter(F.size("hashtags") > 0).select(
-        "ts", "topic", F.explode("hashtags").alias("_tag")
-    )
+    tags = posts.select("ts", "topic", F.explode("hashtags").alias("_tag"))
     tags = tags.select("ts", "topic", hashtag(F.col("_tag")).alias("hashtag"))
     return count_by(tags, window, ["hashtag", "topic"]).filter(F.col("cnt") > more_than)
 
@@ -203,8 +201,7 @@ def source_count(posts: DataFrame, window: str | None = None, more_than: int | N
     """Client-app uses per topic: above 2 over a whole input, all per window."""
     if more_than is None:
         more_than = 2 if window is None else 0
-    apps = posts.select("ts", "topic", source_app(F.col("source")).alias("source"))
-    apps = apps.filter(F.col("source") != "")
+    apps = posts.select("ts", "topic", F.explode(source_apps(F.col("source"))).alias("source"))
     return count_by(apps, window, ["source", "topic"]).filter(F.col("cnt") > more_than)
 
 
@@ -217,8 +214,7 @@ def sentiment_count(
     if isinstance(lexicon, DataFrame):
         labelled = sentiment_by_join(rows, lexicon)
     else:
-        label = sentiment_label(F.col("text"), lexicon).alias("sentiment")
-        labelled = rows.select("ts", "topic", label)
+        labelled = with_sentiment(rows, lexicon).select("ts", "topic", "sentiment")
     return count_by(labelled, window, ["sentiment", "topic"])
 
 

@@ -25,9 +25,10 @@ def read_lexicon(spark: SparkSession, path: str) -> dict[str, int] | DataFrame:
     return lexicon if len(head) > MAX_INLINE_WORDS else {row.word: row.weight for row in head}
 
 
-def label_of(score: Column, cleaned: Column) -> Column:
+def label_of(score: Column) -> Column:
+    """Label by sign; a post without a score had nothing left after cleaning."""
     return (
-        F.when(F.trim(cleaned) == "", ERROR)
+        F.when(score.isNull(), ERROR)
         .when(score > 0, POSITIVE)
         .when(score < 0, NEGATIVE)
         .otherwise(NEUTRAL)
@@ -58,9 +59,16 @@ def lexicon_score(text: Column, lexicon: dict[str, int]) -> Column:
     return F.aggregate(known, F.lit(0), lambda total, word: total + weight_of(word))
 
 
-def sentiment_label(text: Column, lexicon: dict[str, int]) -> Column:
-    cleaned = clean_text(text)
-    return label_of(lexicon_score(cleaned, lexicon), cleaned)
+def with_sentiment(posts: DataFrame, lexicon: dict[str, int]) -> DataFrame:
+    """Adds the label. Cleaned text and score are projections of their own:
+    both are used more than once and would otherwise be computed as often."""
+    score = F.when(F.trim("_cleaned") != "", lexicon_score(F.col("_cleaned"), lexicon))
+    return (
+        posts.withColumn("_cleaned", clean_text(F.col("text")))
+        .withColumn("_score", score)
+        .withColumn("sentiment", label_of(F.col("_score")))
+        .drop("_cleaned", "_score")
+    )
 
 
 def sentiment_by_join(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -71,15 +79,13 @@ def sentiment_by_join(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     """
     cleaned = posts.select("id", "ts", "topic", clean_text(F.col("text")).alias("_cleaned"))
     words = cleaned.select(
-        "id", "ts", "topic", (F.trim("_cleaned") == "").alias("_blank"),
+        "id", "ts", "topic", (F.trim("_cleaned") != "").alias("_filled"),
         F.explode(tokens(F.col("_cleaned"))).alias("word"),
     )
     scored = (
         words.join(lexicon, "word", "left")
-        .groupBy("id", "ts", "topic", "_blank")
-        .agg(F.sum(F.coalesce("weight", F.lit(0))).alias("_score"))
+        .groupBy("id", "ts", "topic", "_filled")
+        .agg(F.sum(F.coalesce("weight", F.lit(0))).alias("_sum"))
+        .withColumn("_score", F.when(F.col("_filled"), F.col("_sum")))
     )
-    return scored.select(
-        "id", "ts", "topic",
-        label_of(F.col("_score"), F.when(F.col("_blank"), "").otherwise("x")).alias("sentiment"),
-    )
+    return scored.select("id", "ts", "topic", label_of(F.col("_score")).alias("sentiment"))

@@ -62,20 +62,18 @@ def parse_posts(
     off, in which case any JSON object with a date and a user counts.
     """
     prefix = POST_PREFIX if strict_prefix else "{"
-    # inline() evaluates the JSON decoder once per line: filters on its output
-    # stay above it instead of being pushed down with a second decoder.
+    # Generators evaluate the JSON decoder and the date parser once per line:
+    # filters on their output stay above instead of being pushed down with a
+    # second copy. A line without a date yields no row.
     decoded = lines.filter(F.col("value").startswith(prefix)).select(
         F.inline(F.array(F.from_json("value", RAW_POST)))
     )
     shared = F.col("retweeted_status")
     is_share = shared.isNotNull()
-    dated = decoded.withColumn(
-        "ts", F.try_to_timestamp(F.substring("created_at", 5, 64), F.lit(CREATED_AT))
-    ).filter(
-        F.col("ts").isNotNull()
-        & F.col("user").isNotNull()
-        & (~is_share | F.col("retweeted_status.user").isNotNull())
-    )
+    created = F.try_to_timestamp(F.substring("created_at", 5, 64), F.lit(CREATED_AT))
+    dated = decoded.filter(
+        F.col("user").isNotNull() & (~is_share | F.col("retweeted_status.user").isNotNull())
+    ).select("*", F.explode(F.array_compact(F.array(created))).alias("ts"))
     text = F.when(is_share, F.col("retweeted_status.text")).otherwise(F.col("text"))
     routed = route_topics(dated, rules, text, F.col("quoted_status.text"))
     reply_to = F.coalesce(F.col("in_reply_to_status_id"), F.lit(-1))

@@ -138,7 +138,8 @@ def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a raw post line, every event as a limit notice or junk."""
     post_lines = documents(spark, sf_dir).selectExpr(
-        """to_json(named_struct(
+        # explode() keeps tests of the line from repeating the encoder.
+        """explode(array(to_json(named_struct(
              'created_at', date_format(timestamp_seconds(1704067200 + doc_id * 60),
                                        'EEE MMM dd HH:mm:ss Z yyyy'),
              'id', doc_id,
@@ -161,7 +162,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                'retweet_count', n_chars % 97,
                'user', named_struct('name', 'Author', 'screen_name', source,
                                     'followers_count', n_chars * 3)), NULL)
-           )) AS value"""
+           )))) AS value"""
     )
     event_lines = events(spark, sf_dir).selectExpr(
         """CASE event_type

@@ -10,7 +10,7 @@ from postpulse.operators.sentiment import (
     lexicon_score,
     read_lexicon,
     sentiment_by_join,
-    sentiment_label,
+    with_sentiment,
 )
 
 
@@ -62,11 +62,11 @@ def test_utf16_length(spark, text, units):
     ],
 )
 def test_source_anchor(spark, source, app):
-    assert one(spark, source, tx.source_app) == app
+    assert one(spark, source, tx.source_apps) == ([app] if app else [])
 
 
 def test_source_link(spark):
-    assert one(spark, '<a href="http://x" rel="n">W</a>', tx.source_link) == "http://x"
+    assert one(spark, '<a href="http://x" rel="n">W</a>', tx.source_links) == ["http://x"]
 
 
 @pytest.mark.parametrize(
@@ -149,7 +149,10 @@ SENTENCES = [
 
 @pytest.mark.parametrize(("text", "label"), SENTENCES)
 def test_sentiment_label(spark, text, label):
-    assert one(spark, text, lambda c: sentiment_label(c, LEXICON)) == label
+    posts = spark.createDataFrame([(text,)], "text string")
+    labelled = with_sentiment(posts, LEXICON)
+    assert labelled.columns == ["text", "sentiment"]
+    assert labelled.first().sentiment == label
 
 
 def test_sentiment_by_join_equals_inline(spark):

@@ -63,3 +63,16 @@ def test_summary_is_one_shuffle(spark, sf_dir):
     posts = tables.document_posts(spark, sf_dir)
     text = plan(metrics.avg_length(posts, "1 hour"))
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def logical(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_costly_expressions_are_evaluated_once(spark, sf_dir):
+    assert logical(QUERIES["win_source_count"](spark, sf_dir)).count("regexp_extract_all") == 1
+    text = logical(QUERIES["sentiment_count"](spark, sf_dir))
+    assert text.count("regexp_replace") == 1 and text.count("split(") == 1
+    text = logical(QUERIES["parse_roundtrip"](spark, sf_dir))
+    assert text.count("from_json") == 1 and text.count("gettimestamp") == 1
+    assert text.count("StructsToJsonEvaluator") == 1
