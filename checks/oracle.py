@@ -211,6 +211,11 @@ SELECT id, ms AS timestamp, topic, tweet_type, text, lang,
        CASE WHEN tweet_type = 'Retweet' THEN n_chars * 3 ELSE 0 END AS retweet_followers
 FROM docs"""
 
+LIMITS = (
+    "SELECT CAST(user_id AS INTEGER) AS limited, epoch_us(ts) // 1000 AS timestamp "
+    "FROM events WHERE event_type = 'error'"
+)
+
 FILTERED = r"""
 SELECT id, lang, topic FROM (
   SELECT *, list_concat(string_split_regex(lower(text || ' https://x.example/' || source), '\W+'),
@@ -349,8 +354,7 @@ def oracle_sql() -> dict[str, str]:
         "text_clean": f"SELECT doc_id, {CLEAN} AS cleaned, "
         r"regexp_replace(text, '[^\x00-\x7F]', '', 'g') AS ascii, "
         "CAST(length(text) AS INTEGER) AS units FROM documents",
-        "limit_notices": "SELECT CAST(user_id AS INTEGER) AS limited, epoch_us(ts) // 1000 AS timestamp "
-        "FROM events WHERE event_type = 'error'",
+        "limit_notices": LIMITS,
         "parse_roundtrip": docs + ROUNDTRIP,
         "source_filter": docs + FILTERED,
         "json_documents": tags
@@ -362,6 +366,26 @@ def oracle_sql() -> dict[str, str]:
         + _closed(_counts("posts", "topic, tweet_type", 0, "1 hour"), str(HOUR_MS), "posts"),
         "stream_avg_retweets": posts
         + _closed(_win_retweets("1 hour", HOUR_MS), str(HOUR_MS), "posts WHERE retweet"),
+        "csv_roundtrip": posts + total,
+        "stream_limit_notices": LIMITS,
+        "stream_word_count": words
+        + _closed(_counts("words", "word, topic", 1, "1 hour"), str(HOUR_MS), "docs"),
+        "stream_documents": posts
+        + "SELECT '{\"cnt\":' || cnt || ',\"tweetType\":\"' || tweet_type || '\",\"timestamp\":' || "
+        "timestamp || ',\"trackterm\":\"' || topic || '\"}' AS value FROM ("
+        + _closed(total_days, str(DAY_MS), "posts")
+        + ") UNION ALL SELECT '{\"cnt\":' || cnt || ',\"trackterm\":\"' || topic || '\",\"timestamp\":' || "
+        "timestamp || '}' AS value FROM ("
+        + _closed(_counts("posts", "topic", 0, "1 day"), str(DAY_MS), "posts")
+        + ")",
+        "stream_pred_avg_length": "WITH RECURSIVE " + DOCS + ","
+        + _smoothed(
+            _closed(
+                _win_length("1 hour", HOUR_MS), str(HOUR_MS),
+                "docs WHERE text <> '' AND tweet_type = 'Original Tweet'",
+            ),
+            AVG_LENGTH, "length", "CAST(({p} + {x}) // 2 AS INTEGER)",
+        ),
         "stream_popular_top": posts + _closed(_users(TOP), str(DAY_MS), "posts"),
         "stream_cmp_hashtag": tags
         + _closed(

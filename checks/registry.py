@@ -11,9 +11,10 @@ from postpulse.functions import text as tx
 from postpulse.functions.numeric import millis
 from postpulse.functions.topics import route_topics
 from postpulse.operators import compare, metrics, predict, topn
+from postpulse.session import scratch_path, stage
 from postpulse.sources import baselines, raw, tables
-from postpulse.session import stage
 from postpulse.streaming.documents import documents
+from postpulse.streaming.sinks import save_lines, start_documents, write_csv
 from postpulse.streaming.stateful import stream_line, stream_smoothed
 from postpulse.streaming.windows import event_time, run_to_table
 
@@ -167,7 +168,7 @@ def json_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, sf: str) -> DataFrame:
-    return event_time(tables.posts(spark, sf, tables.stream_events(spark, sf)))
+    return event_time(tables.posts(spark, sf, tables.stream_table(spark, sf, "events")))
 
 
 def stream_total_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -190,10 +191,53 @@ def stream_popular_top(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(run_to_table(rows, "stream_popular_top", partitions=STATE_PARTITIONS))
 
 
+def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
+    rows = tables.document_posts(spark, sf, tables.stream_table(spark, sf, "documents"))
+    words = metrics.word_count(event_time(rows), HOUR)
+    return _plain(run_to_table(words, "stream_word_count", partitions=STATE_PARTITIONS))
+
+
+def stream_pred_avg_length(spark: SparkSession, sf: str) -> DataFrame:
+    rows = tables.document_posts(spark, sf, tables.stream_table(spark, sf, "documents"))
+    seeds = stage(metrics.avg_length(tables.document_posts(spark, sf)), "seeds")
+    predicted = stream_smoothed(metrics.avg_length(event_time(rows), HOUR), seeds, "length")
+    return _plain(run_to_table(predicted, "stream_pred_avg_length", partitions=STATE_PARTITIONS))
+
+
+def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of two indexes that one windowed summary fills."""
+    path = scratch_path(spark, "documents")
+    outputs = [
+        ("total_count", "tweetcount-idx", metrics.total_count_of),
+        ("topic_count", "counttrackterms-idx", metrics.topic_count_of),
+    ]
+    start_documents(
+        metrics.topic_summary(_streamed(spark, sf), DAY), "stream_documents", path,
+        f"{path}-checkpoint", outputs, partitions=STATE_PARTITIONS,
+    ).awaitTermination()
+    both = [spark.read.text(f"{path}/{index}").select("value") for _, index, _ in outputs]
+    return both[0].unionAll(both[1])
+
+
+def stream_limit_notices(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines collected from a stream, then read back and parsed."""
+    path = scratch_path(spark, "lines")
+    lines = tables.event_lines(tables.stream_table(spark, sf, "events"))
+    save_lines(lines, path, f"{path}-checkpoint").awaitTermination()
+    return raw.parse_limits(raw.read_lines(spark, path))
+
+
+def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored result, read back as a baseline."""
+    path = scratch_path(spark, "totalcount.csv")
+    write_csv(metrics.total_count(tables.posts(spark, sf)), path, one_file=True)
+    return baselines.read_stored(spark, path, "total_count")
+
+
 def stream_cmp_hashtag(spark: SparkSession, sf: str) -> DataFrame:
     """Stream-static: the stream's windows against the stored top tags."""
     stored, _ = _event_halves(spark, sf)
-    live = tables.stream_events(spark, sf).filter(F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz"))
+    live = tables.stream_table(spark, sf, "events").filter(F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz"))
     tags = metrics.hashtag_count(event_time(tables.posts(spark, sf, live)), DAY, more_than=0)
     rows = compare.compare_hashtag(tags, stage(topn.top_hashtags(stored), "top_hashtags"))
     return _plain(run_to_table(rows, "stream_cmp_hashtag", partitions=STATE_PARTITIONS))
@@ -256,11 +300,16 @@ QUERIES: dict[str, Query] = {
     "parse_roundtrip": parse_roundtrip,
     "source_filter": source_filter,
     "json_documents": json_documents,
+    "csv_roundtrip": csv_roundtrip,
     "stream_total_count": stream_total_count,
     "stream_avg_retweets": stream_avg_retweets,
     "stream_hashtag_count": stream_hashtag_count,
+    "stream_word_count": stream_word_count,
     "stream_popular_top": stream_popular_top,
+    "stream_documents": stream_documents,
+    "stream_limit_notices": stream_limit_notices,
     "stream_cmp_hashtag": stream_cmp_hashtag,
     "stream_pred_avg_retweets": stream_pred_avg_retweets,
+    "stream_pred_avg_length": stream_pred_avg_length,
     "stream_pred_retweets_followers": stream_pred_retweets_followers,
 }

@@ -42,6 +42,14 @@ def windows_between(start_ms: int, end_ms: int, window_ms: int = 60_000) -> int:
     return (end_ms - start_ms) // window_ms
 
 
+def windows_covered(posts: DataFrame, window_ms: int = 60_000) -> int:
+    """Whole windows between the first and the last post."""
+    first, last = posts.agg(
+        F.unix_millis(F.min("ts")), F.unix_millis(F.max("ts"))
+    ).first()
+    return windows_between(first, last, window_ms)
+
+
 def per_window(stored: DataFrame, windows: int) -> DataFrame:
     """Counts of a whole period as truncated counts per window."""
     return stored.withColumn("cnt", F.call_function("div", F.col("cnt"), F.lit(windows)))

@@ -36,10 +36,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return (
-        spark.readStream.schema(SCHEMAS["events"])
-        .option("pathGlobFilter", "events.parquet")
+        spark.readStream.schema(SCHEMAS[name])
+        .option("pathGlobFilter", f"{name}.parquet")
         .parquet(sf_dir)
     )
 
@@ -107,7 +107,7 @@ def event_posts(event_rows: DataFrame, topics: DataFrame, n_documents: Column) -
 
 
 def posts(spark: SparkSession, sf_dir: str, event_rows: DataFrame | None = None) -> DataFrame:
-    """One post per event; ``event_rows`` narrows the events."""
+    """One post per event; ``event_rows`` narrows or streams the events."""
     rows = events(spark, sf_dir) if event_rows is None else event_rows
     topics = document_topics(spark, sf_dir)
     # Answered from the file footers.
@@ -118,9 +118,10 @@ def posts(spark: SparkSession, sf_dir: str, event_rows: DataFrame | None = None)
     return event_posts(rows, topics, counted.scalar())
 
 
-def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_posts(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """One post per document, a minute apart, with the whole text."""
-    routed = route_topics(documents(spark, sf_dir), TABLE_TOPICS, F.col("text"))
+    rows = documents(spark, sf_dir) if rows is None else rows
+    routed = route_topics(rows, TABLE_TOPICS, F.col("text"))
     return routed.selectExpr(
         "doc_id AS id",
         "timestamp_seconds(1704067200 + doc_id * 60) AS ts",
@@ -164,7 +165,12 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     'followers_count', n_chars * 3)), NULL)
            )))) AS value"""
     )
-    event_lines = events(spark, sf_dir).selectExpr(
+    return post_lines.unionByName(event_lines(events(spark, sf_dir)))
+
+
+def event_lines(event_rows: DataFrame) -> DataFrame:
+    """Errors as limit notices, all other events as lines that are no posts."""
+    return event_rows.selectExpr(
         """CASE event_type
              WHEN 'error' THEN CONCAT('{"limit":{"track":', CAST(user_id AS STRING),
                ',"timestamp_ms":"', CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING), '"}}')
@@ -173,4 +179,3 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
              WHEN 'signup' THEN ''
              ELSE CONCAT('{"id":', CAST(event_id AS STRING), '}') END AS value"""
     )
-    return post_lines.unionByName(event_lines)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from postpulse.operators import compare, metrics, topn
 from postpulse.schema import ORIGINAL, REPLY, RETWEET
-from postpulse.sources.baselines import one_per_key, per_window, read_stored, windows_between
+from postpulse.sources.baselines import one_per_key, per_window, read_stored, windows_between, windows_covered
 
 
 def test_total_and_topic_count_and_rollup(spark):
@@ -232,6 +232,10 @@ def test_stored_header(spark, tmp_path):
     assert rows_of(stored, "*") == [(5, "a", 7)]
 
 
+def test_windows_covered(spark):
+    assert windows_covered(make_posts(spark, [{"ts": at(5)}, {"ts": at(185)}, {"ts": at(60)}])) == 3
+
+
 def test_per_window(spark):
     assert windows_between(1572203359994, 1572216813539) == 224
     base = spark.createDataFrame([("a", 449)], "topic string, cnt bigint")
