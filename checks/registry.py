@@ -25,7 +25,7 @@ DAY, HOUR = "1 day", "1 hour"
 BASELINE_WINDOWS = baselines.windows_between(1704067200000, 1705363200000, 86_400_000)
 
 # Streams here keep state per topic, type or tag and window: little of it.
-STATE_PARTITIONS = 8
+STATE_PARTITIONS = 4
 
 Query = Callable[[SparkSession, str], DataFrame]
 
