@@ -63,6 +63,14 @@ docs AS (
            AS tweet_type
   FROM documents)"""
 
+TURNS = f"""
+docs AS (
+  SELECT TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 3600 + turn) AS ts,
+         epoch_ms(TIMESTAMP '2024-01-01 00:00:00') + (conv_id * 3600 + turn) * 1000 AS ms,
+         {TOPIC} AS topic, coalesce(text, '') AS text, role AS source,
+         CASE WHEN turn = 0 THEN 'Original Tweet' ELSE 'Reply' END AS tweet_type
+  FROM conversations)"""
+
 TAGS = "tags AS (SELECT ts, ms, topic, '#' || lower(unnest(hashtags)) AS hashtag FROM posts)"
 WORDS = rf"""words AS (
   SELECT * FROM (
@@ -298,6 +306,11 @@ def oracle_sql() -> dict[str, str]:
         "hashtag_topn": tags + _top("tags", "hashtag", 10, "hashtag, topic"),
         "source_topn": apps + top_sources,
         "total_topn": posts + _top("posts", "tweet_type", 2, "timestamp, topic, tweet_type, cnt"),
+        "turn_total_count": _with(TURNS) + _counts("docs", "topic, tweet_type"),
+        "turn_win_avg_length": _with(TURNS) + _win_length("1 day", DAY_MS),
+        "turn_word_topn": _with(TURNS, WORDS) + _top("words", "word", 7, "word, topic"),
+        "turn_win_source_count": _with(TURNS) + _counts("docs", "source, topic", 0, "1 day"),
+        "turn_sentiment_count": _with(TURNS, SENTIMENT) + _counts("labels_of", "sentiment, topic"),
         "cmp_avg_retweets": posts
         + _diff(
             _after(_win_retweets("1 day", DAY_MS), SPLIT, "posts"),

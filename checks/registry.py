@@ -45,6 +45,10 @@ def _texts(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
     return lambda spark, sf: _plain(operator(tables.document_posts(spark, sf), *args, **kwargs))
 
 
+def _turns(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
+    return lambda spark, sf: _plain(operator(tables.turn_posts(spark, sf), *args, **kwargs))
+
+
 def _event_halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Baseline and live posts. The split is on the stored column, so each
     side's scan skips the other's row groups."""
@@ -284,6 +288,11 @@ QUERIES: dict[str, Query] = {
     "hashtag_topn": _posts(topn.top_hashtags),
     "source_topn": _posts(topn.top_sources),
     "total_topn": _posts(lambda posts: topn.top_n(metrics.total_count(posts), "tweet_type", 2)),
+    "turn_total_count": _turns(metrics.total_count),
+    "turn_win_avg_length": _turns(metrics.avg_length, DAY),
+    "turn_word_topn": _turns(topn.top_words),
+    "turn_win_source_count": _turns(metrics.source_count, DAY),
+    "turn_sentiment_count": _turns(metrics.sentiment_count, LEXICON),
     "cmp_avg_retweets": cmp_avg_retweets,
     "cmp_avg_length": cmp_avg_length,
     "cmp_total_count": cmp_total_count,

@@ -1,8 +1,9 @@
 """Post rows derived from general event and document tables.
 
-Three mappings: ``posts`` (one post per event), ``document_posts`` (one post
-per document, with its whole text) and ``raw_lines`` (document posts and limit
-notices in the collector's line format, mixed with junk).
+Four mappings: ``posts`` (one post per event), ``document_posts`` (one post
+per document, with its whole text), ``turn_posts`` (one post per conversation
+turn) and ``raw_lines`` (document posts and limit notices in the collector's
+line format, mixed with junk).
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ SCHEMAS = {
         "value DOUBLE, props STRING"
     ),
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
 }
 
 
@@ -136,6 +138,21 @@ def document_posts(spark: SparkSession, sf_dir: str, rows: DataFrame | None = No
     )
 
 
+def turn_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One post per conversation turn: openings are originals, the rest replies.
+    Conversations start an hour apart, turns follow by the second."""
+    turns = spread(table(spark, sf_dir, "conversations"))
+    return route_topics(turns, TABLE_TOPICS, F.col("text")).selectExpr(
+        "conv_id",
+        "turn",
+        "timestamp_seconds(1704067200 + conv_id * 3600 + turn) AS ts",
+        "topic",
+        "IF(turn = 0, 'Original Tweet', 'Reply') AS tweet_type",
+        "CAST(coalesce(text, '') AS STRING) AS text",
+        """CONCAT('<a href="https://x.example/', role, '">', role, '</a>') AS source""",
+    )
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a raw post line, every event as a limit notice or junk."""
     post_lines = documents(spark, sf_dir).selectExpr(
