@@ -37,10 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
     Only when the cluster names none (a laptop, a unit test) is a private
     temporary folder made and recorded, so later calls agree on it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        named = context.getCheckpointDir()
     return named
 
 

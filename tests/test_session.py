@@ -1,3 +1,5 @@
+import os
+
 from postpulse.session import scratch_path, shared_dir, spread, stage
 
 
@@ -16,15 +18,27 @@ def test_shared_folder_is_the_session_setting(spark):
     assert first != second and first.startswith(shared_dir(spark))
 
 
-def test_shared_folder_without_a_setting(spark):
-    named = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        if spark.conf.get("spark.checkpoint.dir", None) is None:
-            made = shared_dir(spark)
-            assert made and shared_dir(spark) == made
-    finally:
-        spark.conf.set("spark.checkpoint.dir", named)
+class Bare:
+    """A session whose cluster names no folder."""
+
+    def __init__(self):
+        self.conf, self.sparkContext, self.dir = self, self, None
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, path):
+        self.dir = path
+
+
+def test_shared_folder_without_a_setting():
+    bare = Bare()
+    made = shared_dir(bare)
+    assert os.path.isdir(made) and shared_dir(bare) == made
+    assert scratch_path(bare, "x").startswith(made)
 
 
 def test_staged_rows_have_a_known_size(spark):
