@@ -34,12 +34,14 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only when the cluster names none (a laptop, a unit test) is a private
-    temporary folder made and recorded, so later calls agree on it.
+    Only on a local master that names none (a laptop, a unit test) is a private
+    temporary folder made, and kept in the context so later calls agree on it.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
         named = context.getCheckpointDir()
     return named

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from postpulse.session import scratch_path, shared_dir, spread, stage
 
 
@@ -21,8 +23,8 @@ def test_shared_folder_is_the_session_setting(spark):
 class Bare:
     """A session whose cluster names no folder."""
 
-    def __init__(self):
-        self.conf, self.sparkContext, self.dir = self, self, None
+    def __init__(self, master):
+        self.conf, self.sparkContext, self.dir, self.master = self, self, None, master
 
     def get(self, key, default):
         return default
@@ -35,10 +37,12 @@ class Bare:
 
 
 def test_shared_folder_without_a_setting():
-    bare = Bare()
+    bare = Bare("local[2]")
     made = shared_dir(bare)
     assert os.path.isdir(made) and shared_dir(bare) == made
     assert scratch_path(bare, "x").startswith(made)
+    with pytest.raises(ValueError):
+        shared_dir(Bare("yarn"))
 
 
 def test_staged_rows_have_a_known_size(spark):
