@@ -14,7 +14,8 @@ def database(sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(QUERIES) == set(contract.queries()) == set(contract.oracle_sql())
+    assert set(oracle_sql()) == set(QUERIES) <= set(contract.queries())
+    assert set(oracle_sql()) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
