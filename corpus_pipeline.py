@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postpulse.llm import mixing, packing, quality, secrets
+from postpulse.llm import mixing, near_dup, packing, quality, secrets
 from postpulse.llm.words import word_count
 from postpulse.session import stage
 
@@ -23,8 +23,6 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: that of the smallest id."""
-    from postpulse.llm import near_dup
-
     return near_dup.keep_first(docs)
 
 

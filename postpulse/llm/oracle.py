@@ -33,4 +33,49 @@ SELECT p.page_id, p.host, p.path, f.rule,
 FROM parts p LEFT JOIN fits f USING (page_id)
 """
 
-ORACLE = {"op6_url_filter": _URLS}
+_CHAT = r"""
+WITH given AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id
+           ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n
+  FROM given
+), sized AS (
+  SELECT *,
+    length(text) + len(regexp_extract_all(text, '\\|<\||</?s>|<</?SYS>>|\[/?INST\]')) + CASE role
+      WHEN 'system' THEN 19 WHEN 'user' THEN 15 WHEN 'assistant' THEN 6
+      ELSE 23 + length(role) + len(regexp_extract_all(role, '\\|<\||</?s>|<</?SYS>>|\[/?INST\]')) END AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (3 + sum(chars))::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+_REPEATS = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS body
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50)
+), first AS (
+  SELECT body, min(doc_id) AS d FROM windows GROUP BY body
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j
+  FROM windows JOIN first USING (body) WHERE d < doc_id
+), kept AS (
+  SELECT t.doc_id, string_agg(t.word, ' ' ORDER BY t.j) FILTER (g.j IS NULL) AS body, count(g.j) AS n_removed
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM words) t
+  LEFT JOIN gone g USING (doc_id, j) GROUP BY t.doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE = {"op2_chat_format": _CHAT, "op4_substring_dedup": _REPEATS, "op6_url_filter": _URLS}

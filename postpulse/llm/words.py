@@ -140,6 +140,13 @@ def pieces(column: pa.Array, limit: int = PIECE) -> Iterator[Piece]:
         yield Piece(data[begin : offsets[hi]], offsets[lo : hi + 1] - begin, lo, hi)
 
 
+def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """A list column: the values, dealt out by the rows' counts."""
+    offsets = np.zeros(len(counts) + 1, np.int32)
+    np.cumsum(counts, out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
 def word_count(text):
     """Words of a text column as a built-in expression; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
