@@ -88,7 +88,7 @@ the bracket is unknown, a step at most doubles the dual value."""
     state = sources.select(
         "source",
         "target",
-        (F.col("source_size") / F.col("n_docs")).alias("mean"),
+        F.greatest(F.col("source_size") / F.col("n_docs"), F.lit(1e-9)).alias("mean"),
         ((F.col("target") >= F.col("source_size") * MAX_COPIES) | (F.col("source_size") == 0)).alias("capped"),
         F.lit(0.0).alias("dual"),
         F.lit(None).cast("double").alias("low"),
@@ -105,7 +105,7 @@ the bracket is unknown, a step at most doubles the dual value."""
             F.sum(taken * bent.cast("decimal(18,0)")).cast("double").alias("_bent"),
         )
         moved = state.alias("s").join(sums.alias("m"), _same(F.col("s.source"), F.col("m.source")))
-        error = F.log(F.greatest(F.col("_taken"), F.lit(1e-300)) / UNIT / F.col("target"))
+        error = F.log(F.greatest(F.col("_taken"), F.lit(1e-300)) / UNIT / F.greatest(F.col("target"), F.lit(1e-300)))
         slope = F.col("_bent") / F.col("mean") / F.greatest(F.col("_taken"), F.lit(1e-300))
         low = F.when(error < 0, F.col("dual")).otherwise(F.col("low"))
         high = F.when(error > 0, F.col("dual")).otherwise(F.col("high"))
