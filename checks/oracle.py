@@ -7,12 +7,19 @@ used on whole milliseconds only.
 from __future__ import annotations
 
 SPLIT = "2024-01-16 00:00:00"
-DOC_SPLIT = "2024-01-01 02:00:00"
+EVENT_SPLIT = f"TIMESTAMP '{SPLIT}'"
+# The middle of the documents' id range, as a time.
+DOC_MIDDLE = (
+    "(SELECT TIMESTAMP '2024-01-01 00:00:00' "
+    "+ to_minutes(CAST((min(doc_id) + max(doc_id)) // 2 AS INTEGER)) FROM documents)"
+)
 LEXICON = {
     "the": 1, "that": 2, "la": 1, "und": 1, "with": 2, "est": 1,
     "of": -1, "de": -1, "die": -1, "was": -2, "not": -2, "que": -1, "and": -1, "der": 1,
 }
 
+# Fixed values, as in postpulse/functions/text.py: stop words, the characters
+# that cleaning keeps, the source anchor.
 STOP = (
     "'a','be','to','i','am','of','it','t','s','and','in','the','is','that','an','on','https',"
     "'co','this','','so','have','they','what','at','by','m','are','has','me','re','he','for',"
@@ -166,11 +173,11 @@ def _top(source: str, item: str, n: int, columns: str) -> str:
 
 
 def _before(sql: str, split: str, table: str) -> str:
-    return sql.replace(f"FROM {table}", f"FROM (SELECT * FROM {table} WHERE ts < TIMESTAMP '{split}')")
+    return sql.replace(f"FROM {table}", f"FROM (SELECT * FROM {table} WHERE ts < {split})")
 
 
 def _after(sql: str, split: str, table: str) -> str:
-    return sql.replace(f"FROM {table}", f"FROM (SELECT * FROM {table} WHERE ts >= TIMESTAMP '{split}')")
+    return sql.replace(f"FROM {table}", f"FROM (SELECT * FROM {table} WHERE ts >= {split})")
 
 
 def _smoothed(series: str, seeds: str, value: str, step: str) -> str:
@@ -250,10 +257,13 @@ def _in(live: str, base: str, item: str) -> str:
     )
 
 
-def _closed(sql: str, width: str, table: str) -> str:
-    """Windows a stream without lateness allowance has closed at its end. Spark
-    moves a metric's own filter below the watermark: the counted rows close."""
-    return f"SELECT * FROM ({sql}) WHERE window_start + {width} <= (SELECT max(ms) FROM {table})"
+def _json(sql: str, fields: list[tuple[str, str, bool]]) -> str:
+    """Rows as JSON documents: (field, expression, whether it is a text)."""
+    parts = [
+        f"'\"{name}\":' || " + (f"'\"' || {value} || '\"'" if text else value)
+        for name, value, text in fields
+    ]
+    return "SELECT '{' || " + " || ',' || ".join(parts) + f" || '}}' AS value FROM ({sql})"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -313,38 +323,38 @@ def oracle_sql() -> dict[str, str]:
         "turn_sentiment_count": _with(TURNS, SENTIMENT) + _counts("labels_of", "sentiment, topic"),
         "cmp_avg_retweets": posts
         + _diff(
-            _after(_win_retweets("1 day", DAY_MS), SPLIT, "posts"),
-            _before(AVG_RETWEETS, SPLIT, "posts"),
+            _after(_win_retweets("1 day", DAY_MS), EVENT_SPLIT, "posts"),
+            _before(AVG_RETWEETS, EVENT_SPLIT, "posts"),
             ["topic"], "retweets", "window_start, timestamp, retweets, topic, cnt",
         ),
         "cmp_avg_length": docs
         + _diff(
-            _after(_win_length("1 hour", HOUR_MS), DOC_SPLIT, "docs"),
-            _before(AVG_LENGTH, DOC_SPLIT, "docs"),
+            _after(_win_length("1 hour", HOUR_MS), DOC_MIDDLE, "docs"),
+            _before(AVG_LENGTH, DOC_MIDDLE, "docs"),
             ["topic"], "length", "window_start, timestamp, length, topic, cnt",
         ),
         "cmp_total_count": posts
         + _diff(
-            _after(total_days, SPLIT, "posts"),
-            per_window(_before(total, SPLIT, "posts"), "topic, tweet_type"),
+            _after(total_days, EVENT_SPLIT, "posts"),
+            per_window(_before(total, EVENT_SPLIT, "posts"), "topic, tweet_type"),
             ["topic", "tweet_type"], "cnt", "window_start, timestamp, topic, tweet_type, cnt",
         ),
         "cmp_source": apps
         + _diff(
-            _after(app_days, SPLIT, "apps"),
-            per_window(_before(top_sources, SPLIT, "apps"), "source, topic"),
+            _after(app_days, EVENT_SPLIT, "apps"),
+            per_window(_before(top_sources, EVENT_SPLIT, "apps"), "source, topic"),
             ["source", "topic"], "cnt", "window_start, timestamp, source, topic, cnt",
         ),
         "cmp_hashtag": tags
         + _in(
-            _after(_counts("tags", "hashtag, topic", 0, "1 day"), SPLIT, "tags"),
-            _before(_top("tags", "hashtag", 10, "hashtag, topic"), SPLIT, "tags"),
+            _after(_counts("tags", "hashtag, topic", 0, "1 day"), EVENT_SPLIT, "tags"),
+            _before(_top("tags", "hashtag", 10, "hashtag, topic"), EVENT_SPLIT, "tags"),
             "hashtag",
         ),
         "cmp_word": words
         + _in(
-            _after(_counts("words", "word, topic", 0, "1 hour"), DOC_SPLIT, "words"),
-            _before(_top("words", "word", 7, "word, topic"), DOC_SPLIT, "words"),
+            _after(_counts("words", "word, topic", 0, "1 hour"), DOC_MIDDLE, "words"),
+            _before(_top("words", "word", 7, "word, topic"), DOC_MIDDLE, "words"),
             "word",
         ),
         "pred_avg_retweets": "WITH RECURSIVE " + POSTS + ","
@@ -375,50 +385,71 @@ def oracle_sql() -> dict[str, str]:
         "timestamp || ',\"trackterm\":\"' || topic || '\"}' AS value FROM ("
         + _counts("tags", "hashtag, topic", 1, "1 day")
         + ")",
-        "stream_total_count": posts
-        + _closed(_counts("posts", "topic, tweet_type", 0, "1 hour"), str(HOUR_MS), "posts"),
-        "stream_avg_retweets": posts
-        + _closed(_win_retweets("1 hour", HOUR_MS), str(HOUR_MS), "posts WHERE retweet"),
         "csv_roundtrip": posts + total,
         "stream_limit_notices": LIMITS,
-        "stream_word_count": words
-        + _closed(_counts("words", "word, topic", 1, "1 hour"), str(HOUR_MS), "docs"),
-        "stream_documents": posts
-        + "SELECT '{\"cnt\":' || cnt || ',\"tweetType\":\"' || tweet_type || '\",\"timestamp\":' || "
-        "timestamp || ',\"trackterm\":\"' || topic || '\"}' AS value FROM ("
-        + _closed(total_days, str(DAY_MS), "posts")
-        + ") UNION ALL SELECT '{\"cnt\":' || cnt || ',\"trackterm\":\"' || topic || '\",\"timestamp\":' || "
-        "timestamp || '}' AS value FROM ("
-        + _closed(_counts("posts", "topic", 0, "1 day"), str(DAY_MS), "posts")
-        + ")",
-        "stream_pred_avg_length": "WITH RECURSIVE " + DOCS + ","
-        + _smoothed(
-            _closed(
-                _win_length("1 hour", HOUR_MS), str(HOUR_MS),
-                "docs WHERE text <> '' AND tweet_type = 'Original Tweet'",
-            ),
-            AVG_LENGTH, "length", "CAST(({p} + {x}) // 2 AS INTEGER)",
+        "stream_total_count": posts + _counts("posts", "topic, tweet_type", 0, "1 hour"),
+        "stream_avg_retweets": posts + _win_retweets("1 hour", HOUR_MS),
+        "stream_arrival_totals": posts + total,
+        "json_avg_retweets": posts
+        + _json(
+            AVG_RETWEETS,
+            [("cnt", "cnt", False), ("RetweetTweetType", "'Retweet'", True), ("timestamp", "timestamp", False),
+             ("retweets", "retweets", False), ("trackterm", "topic", True)],
         ),
-        "stream_popular_top": posts + _closed(_users(TOP), str(DAY_MS), "posts"),
-        "stream_cmp_hashtag": tags
-        + _closed(
-            _in(
-                _after(_counts("tags", "hashtag, topic", 0, "1 day"), SPLIT, "tags"),
-                _before(_top("tags", "hashtag", 10, "hashtag, topic"), SPLIT, "tags"),
-                "hashtag",
-            ),
-            str(DAY_MS), "tags",
+        "json_avg_length": docs
+        + _json(
+            AVG_LENGTH,
+            [("cnt", "cnt", False), ("timestamp", "timestamp", False), ("length", "length", False),
+             ("trackterm", "topic", True)],
         ),
-        "stream_pred_avg_retweets": "WITH RECURSIVE " + POSTS + ","
-        + _smoothed(
-            _closed(_win_retweets("1 hour", HOUR_MS), str(HOUR_MS), "posts WHERE retweet"),
-            AVG_RETWEETS, "retweets", "CAST(trunc(({p} + {x}) / 2) AS INTEGER)",
+        "json_word": words
+        + _json(
+            _counts("words", "word, topic", 10),
+            [("cnt", "cnt", False), ("timestamp", "timestamp", False), ("word", "word", True),
+             ("trackterm", "topic", True)],
+        ),
+        "json_source": apps
+        + _json(
+            _counts("apps", "source, topic", 2),
+            [("cnt", "cnt", False), ("source", "source", True), ("timestamp", "timestamp", False),
+             ("searchTerm", "topic", True)],
+        ),
+        "json_sentiment": feelings
+        + _json(
+            _counts("labels_of", "sentiment, topic"),
+            [("cnt", "cnt", False), ("tweetType", "'Original Tweet'", True), ("timestamp", "timestamp", False),
+             ("sentiment", "sentiment", True), ("trackterm", "topic", True)],
         ),
-        "stream_pred_retweets_followers": posts.rstrip() + ","
-        + LINE.replace(
-            "{series}", _closed(_win_followers("1 hour", HOUR_MS), str(HOUR_MS), "posts WHERE retweet")
+        "json_popular_user": posts
+        + _json(
+            _users(FIRST),
+            [("follower_count", "followers", False), ("username", "screen_name", True),
+             ("accountname", "account_name", True), ("img", "img_url", True), ("timestamp", "timestamp", False)],
+        ),
+        "stream_documents": posts
+        + _json(
+            total_days,
+            [("cnt", "cnt", False), ("tweetType", "tweet_type", True), ("timestamp", "timestamp", False),
+             ("trackterm", "topic", True)],
+        )
+        + " UNION ALL "
+        + _json(
+            _counts("posts", "topic", 0, "1 day"),
+            [("cnt", "cnt", False), ("trackterm", "topic", True), ("timestamp", "timestamp", False)],
         ),
-        "stream_hashtag_count": tags
-        + _closed(_counts("tags", "hashtag, topic", 1, "1 day"), str(DAY_MS), "tags"),
     }
+    sql["json_retweets_followers"] = _json(
+        sql["retweets_followers"],
+        [("cnt", "cnt", False), ("followers", "followers", False), ("timestamp", "timestamp", False),
+         ("retweets", "retweets", False), ("trackterm", "topic", True)],
+    )
+    # A stream that has ended gives the rows of the batch query.
+    streams = "topic_count avg_length retweets_followers hashtag_count word_count source_count "
+    for name in (streams + "sentiment_count popular_first popular_top").split():
+        sql[f"stream_{name}"] = sql[f"win_{name}"]
+    for name in "avg_retweets avg_length total_count source hashtag word".split():
+        sql[f"stream_cmp_{name}"] = sql[f"cmp_{name}"]
+    for name in "avg_retweets avg_length retweets_followers".split():
+        sql[f"stream_pred_{name}"] = sql[f"pred_{name}"]
+    sql["stream_parse_roundtrip"] = sql["parse_roundtrip"]
     return sql

@@ -16,17 +16,20 @@ from postpulse.sources import baselines, raw, tables
 from postpulse.streaming.documents import documents
 from postpulse.streaming.sinks import save_lines, start_documents, write_csv
 from postpulse.streaming.stateful import stream_line, stream_smoothed
-from postpulse.streaming.windows import event_time, run_to_table
+from postpulse.streaming.windows import (
+    complete,
+    end,
+    event_time,
+    open_ending,
+    run_to_table,
+)
 
-from .oracle import DOC_SPLIT, LEXICON, SPLIT
+from .oracle import LEXICON, SPLIT
 
 DAY, HOUR = "1 day", "1 hour"
 # Baseline period of the event posts: 1 to 16 January 2024, in day windows.
 BASELINE_WINDOWS = baselines.windows_between(1704067200000, 1705363200000, 86_400_000)
 
-# Streams here keep state per topic, type or tag and window: little of it.
-STATE_PARTITIONS = 4
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -60,10 +63,17 @@ def _event_halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _half_documents(spark: SparkSession, sf: str, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents of the lower and upper half of the id range. The split is on
+    the stored column, so each side's scan skips the other's row groups."""
+    ids = tables.table(spark, sf, "documents").agg(F.min("doc_id"), F.max("doc_id")).first()
+    middle = ((ids[0] or 0) + (ids[1] or 0)) // 2
+    return rows.filter(F.col("doc_id") < middle), rows.filter(F.col("doc_id") >= middle)
+
+
 def _text_halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    posts = tables.document_posts(spark, sf)
-    split = F.lit(DOC_SPLIT).cast("timestamp")
-    return posts.filter(F.col("ts") < split), posts.filter(F.col("ts") >= split)
+    halves = _half_documents(spark, sf, tables.documents(spark, sf))
+    return tuple(tables.document_posts(spark, sf, half) for half in halves)
 
 
 def cmp_avg_retweets(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,7 +162,10 @@ def limit_notices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parse_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    posts = raw.parse_posts(tables.raw_lines(spark, sf), tables.TABLE_TOPICS)
+    return _parsed(raw.parse_posts(tables.raw_lines(spark, sf), tables.TABLE_TOPICS))
+
+
+def _parsed(posts: DataFrame) -> DataFrame:
     return posts.select(
         "id", millis(F.col("ts")).alias("timestamp"), "topic", "tweet_type", "text", "lang",
         "source", "account_name", "screen_name", "followers", "verified", "in_reply_to", "links",
@@ -172,40 +185,51 @@ def json_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, sf: str) -> DataFrame:
-    return event_time(tables.posts(spark, sf, tables.stream_table(spark, sf, "events")))
-
+    return complete(tables.posts(spark, sf, tables.stream_table(spark, sf, "events")))
 
-def stream_total_count(spark: SparkSession, sf: str) -> DataFrame:
-    rows = metrics.total_count(_streamed(spark, sf), HOUR)
-    return _plain(run_to_table(rows, "stream_total_count", partitions=STATE_PARTITIONS))
 
+def _streamed_texts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = tables.stream_table(spark, sf, "documents")
+    return complete(tables.document_posts(spark, sf, rows))
 
-def stream_avg_retweets(spark: SparkSession, sf: str) -> DataFrame:
-    rows = metrics.avg_retweets(_streamed(spark, sf), HOUR)
-    return _plain(run_to_table(rows, "stream_avg_retweets", partitions=STATE_PARTITIONS))
 
+def _stream(label: str, source: Query, operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
+    """A windowed metric of a stream that ends with what the table holds."""
 
-def stream_hashtag_count(spark: SparkSession, sf: str) -> DataFrame:
-    rows = metrics.hashtag_count(_streamed(spark, sf), DAY)
-    return _plain(run_to_table(rows, "stream_hashtag_count", partitions=STATE_PARTITIONS))
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return _plain(run_to_table(operator(source(spark, sf), *args, **kwargs), label))
 
+    return run
 
-def stream_popular_top(spark: SparkSession, sf: str) -> DataFrame:
-    rows = metrics.popular_user(_streamed(spark, sf), DAY, "followers")
-    return _plain(run_to_table(rows, "stream_popular_top", partitions=STATE_PARTITIONS))
 
-
-def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
-    rows = tables.document_posts(spark, sf, tables.stream_table(spark, sf, "documents"))
-    words = metrics.word_count(event_time(rows), HOUR)
-    return _plain(run_to_table(words, "stream_word_count", partitions=STATE_PARTITIONS))
+def stream_arrival_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts in windows of arrival, summed up: the batch totals, each with the
+    time of its first post."""
+    posts = tables.posts(spark, sf, tables.stream_table(spark, sf, "events"))
+    closing = open_ending(posts, scratch_path(spark, "closing"))
+    end(spark, closing, posts.schema)
+    timed = event_time(posts, time_domain="processing", closing=closing)
+    rows = run_to_table(metrics.total_count(timed, HOUR), "stream_arrival_totals")
+    return rows.groupBy("topic", "tweet_type").agg(
+        F.min("timestamp").alias("timestamp"), F.sum("cnt").alias("cnt")
+    )
 
 
 def stream_pred_avg_length(spark: SparkSession, sf: str) -> DataFrame:
-    rows = tables.document_posts(spark, sf, tables.stream_table(spark, sf, "documents"))
     seeds = stage(metrics.avg_length(tables.document_posts(spark, sf)), "seeds")
-    predicted = stream_smoothed(metrics.avg_length(event_time(rows), HOUR), seeds, "length")
-    return _plain(run_to_table(predicted, "stream_pred_avg_length", partitions=STATE_PARTITIONS))
+    series = metrics.avg_length(_streamed_texts(spark, sf), HOUR)
+    return _plain(run_to_table(stream_smoothed(series, seeds, "length"), "stream_pred_avg_length"))
+
+
+def stream_parse_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw lines collected from one stream and parsed in another."""
+    path = scratch_path(spark, "lines")
+    lines = tables.document_lines(tables.stream_table(spark, sf, "documents")).unionByName(
+        tables.event_lines(tables.stream_table(spark, sf, "events"))
+    )
+    save_lines(lines, path, f"{path}-checkpoint").awaitTermination()
+    posts = raw.parse_posts(raw.stream_lines(spark, path), tables.TABLE_TOPICS)
+    return _parsed(run_to_table(posts, "stream_parse_roundtrip"))
 
 
 def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -217,7 +241,7 @@ def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
     ]
     start_documents(
         metrics.topic_summary(_streamed(spark, sf), DAY), "stream_documents", path,
-        f"{path}-checkpoint", outputs, partitions=STATE_PARTITIONS,
+        f"{path}-checkpoint", outputs,
     ).awaitTermination()
     both = [spark.read.text(f"{path}/{index}").select("value") for _, index, _ in outputs]
     return both[0].unionAll(both[1])
@@ -238,25 +262,42 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return baselines.read_stored(spark, path, "total_count")
 
 
-def stream_cmp_hashtag(spark: SparkSession, sf: str) -> DataFrame:
-    """Stream-static: the stream's windows against the stored top tags."""
-    stored, _ = _event_halves(spark, sf)
-    live = tables.stream_table(spark, sf, "events").filter(F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz"))
-    tags = metrics.hashtag_count(event_time(tables.posts(spark, sf, live)), DAY, more_than=0)
-    rows = compare.compare_hashtag(tags, stage(topn.top_hashtags(stored), "top_hashtags"))
-    return _plain(run_to_table(rows, "stream_cmp_hashtag", partitions=STATE_PARTITIONS))
+def _stream_cmp(
+    metric: str, stored_of: Callable[..., DataFrame], live_of: Callable[..., DataFrame], texts: bool = False
+) -> Query:
+    """Stream-static: a stream's windows against a stored result."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        if texts:
+            stored, _ = _text_halves(spark, sf)
+            _, rows = _half_documents(spark, sf, tables.stream_table(spark, sf, "documents"))
+            live = tables.document_posts(spark, sf, rows)
+        else:
+            stored, _ = _event_halves(spark, sf)
+            rows = tables.stream_table(spark, sf, "events").filter(
+                F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz")
+            )
+            live = tables.posts(spark, sf, rows)
+        baseline = stage(stored_of(stored), f"baseline_{metric}")
+        compared = getattr(compare, f"compare_{metric}")(live_of(complete(live)), baseline)
+        return _plain(run_to_table(compared, f"stream_cmp_{metric}"))
+
+    return run
 
 
 def stream_pred_avg_retweets(spark: SparkSession, sf: str) -> DataFrame:
     seeds = stage(metrics.avg_retweets(tables.posts(spark, sf)), "seeds")
     series = metrics.avg_retweets(_streamed(spark, sf), HOUR)
-    rows = stream_smoothed(series, seeds, "retweets")
-    return _plain(run_to_table(rows, "stream_pred_avg_retweets", partitions=STATE_PARTITIONS))
+    return _plain(run_to_table(stream_smoothed(series, seeds, "retweets"), "stream_pred_avg_retweets"))
 
 
 def stream_pred_retweets_followers(spark: SparkSession, sf: str) -> DataFrame:
     rows = stream_line(metrics.retweets_followers(_streamed(spark, sf), HOUR))
-    return _plain(run_to_table(rows, "stream_pred_retweets_followers", partitions=STATE_PARTITIONS))
+    return _plain(run_to_table(rows, "stream_pred_retweets_followers"))
+
+
+def _json(metric: str, source: Query, operator: Callable[..., DataFrame], *args) -> Query:
+    return lambda spark, sf: documents(operator(source(spark, sf), *args), metric)
 
 
 QUERIES: dict[str, Query] = {
@@ -310,14 +351,56 @@ QUERIES: dict[str, Query] = {
     "source_filter": source_filter,
     "json_documents": json_documents,
     "csv_roundtrip": csv_roundtrip,
-    "stream_total_count": stream_total_count,
-    "stream_avg_retweets": stream_avg_retweets,
-    "stream_hashtag_count": stream_hashtag_count,
-    "stream_word_count": stream_word_count,
-    "stream_popular_top": stream_popular_top,
+    "json_avg_retweets": _json("avg_retweets", tables.posts, metrics.avg_retweets),
+    "json_avg_length": _json("avg_length", tables.document_posts, metrics.avg_length),
+    "json_word": _json("word", tables.document_posts, metrics.word_count),
+    "json_source": _json("source", tables.posts, metrics.source_count),
+    "json_sentiment": _json("sentiment", tables.document_posts, metrics.sentiment_count, LEXICON),
+    "json_retweets_followers": _json("retweets_followers", tables.posts, metrics.retweets_followers),
+    "json_popular_user": _json("popular_user", tables.posts, metrics.popular_user, DAY),
+    "stream_total_count": _stream("stream_total_count", _streamed, metrics.total_count, HOUR),
+    "stream_topic_count": _stream("stream_topic_count", _streamed, metrics.topic_count, DAY),
+    "stream_avg_retweets": _stream("stream_avg_retweets", _streamed, metrics.avg_retweets, HOUR),
+    "stream_avg_length": _stream("stream_avg_length", _streamed_texts, metrics.avg_length, HOUR),
+    "stream_retweets_followers": _stream(
+        "stream_retweets_followers", _streamed, metrics.retweets_followers, DAY
+    ),
+    "stream_hashtag_count": _stream("stream_hashtag_count", _streamed, metrics.hashtag_count, DAY),
+    "stream_word_count": _stream("stream_word_count", _streamed_texts, metrics.word_count, HOUR),
+    "stream_source_count": _stream("stream_source_count", _streamed, metrics.source_count, DAY),
+    "stream_sentiment_count": _stream(
+        "stream_sentiment_count", _streamed_texts, metrics.sentiment_count, LEXICON, HOUR
+    ),
+    "stream_popular_first": _stream("stream_popular_first", _streamed, metrics.popular_user, DAY),
+    "stream_popular_top": _stream(
+        "stream_popular_top", _streamed, metrics.popular_user, DAY, "followers"
+    ),
+    "stream_arrival_totals": stream_arrival_totals,
+    "stream_parse_roundtrip": stream_parse_roundtrip,
     "stream_documents": stream_documents,
     "stream_limit_notices": stream_limit_notices,
-    "stream_cmp_hashtag": stream_cmp_hashtag,
+    "stream_cmp_avg_retweets": _stream_cmp(
+        "avg_retweets", metrics.avg_retweets, lambda live: metrics.avg_retweets(live, DAY)
+    ),
+    "stream_cmp_avg_length": _stream_cmp(
+        "avg_length", metrics.avg_length, lambda live: metrics.avg_length(live, HOUR), texts=True
+    ),
+    "stream_cmp_total_count": _stream_cmp(
+        "total_count",
+        lambda stored: baselines.per_window(metrics.total_count(stored), BASELINE_WINDOWS),
+        lambda live: metrics.total_count(live, DAY),
+    ),
+    "stream_cmp_source": _stream_cmp(
+        "source",
+        lambda stored: baselines.per_window(topn.top_sources(stored), BASELINE_WINDOWS),
+        lambda live: metrics.source_count(live, DAY),
+    ),
+    "stream_cmp_hashtag": _stream_cmp(
+        "hashtag", topn.top_hashtags, lambda live: metrics.hashtag_count(live, DAY, more_than=0)
+    ),
+    "stream_cmp_word": _stream_cmp(
+        "word", topn.top_words, lambda live: metrics.word_count(live, HOUR, more_than=0), texts=True
+    ),
     "stream_pred_avg_retweets": stream_pred_avg_retweets,
     "stream_pred_avg_length": stream_pred_avg_length,
     "stream_pred_retweets_followers": stream_pred_retweets_followers,

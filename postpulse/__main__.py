@@ -10,8 +10,11 @@ from .operators.metrics import WINDOW
 from .operators.sentiment import read_lexicon
 from .plans import batch, collect, compare, live, predict
 from .session import build_session, shared_dir
-from .sources.posts import store_posts, stream_posts
+from .sources.posts import read_posts, store_posts, stream_posts, wait_for_folder
 from .sources.raw import parse_posts, select_posts, stream_lines, stream_topic_lines
+from .streaming.windows import end, open_ending
+
+POSTS, KAFKA = "posts:", "kafka://"
 
 
 def _arguments() -> argparse.Namespace:
@@ -22,7 +25,7 @@ def _arguments() -> argparse.Namespace:
         command = jobs.add_parser(name, help=text)
         command.add_argument(
             "--input", required=True,
-            help="folder of raw lines, kafka://servers/topic, or posts:FOLDER of the store job",
+            help="folder of raw lines, kafka://servers/topic (streams), or posts:FOLDER of the store job",
         )
         command.add_argument("--output", required=True)
         return command
@@ -30,77 +33,134 @@ def _arguments() -> argparse.Namespace:
     def streaming(command: argparse.ArgumentParser) -> None:
         command.add_argument("--checkpoint", help="default: under the shared folder")
         command.add_argument("--trigger", help='interval such as "30 seconds"; default: drain and stop')
+        command.add_argument("--max-files", type=int, help="files per micro-batch; default: all there are")
+
+    def selecting(command: argparse.ArgumentParser) -> None:
+        command.add_argument("--langs", default="")
+        command.add_argument("--terms", default="")
+        command.add_argument("--users", default="")
 
     def windowed(command: argparse.ArgumentParser) -> None:
         streaming(command)
+        selecting(command)
         command.add_argument("--window", default=WINDOW)
         command.add_argument("--delay", default="10 seconds", help="how long late posts are waited for")
         command.add_argument("--time-domain", choices=["event", "processing"], default="event")
         command.add_argument("--state-partitions", type=int)
-        command.add_argument("--langs", default="")
-        command.add_argument("--terms", default="")
-        command.add_argument("--users", default="")
+        command.add_argument(
+            "--final", action="store_true", help="the input is complete: close the last windows, too"
+        )
 
     streaming(job("collect", "store raw lines"))
     streaming(job("store", "decode raw lines once into a folder of typed posts"))
-    job("batch", "all metrics as CSV").add_argument("--lexicon", required=True)
+    command = job("batch", "all metrics as CSV")
+    selecting(command)
+    command.add_argument("--lexicon", required=True)
+    command.add_argument("--lexicon-table", action="store_true", help="join the lexicon, of any size")
     command = job("live", "windowed metrics as index documents")
     windowed(command)
     command.add_argument("--lexicon", required=True)
     command = job("compare", "windowed metrics against batch results")
     windowed(command)
     command.add_argument("--baselines", required=True, help="output folder of the batch job")
-    command.add_argument("--baseline-windows", type=int, required=True, help="windows the batch covered")
+    command.add_argument("--baseline-windows", type=int, help="default: those of the batch's period")
     command = job("predict", "next-window predictions")
     windowed(command)
     command.add_argument("--baselines", required=True, help="output folder of the batch job")
     return parser.parse_args()
 
 
-def _lines(spark: SparkSession, source: str) -> DataFrame:
-    if source.startswith("kafka://"):
-        servers, topic = source.removeprefix("kafka://").rsplit("/", 1)
+def _lines(spark: SparkSession, source: str, max_files: int | None) -> DataFrame:
+    if source.startswith(KAFKA):
+        servers, topic = source.removeprefix(KAFKA).rsplit("/", 1)
         return stream_topic_lines(spark, **{"kafka.bootstrap.servers": servers, "subscribe": topic})
-    return stream_lines(spark, source)
+    return stream_lines(spark, source, max_files)
 
 
-def main() -> None:
-    given = _arguments()
-    spark = build_session(f"postpulse {given.job}")
-    if given.job == "batch":
-        batch.run(spark, given.input, given.output, read_lexicon(spark, given.lexicon))
-        return
-    checkpoint = given.checkpoint or f"{shared_dir(spark)}/{given.job}"
-    if given.input.startswith("posts:"):
-        posts = stream_posts(spark, given.input.removeprefix("posts:"))
+def _selected(given: argparse.Namespace, posts: DataFrame) -> DataFrame:
+    return select_posts(posts, given.langs, given.terms, given.users)
+
+
+def _batch(spark: SparkSession, given: argparse.Namespace) -> None:
+    lexicon = read_lexicon(spark, given.lexicon, given.lexicon_table)
+    if given.input.startswith(POSTS):
+        posts = read_posts(spark, given.input.removeprefix(POSTS))
+        batch.run(_selected(given, posts), given.output, lexicon)
+    elif given.input.startswith(KAFKA):
+        raise SystemExit("batch reads folders; use collect or store for a Kafka topic")
     else:
-        lines = _lines(spark, given.input)
-        if given.job == "collect":
-            collect.run(lines, given.output, checkpoint, given.trigger).awaitTermination()
-            return
-        posts = parse_posts(lines)
-    if given.job == "store":
-        store_posts(posts, given.output, checkpoint, given.trigger).awaitTermination()
-        return
-    posts = select_posts(posts, given.langs, given.terms, given.users)
+        batch.run_lines(
+            spark, given.input, given.output, lexicon, select=lambda posts: _selected(given, posts)
+        )
+
+
+def _posts(spark: SparkSession, given: argparse.Namespace, checkpoint: str) -> DataFrame:
+    """A stream of typed posts. Raw lines are decoded once, into a store that
+    all queries of the job read from."""
+    if given.input.startswith(POSTS):
+        folder = given.input.removeprefix(POSTS)
+    else:
+        folder = f"{checkpoint}/posts"
+        lines = parse_posts(_lines(spark, given.input, given.max_files))
+        storing = store_posts(lines, folder, f"{checkpoint}/store", given.trigger)
+        if given.trigger is None:
+            storing.awaitTermination()
+        else:
+            wait_for_folder(storing, folder)
+    return _selected(given, stream_posts(spark, folder, given.max_files))
+
+
+def _run_windowed(spark: SparkSession, given: argparse.Namespace, checkpoint: str) -> None:
+    posts = _posts(spark, given, checkpoint)
+    closing = open_ending(posts, f"{checkpoint}/closing")
     timing = {
         "window": given.window,
         "delay": given.delay,
         "time_domain": given.time_domain,
         "trigger": given.trigger,
         "partitions": given.state_partitions,
+        "closing": closing,
     }
-    if given.job == "live":
-        lexicon = read_lexicon(spark, given.lexicon)
-        queries = live.run(posts, given.output, checkpoint, lexicon, **timing)
-    elif given.job == "compare":
-        queries = compare.run(
-            posts, given.baselines, given.baseline_windows, given.output, checkpoint, **timing
-        )
+
+    def drain() -> None:
+        if given.job == "live":
+            queries = live.run(
+                posts, given.output, checkpoint, read_lexicon(spark, given.lexicon), **timing
+            )
+        elif given.job == "compare":
+            queries = compare.run(
+                posts, given.baselines, given.baseline_windows, given.output, checkpoint, **timing
+            )
+        else:
+            queries = predict.run(posts, given.baselines, given.output, checkpoint, **timing)
+        for query in queries:
+            query.awaitTermination()
+
+    drain()
+    if given.final:
+        end(spark, closing, posts.schema)
+        drain()
+
+
+def main() -> None:
+    given = _arguments()
+    spark = build_session(f"postpulse {given.job}")
+    if given.job == "batch":
+        _batch(spark, given)
+        return
+    checkpoint = given.checkpoint or f"{shared_dir(spark)}/{given.job}"
+    if given.job not in ("collect", "store"):
+        if given.final and given.trigger:
+            raise SystemExit("--final is for runs without --trigger")
+        _run_windowed(spark, given, checkpoint)
+        return
+    if given.input.startswith(POSTS):
+        raise SystemExit(f"{given.job} reads raw lines, not stored posts")
+    lines = _lines(spark, given.input, given.max_files)
+    if given.job == "collect":
+        collect.run(lines, given.output, checkpoint, given.trigger).awaitTermination()
     else:
-        queries = predict.run(posts, given.baselines, given.output, checkpoint, **timing)
-    for query in queries:
-        query.awaitTermination()
+        store_posts(parse_posts(lines), given.output, checkpoint, given.trigger).awaitTermination()
 
 
 if __name__ == "__main__":

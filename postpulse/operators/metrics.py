@@ -16,16 +16,39 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import millis, truncated_mean
 from ..functions.text import hashtag, is_counted_word, source_apps, tokens, utf16_length
-from ..schema import ORIGINAL, RETWEET
+from ..schema import ARRIVAL, ORIGINAL, RETWEET
 from .sentiment import sentiment_by_join, with_sentiment
 
 WINDOW = "60 seconds"
+# Before any post.
+LONG_AGO = "0001-01-01 00:00:00"
+
+
+def _times(rows: DataFrame) -> list[str]:
+    """The post's time and, where windows go by arrival, that."""
+    return ["ts", ARRIVAL] if ARRIVAL in rows.columns else ["ts"]
+
+
+def _only(rows: DataFrame, condition: Column, seen: Column) -> DataFrame:
+    """Rows that meet a condition. On a stream the condition is tied to ``seen``
+    (true for every row, but unknown to the optimizer): it stays above the
+    watermark, so windows also close by posts that the metric leaves out."""
+    return rows.filter(F.when(seen, condition) if rows.isStreaming else condition)
+
+
+def _seen(rows: DataFrame, items: Column) -> Column:
+    """Items to explode. On a stream they are tied to the post's time, so that
+    the filter on empty ones stays above the watermark, too."""
+    if not rows.isStreaming:
+        return items
+    return F.when(F.col(_times(rows)[-1]) > F.lit(LONG_AGO).cast("timestamp"), items)
 
 
 def _aggregate(rows: DataFrame, window: str | None, keys: list[str], *aggs: Column) -> DataFrame:
     if window is None:
         return rows.groupBy(*keys).agg(*aggs)
-    grouped = rows.groupBy(F.window("ts", window).alias("_window"), *keys).agg(*aggs)
+    clock = _times(rows)[-1]
+    grouped = rows.groupBy(F.window(clock, window).alias("_window"), *keys).agg(*aggs)
     return grouped.select(
         F.col("_window.start").alias("window_start"),
         F.col("_window.end").alias("window_end"),
@@ -113,7 +136,7 @@ def type_rollup_of(summary: DataFrame) -> DataFrame:
 
 def avg_retweets_of(summary: DataFrame) -> DataFrame:
     """Whole input: truncated INT. Per window: the exact DOUBLE mean."""
-    rows = summary.filter(F.col("tweet_type") == RETWEET)
+    rows = _only(summary, F.col("tweet_type") == RETWEET, F.col("posts") > 0)
     if _starts(summary):
         mean = F.col("retweets") / F.col("posts")
     else:
@@ -125,7 +148,8 @@ def avg_retweets_of(summary: DataFrame) -> DataFrame:
 
 
 def avg_length_of(summary: DataFrame) -> DataFrame:
-    rows = summary.filter((F.col("tweet_type") == ORIGINAL) & (F.col("texts") > 0))
+    originals = _only(summary, F.col("tweet_type") == ORIGINAL, F.col("posts") > 0)
+    rows = originals.filter(F.col("texts") > 0)
     return rows.select(
         *_starts(summary), _stamp(summary, "first_text_ts"),
         truncated_mean(F.col("text_length"), F.col("texts")).alias("length"), "topic",
@@ -135,7 +159,7 @@ def avg_length_of(summary: DataFrame) -> DataFrame:
 
 def retweets_followers_of(summary: DataFrame) -> DataFrame:
     """Mean audience of the original authors next to mean re-shares."""
-    rows = summary.filter(F.col("tweet_type") == RETWEET)
+    rows = _only(summary, F.col("tweet_type") == RETWEET, F.col("posts") > 0)
     return rows.select(
         *_starts(summary), _stamp(summary, "first_ts"),
         truncated_mean(F.col("author_followers"), F.col("posts")).cast("bigint").alias("followers"),
@@ -182,8 +206,8 @@ def retweets_followers(posts: DataFrame, window: str | None = None) -> DataFrame
 
 def hashtag_count(posts: DataFrame, window: str | None = None, more_than: int = 1) -> DataFrame:
     """Tag uses per topic; a tag repeated within a post counts each time."""
-    tags = posts.select("ts", "topic", F.explode("hashtags").alias("_tag"))
-    tags = tags.select("ts", "topic", hashtag(F.col("_tag")).alias("hashtag"))
+    tags = posts.select(*_times(posts), "topic", F.explode(_seen(posts, F.col("hashtags"))).alias("_tag"))
+    tags = tags.select(*_times(posts), "topic", hashtag(F.col("_tag")).alias("hashtag"))
     return count_by(tags, window, ["hashtag", "topic"]).filter(F.col("cnt") > more_than)
 
 
@@ -192,7 +216,7 @@ def word_count(posts: DataFrame, window: str | None = None, more_than: int | Non
     input, above 1 per window, unless another threshold is given."""
     if more_than is None:
         more_than = 10 if window is None else 1
-    words = posts.select("ts", "topic", F.explode(tokens(F.col("text"))).alias("word"))
+    words = posts.select(*_times(posts), "topic", F.explode(_seen(posts, tokens(F.col("text")))).alias("word"))
     words = words.filter(is_counted_word(F.col("word")))
     return count_by(words, window, ["word", "topic"]).filter(F.col("cnt") > more_than)
 
@@ -201,7 +225,7 @@ def source_count(posts: DataFrame, window: str | None = None, more_than: int | N
     """Client-app uses per topic: above 2 over a whole input, all per window."""
     if more_than is None:
         more_than = 2 if window is None else 0
-    apps = posts.select("ts", "topic", F.explode(source_apps(F.col("source"))).alias("source"))
+    apps = posts.select(*_times(posts), "topic", F.explode(_seen(posts, source_apps(F.col("source")))).alias("source"))
     return count_by(apps, window, ["source", "topic"]).filter(F.col("cnt") > more_than)
 
 
@@ -210,11 +234,13 @@ def sentiment_count(
 ) -> DataFrame:
     """Sentiment labels per topic over non-empty original posts. A lexicon is
     inlined when given as a dict and joined when given as a table."""
-    rows = posts.filter((F.col("text") != "") & (F.col("tweet_type") == ORIGINAL))
+    times = _times(posts)
+    wanted = (F.col("text") != "") & (F.col("tweet_type") == ORIGINAL)
+    rows = _only(posts, wanted, F.col(times[-1]) > F.lit(LONG_AGO).cast("timestamp"))
     if isinstance(lexicon, DataFrame):
         labelled = sentiment_by_join(rows, lexicon)
     else:
-        labelled = with_sentiment(rows, lexicon).select("ts", "topic", "sentiment")
+        labelled = with_sentiment(rows, lexicon).select(*times, "topic", "sentiment")
     return count_by(labelled, window, ["sentiment", "topic"])
 
 
@@ -228,7 +254,7 @@ def _users(posts: DataFrame) -> DataFrame:
         return F.when(F.col("retweet"), F.col(shared)).otherwise(F.col(own)).alias(own)
 
     return posts.select(
-        "ts",
+        *_times(posts),
         "id",
         choose("retweet_account_name", "account_name"),
         choose("retweet_screen_name", "screen_name"),

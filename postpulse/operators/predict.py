@@ -145,7 +145,7 @@ def _smoothed(
         run(F.lit(INT_MIN)).alias("low"),
         run(F.lit(INT_MAX)).alias("high"),
     )
-    starts = _link(described.withColumn("turn", _turn(run)))
+    starts = _link(described.withColumn("turn", _turn(step)))
     replay = F.aggregate(
         "_rows",
         F.struct(
@@ -173,22 +173,25 @@ def _advance(acc: Column, row: Column, predicted: Column) -> Column:
     return F.struct(predicted.alias("p"), F.concat(acc["done"], F.array(done)).alias("done"))
 
 
-def _turn(run: Callable[[Column], Column]) -> Column:
-    """First start value whose result is ``high``, by bisection."""
-
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.floor((span["a"] + span["b"]) / 2).cast("bigint")
-        reached = run(middle) == F.col("high")
-        return F.struct(
-            F.when(reached, span["a"]).otherwise(middle + 1).alias("a"),
-            F.when(reached, middle).otherwise(span["b"]).alias("b"),
+def _turn(step: Callable[[Column, Column], Column]) -> Column:
+    """First start value whose result is ``high``, by one fold from the end:
+    the least value before a step that reaches ``t`` after it is near 2t - x,
+    and the step itself decides between that and its neighbours."""
+
+    def back(t: Column, row: Column) -> Column:
+        twice, x = 2 * t.cast("double"), row["x"].cast("double")
+        near = F.when(t > 0, F.ceil(twice - x)).otherwise(F.floor(twice - 2 - x) + 1)
+        guess = F.least(F.greatest(near, F.lit(INT_MIN)), F.lit(INT_MAX)).cast("bigint")
+        below = F.greatest(guess - 1, F.lit(INT_MIN).cast("bigint"))
+        above = F.least(guess + 1, F.lit(INT_MAX).cast("bigint"))
+        return (
+            F.when(step(below, row["x"]) >= t, below)
+            .when(step(guess, row["x"]) >= t, guess)
+            .otherwise(above)
         )
 
-    whole = F.struct(
-        F.lit(INT_MIN).cast("bigint").alias("a"), F.lit(INT_MAX).cast("bigint").alias("b")
-    )
-    bisected = F.aggregate(F.sequence(F.lit(1), F.lit(33)), whole, halve, lambda span: span["a"])
-    return F.when(F.col("low") == F.col("high"), F.lit(INT_MIN).cast("bigint")).otherwise(bisected)
+    first = F.aggregate(F.reverse("_rows"), F.col("high").cast("bigint"), back)
+    return F.when(F.col("low") == F.col("high"), F.lit(INT_MIN).cast("bigint")).otherwise(first)
 
 
 def _link(described: DataFrame) -> DataFrame:

@@ -6,23 +6,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, tokens
+from ..schema import ARRIVAL
+from ..session import stage
 
 # The labels.
 POSITIVE, NEGATIVE, NEUTRAL, ERROR = "POSITIVE", "NEGATIVE", "NEUTRAL", "ERROR"
 
-# A lexicon above this many words is joined as a table instead of being
-# written into the plan.
+# A lexicon is written into the plan up to this many words; larger ones are
+# read as a table.
 MAX_INLINE_WORDS = 10_000
 
 
-def read_lexicon(spark: SparkSession, path: str) -> dict[str, int] | DataFrame:
-    """A ``word;weight`` file: a dict while small enough to inline, else a table."""
-    lexicon = (
-        spark.read.schema("word STRING, weight INT").option("sep", ";").csv(path)
-        .dropDuplicates(["word"])
-    )
-    head = lexicon.take(MAX_INLINE_WORDS + 1)
-    return lexicon if len(head) > MAX_INLINE_WORDS else {row.word: row.weight for row in head}
+def read_lexicon(spark: SparkSession, path: str, as_table: bool = False) -> dict[str, int] | DataFrame:
+    """A ``word;weight`` file, as a dict to inline or as a table to join. Of a
+    word's weights the largest counts. Both give the same labels; a stream
+    needs the dict."""
+    rows = spark.read.schema("word STRING, weight INT").option("sep", ";").csv(path)
+    lexicon = one_weight(rows)
+    if as_table:
+        return lexicon
+    found = {row.word: row.weight for row in lexicon.take(MAX_INLINE_WORDS + 1)}
+    if len(found) > MAX_INLINE_WORDS:
+        raise ValueError(f"more than {MAX_INLINE_WORDS} words: read the lexicon as a table")
+    return found
+
+
+def one_weight(lexicon: DataFrame) -> DataFrame:
+    rows = lexicon.filter(F.col("word").isNotNull() & F.col("weight").isNotNull())
+    return rows.groupBy("word").agg(F.max("weight").alias("weight"))
 
 
 def label_of(score: Column) -> Column:
@@ -39,7 +50,7 @@ def lexicon_score(text: Column, lexicon: dict[str, int]) -> Column:
     """Summed weights of a text's words, within the row: nothing is shuffled.
 
     One hash-set test per word finds the few words the lexicon knows; only
-    those are tested again, once per distinct weight.
+    those are tested again, along a tree of the distinct weights.
     """
     if len(lexicon) > MAX_INLINE_WORDS:
         raise ValueError("lexicon too large to inline, use sentiment_by_join")
@@ -50,13 +61,19 @@ def lexicon_score(text: Column, lexicon: dict[str, int]) -> Column:
         by_weight.setdefault(weight, []).append(word)
     known = F.filter(tokens(text), lambda word: word.isin(*lexicon))
 
-    def weight_of(word: Column) -> Column:
-        chosen = F.lit(0)
-        for weight, words in by_weight.items():
-            chosen = F.when(word.isin(*words), weight).otherwise(chosen)
-        return chosen
-
-    return F.aggregate(known, F.lit(0), lambda total, word: total + weight_of(word))
+    def weight_of(word: Column, groups: list[tuple[int, list[str]]]) -> Column:
+        """Halves the weights at each level, so that many don't nest deeply."""
+        if len(groups) == 1:
+            return F.lit(groups[0][0])
+        half = len(groups) // 2
+        first = [w for _, words in groups[:half] for w in words]
+        return F.when(word.isin(*first), weight_of(word, groups[:half])).otherwise(
+            weight_of(word, groups[half:])
+        )
+
+    return F.aggregate(
+        known, F.lit(0), lambda total, word: total + weight_of(word, list(by_weight.items()))
+    )
 
 
 def with_sentiment(posts: DataFrame, lexicon: dict[str, int]) -> DataFrame:
@@ -72,20 +89,30 @@ def with_sentiment(posts: DataFrame, lexicon: dict[str, int]) -> DataFrame:
 
 
 def sentiment_by_join(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Labels from a lexicon table of any size: (word, weight), one row per word.
+    """Labels from a lexicon table of any size: (word, weight).
 
-    Words are summed per post before the shuffle on the post id, so a post
-    travels as one row however long its text is.
+    Every row is a post of its own, as when the lexicon is inlined. A post's
+    words are counted within the row first, so a word travels once per post;
+    where the lexicon doesn't broadcast, adaptive skew handling splits the
+    frequent words.
     """
-    cleaned = posts.select("id", "ts", "topic", clean_text(F.col("text")).alias("_cleaned"))
-    words = cleaned.select(
-        "id", "ts", "topic", (F.trim("_cleaned") != "").alias("_filled"),
-        F.explode(tokens(F.col("_cleaned"))).alias("word"),
-    )
-    scored = (
-        words.join(lexicon, "word", "left")
-        .groupBy("id", "ts", "topic", "_filled")
-        .agg(F.sum(F.coalesce("weight", F.lit(0))).alias("_sum"))
-        .withColumn("_score", F.when(F.col("_filled"), F.col("_sum")))
+    if posts.isStreaming:
+        raise ValueError("a stream takes its lexicon as a dict")
+    kept = [name for name in ("id", "ts", ARRIVAL) if name in posts.columns]
+    # Stored, so that the numbers of the rows stay what they are.
+    cleaned = stage(
+        posts.select(*kept, "topic", clean_text(F.col("text")).alias("_cleaned")).withColumn(
+            "_row", F.monotonically_increasing_id()
+        ),
+        "sentiment",
+    )
+    words = cleaned.select("_row", F.explode(tokens(F.col("_cleaned"))).alias("word"))
+    counted = words.groupBy("_row", "word").agg(F.count("*").alias("_n"))
+    scores = (
+        counted.join(one_weight(lexicon), "word")
+        .groupBy("_row")
+        .agg(F.sum(F.col("weight") * F.col("_n")).alias("_sum"))
     )
-    return scored.select("id", "ts", "topic", label_of(F.col("_score")).alias("sentiment"))
+    score = F.when(F.trim("_cleaned") != "", F.coalesce("_sum", F.lit(0)))
+    labelled = cleaned.join(scores, "_row", "left").withColumn("_score", score)
+    return labelled.select(*kept, "topic", label_of(F.col("_score")).alias("sentiment"))

@@ -7,12 +7,15 @@ topic x type summary, and each ranking from the counts it ranks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.topics import ELECTION_TOPICS, TopicRules
 from ..operators import metrics, topn
 from ..schema import STORED
-from ..session import stage
+from ..session import dropping_staged, stage
 from ..sources.raw import parse_limits, parse_posts, read_lines
 from ..streaming.sinks import write_csv
 
@@ -33,6 +36,9 @@ FILES = {
     "type_rollup": "batch.csv",
 }
 
+# First and last post of the input, epoch ms.
+PERIOD = "period.csv"
+
 # Results bounded by topics, types and N, written as one file.
 SMALL = {
     "total_count", "avg_retweets", "sentiment", "topic_count", "avg_length",
@@ -75,14 +81,31 @@ def _columns(metric: str) -> list[str]:
 
 
 def run(
+    posts: DataFrame, output: str, lexicon: dict[str, int] | DataFrame, limits: DataFrame | None = None
+) -> None:
+    """Writes all results of stored posts, the period they cover and, where
+    given, the limit notices; what it stages on the way is deleted."""
+    spark = posts.sparkSession
+    with dropping_staged(spark):
+        for metric, rows in results(posts, lexicon).items():
+            write_csv(rows, f"{output}/{FILES[metric]}", one_file=metric in SMALL)
+        period = posts.agg(F.unix_millis(F.min("ts")), F.unix_millis(F.max("ts")))
+        write_csv(period, f"{output}/{PERIOD}", one_file=True)
+        if limits is not None:
+            write_csv(limits, f"{output}/limits.csv")
+
+
+def run_lines(
     spark: SparkSession,
     source: str,
     output: str,
     lexicon: dict[str, int] | DataFrame,
     rules: TopicRules = ELECTION_TOPICS,
+    select: Callable[[DataFrame], DataFrame] = lambda posts: posts,
 ) -> None:
+    """The same over raw lines. Posts and limit notices are stored from the
+    lines first, each pass reading only the lines that begin like one."""
     lines = read_lines(spark, source)
-    posts = stage(parse_posts(lines, rules), "posts")
-    for metric, rows in results(posts, lexicon).items():
-        write_csv(rows, f"{output}/{FILES[metric]}", one_file=metric in SMALL)
-    write_csv(parse_limits(lines), f"{output}/limits.csv")
+    with dropping_staged(spark):
+        posts = stage(select(parse_posts(lines, rules)), "posts")
+        run(posts, output, lexicon, parse_limits(lines))

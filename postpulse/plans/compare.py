@@ -7,28 +7,32 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import compare, metrics
 from ..session import stage
-from ..sources.baselines import one_per_key, per_window, read_stored
+from ..sources.baselines import per_window, read_once_per_key, read_stored, stored_windows
 from ..streaming.documents import COMPARE_INDEX
 from ..streaming.sinks import Output, start_documents
 from ..streaming.windows import event_time
-from .batch import FILES
+from .batch import FILES, PERIOD
 
 
-def load_baselines(spark: SparkSession, folder: str, windows: int) -> dict[str, DataFrame]:
-    """Stored results by metric, one row per key, counts per window."""
+def load_baselines(
+    spark: SparkSession, folder: str, windows: int | None = None
+) -> dict[str, DataFrame]:
+    """Stored results by metric, one row per key, counts per window. Without a
+    number of windows the period that the batch job has stored is taken."""
 
     def stored(name: str) -> DataFrame:
         return read_stored(spark, f"{folder}/{FILES[name]}", name)
 
+    def once(name: str, keys: list[str], keep: str) -> DataFrame:
+        return read_once_per_key(spark, f"{folder}/{FILES[name]}", name, keys, keep)
+
+    if windows is None:
+        windows = stored_windows(spark, f"{folder}/{PERIOD}")
     base = {
-        "avg_retweets": one_per_key(stored("avg_retweets"), ["topic"], "last"),
-        "avg_length": one_per_key(stored("avg_length"), ["topic"], "last"),
-        "total_count": per_window(
-            one_per_key(stored("total_count"), ["topic", "tweet_type"], "first"), windows
-        ),
-        "source": per_window(
-            one_per_key(stored("source_topn"), ["source", "topic"], "first"), windows
-        ),
+        "avg_retweets": once("avg_retweets", ["topic"], "last"),
+        "avg_length": once("avg_length", ["topic"], "last"),
+        "total_count": per_window(once("total_count", ["topic", "tweet_type"], "first"), windows),
+        "source": per_window(once("source_topn", ["source", "topic"], "first"), windows),
         "hashtag": stored("hashtag_topn"),
         "word": stored("word_topn"),
     }
@@ -71,7 +75,7 @@ def compared(
 def run(
     posts: DataFrame,
     baselines: str,
-    windows: int,
+    windows: int | None,
     output: str,
     checkpoint: str,
     window: str = metrics.WINDOW,
@@ -79,9 +83,10 @@ def run(
     time_domain: str = "event",
     trigger: str | None = None,
     partitions: int | None = None,
+    closing: str | None = None,
 ) -> list[StreamingQuery]:
     base = load_baselines(posts.sparkSession, baselines, windows)
-    timed = event_time(posts, delay, time_domain)
+    timed = event_time(posts, delay, time_domain, closing)
     return [
         start_documents(rows, name, output, checkpoint, outputs, trigger, partitions)
         for name, (rows, outputs) in compared(timed, base, window).items()

@@ -57,8 +57,9 @@ def run(
     time_domain: str = "event",
     trigger: str | None = None,
     partitions: int | None = None,
+    closing: str | None = None,
 ) -> list[StreamingQuery]:
-    timed = event_time(posts, delay, time_domain)
+    timed = event_time(posts, delay, time_domain, closing)
     return [
         start_documents(rows, name, output, checkpoint, outputs, trigger, partitions)
         for name, (rows, outputs) in windowed(timed, lexicon, window).items()

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import metrics
 from ..session import stage
-from ..sources.baselines import one_per_key, read_stored
+from ..sources.baselines import read_once_per_key
 from ..streaming.documents import PREDICT_INDEX
 from ..streaming.sinks import start_documents
 from ..streaming.stateful import stream_line, stream_smoothed
@@ -40,15 +40,16 @@ def run(
     time_domain: str = "event",
     trigger: str | None = None,
     partitions: int | None = None,
+    closing: str | None = None,
 ) -> list[StreamingQuery]:
     spark = posts.sparkSession
 
     def seeds(name: str) -> DataFrame:
-        stored = read_stored(spark, f"{baselines}/{FILES[name]}", name)
-        return stage(one_per_key(stored, ["topic"], "last"), name)
+        path = f"{baselines}/{FILES[name]}"
+        return stage(read_once_per_key(spark, path, name, ["topic"], "last"), name)
 
     streams = predicted(
-        event_time(posts, delay, time_domain), seeds("avg_retweets"), seeds("avg_length"), window
+        event_time(posts, delay, time_domain, closing), seeds("avg_retweets"), seeds("avg_length"), window
     )
     return [
         start_documents(

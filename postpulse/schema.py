@@ -59,6 +59,9 @@ POST = """
     retweet_img_url STRING
 """
 
+# The column of a post's arrival, where windows go by that.
+ARRIVAL = "_arrival"
+
 # The three post types.
 RETWEET = "Retweet"
 REPLY = "Reply"

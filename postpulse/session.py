@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,15 +36,12 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
-
-    Only on a local master that names none (a laptop, a unit test) is a private
-    temporary folder made, and kept in the context so later calls agree on it.
-    """
+    """The folder all executors can reach, as the session names it. Only where
+    it names none and all runs in one process, as in a test, a folder is made."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
         named = context.getCheckpointDir()
@@ -52,16 +53,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/postpulse/{label}-{uuid.uuid4().hex}"
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores where the files alone keep at most half of them
-    busy: one small file, or a few that cannot be split. Inputs of many files
-    are left as they are, so nothing large is shuffled for this."""
-    if rows.isStreaming:
-        return rows
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() * 2 <= cores else rows
-
-
 def stage(rows: DataFrame, label: str) -> DataFrame:
     """Rows stored once in the shared folder and read back, for several users.
 
@@ -71,5 +62,29 @@ def stage(rows: DataFrame, label: str) -> DataFrame:
     broadcast them, and readers take only the columns they need.
     """
     path = scratch_path(rows.sparkSession, label)
+    if _staged.get() is not None:
+        _staged.get().append(path)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def dropping_staged(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables staged inside when the block ends, for jobs whose
+    results are written by then."""
+    token = _staged.set([])
+    try:
+        yield
+    finally:
+        for path in _staged.get():
+            delete_folder(spark, path)
+        _staged.reset(token)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

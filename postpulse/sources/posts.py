@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import POST
 
+# Most files that a micro-batch adds to a day.
+FILES_PER_DAY = 32
+
 
 def store_posts(
     posts: DataFrame, path: str, checkpoint: str, trigger: str | None = None
@@ -16,6 +20,8 @@ def store_posts(
     interval the query stops when the source is drained."""
     writer = (
         posts.withColumn("day", F.to_date("ts"))
+        # A few files per day and batch instead of one for each task.
+        .repartition("day", F.pmod(F.xxhash64("id"), F.lit(FILES_PER_DAY)))
         .writeStream.queryName("store_posts")
         .format("parquet")
         .partitionBy("day")
@@ -27,6 +33,20 @@ def store_posts(
     return writer.trigger(processingTime=trigger).start()
 
 
+def wait_for_folder(storing: StreamingQuery, path: str) -> None:
+    """Returns when a store that is being filled can be read."""
+    while True:
+        storing.awaitTermination(1)
+        if storing.exception():
+            raise storing.exception()
+        if storing.lastProgress is not None:
+            try:
+                SparkSession.active().read.schema(POST).parquet(path).limit(0).collect()
+            except AnalysisException:
+                continue
+            return
+
+
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
     """Stored posts. A condition on ``day`` skips the other days' folders."""
     return spark.read.schema(f"{POST}, day DATE").parquet(path)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.topics import ELECTION_TOPICS, TopicRules, route_topics
 from ..schema import ORIGINAL, RAW_POST, REPLY, RETWEET
-from ..session import spread
 
 # How a post line starts, and the whole of a limit notice.
 POST_PREFIX = '{"cre'
@@ -21,7 +20,7 @@ CREATED_AT = "MMM dd HH:mm:ss Z yyyy"
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Bounded scan of a file or folder of lines."""
-    return spread(spark.read.text(path).select("value"))
+    return spark.read.text(path).select("value")
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -70,7 +69,7 @@ def parse_posts(
     )
     shared = F.col("retweeted_status")
     is_share = shared.isNotNull()
-    created = F.try_to_timestamp(F.substring("created_at", 5, 64), F.lit(CREATED_AT))
+    created = F.try_to_timestamp(F.col("created_at").substr(F.lit(5), F.length("created_at")), F.lit(CREATED_AT))
     dated = decoded.filter(
         F.col("user").isNotNull() & (~is_share | F.col("retweeted_status.user").isNotNull())
     ).select("*", F.explode(F.array_compact(F.array(created))).alias("ts"))
@@ -148,9 +147,15 @@ def select_posts(
 def _any_phrase(phrases: list[str]) -> str:
     """One pattern for all phrases, so that a text is prepared and read once:
     some phrase has each of its words, in any order, as a whole word."""
-    whole = r"(?=.*?(?<!\w)\Q{}\E(?!\w))"
-    each = ("".join(whole.format(word) for word in phrase.lower().split()) for phrase in phrases)
-    return r"(?s)\A(?:" + "|".join(each) + ")"
+    whole = r"(?=.*?(?<!\w){}(?!\w))"
+    each = ("".join(whole.format(_quoted(word)) for word in phrase.lower().split()) for phrase in phrases)
+    # (?U): letters and digits of all scripts make up words.
+    return r"(?sU)\A(?:" + "|".join(each) + ")"
+
+
+def _quoted(word: str) -> str:
+    """The word as a pattern: what is no letter or digit goes by its code."""
+    return "".join(char if char.isalnum() else f"\\x{{{ord(char):x}}}" for char in word)
 
 
 def _items(comma_list: str) -> list[str]:

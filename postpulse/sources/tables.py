@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.topics import TopicRules, route_topics
-from ..session import spread, stage
+from ..session import stage
 
 # Needles that occur in the table texts.
 TABLE_TOPICS = TopicRules(
@@ -39,15 +39,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return (
-        spark.readStream.schema(SCHEMAS[name])
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    """The table as a stream, stored as one file or as a folder of files. (The
+    last letter is a glob: only that lets a stream read a single file.)"""
+    if table(spark, sf_dir, name).isEmpty():
+        raise ValueError(f"no rows of {name} under {sf_dir}")
+    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 def document_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +141,7 @@ def document_posts(spark: SparkSession, sf_dir: str, rows: DataFrame | None = No
 def turn_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One post per conversation turn: openings are originals, the rest replies.
     Conversations start an hour apart, turns follow by the second."""
-    turns = spread(table(spark, sf_dir, "conversations"))
+    turns = table(spark, sf_dir, "conversations")
     return route_topics(turns, TABLE_TOPICS, F.col("text")).selectExpr(
         "conv_id",
         "turn",
@@ -155,7 +155,12 @@ def turn_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a raw post line, every event as a limit notice or junk."""
-    post_lines = documents(spark, sf_dir).selectExpr(
+    return document_lines(documents(spark, sf_dir)).unionByName(event_lines(events(spark, sf_dir)))
+
+
+def document_lines(document_rows: DataFrame) -> DataFrame:
+    """Documents as raw post lines."""
+    return document_rows.selectExpr(
         # explode() keeps tests of the line from repeating the encoder.
         """explode(array(to_json(named_struct(
              'created_at', date_format(timestamp_seconds(1704067200 + doc_id * 60),
@@ -182,7 +187,6 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     'followers_count', n_chars * 3)), NULL)
            )))) AS value"""
     )
-    return post_lines.unionByName(event_lines(events(spark, sf_dir)))
 
 
 def event_lines(event_rows: DataFrame) -> DataFrame:

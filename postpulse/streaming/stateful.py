@@ -19,7 +19,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.numeric import INT_MAX, INT_MIN
-from ..operators.predict import SUFFIX
+from ..operators.predict import SUFFIX, line_at
+
+# Number of windows, their followers, re-shares, squares and products.
+SUMS = ("n", "f", "r", "ff", "fr")
 
 # The processors travel to the executors whole: no package to install there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -70,40 +73,31 @@ class Smoothing(StatefulProcessor):
 
 
 class LineFit(StatefulProcessor):
-    """Least-squares line through a topic's earlier windows."""
+    """Sums over a topic's earlier windows; the line follows from them."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         total = T.DecimalType(38, 0)
-        names = ("n", "f", "r", "ff", "fr")
         self.sums = handle.getValueState(
-            "sums", T.StructType([T.StructField(name, total) for name in names])
+            "sums", T.StructType([T.StructField(name, total) for name in SUMS])
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = _ordered(rows)
-        n = f = r = ff = fr = 0
-        if self.sums.exists():
-            n, f, r, ff, fr = (int(total) for total in self.sums.get())
-        predicted = []
+        sums = tuple(int(total) for total in self.sums.get()) if self.sums.exists() else (0,) * 5
+        before = []
         for at, retweets in zip(frame["followers"].tolist(), frame["retweets"].tolist()):
-            spread = n * ff - f * f
-            if n < 2 or spread == 0:
-                predicted.append(0)
-            else:
-                slope = float(n * fr - f * r) / float(spread)
-                value = (float(r) + slope * (float(n) * at - float(f))) / float(n)
-                predicted.append(_cut(round(value, 6)))
-            n, f, r = n + 1, f + at, r + retweets
-            ff, fr = ff + at * at, fr + at * retweets
-        self.sums.update(tuple(Decimal(total) for total in (n, f, r, ff, fr)))
+            before.append(tuple(map(Decimal, sums)))
+            own = (1, at, retweets, at * at, at * retweets)
+            sums = tuple(total + more for total, more in zip(sums, own))
+        self.sums.update(tuple(map(Decimal, sums)))
+        columns = dict(zip(SUMS, zip(*before)))
         yield pd.DataFrame(
             {
                 "window_start": frame["window_start"],
                 "timestamp": frame["timestamp"],
                 "followers": frame["followers"],
-                "retweets": predicted,
                 "topic": key[0] + SUFFIX,
-                "cnt": 1,
+                **{name: list(values) for name, values in columns.items()},
             }
         )
 
@@ -124,10 +118,15 @@ def stream_smoothed(series: DataFrame, seeds: DataFrame, value: str) -> DataFram
 
 def stream_line(series: DataFrame) -> DataFrame:
     """Predicted re-shares for each window's audience."""
-    return series.groupBy("topic").transformWithStateInPandas(
+    summed = series.groupBy("topic").transformWithStateInPandas(
         LineFit(),
-        "window_start TIMESTAMP, timestamp BIGINT, followers BIGINT, retweets INT, "
-        "topic STRING, cnt INT",
+        "window_start TIMESTAMP, timestamp BIGINT, followers BIGINT, topic STRING, "
+        + ", ".join(f"{name} DECIMAL(38,0)" for name in SUMS),
         outputMode="append",
         timeMode="none",
     )
+    predicted = line_at(*map(F.col, SUMS), F.col("followers"))
+    return summed.select(
+        "window_start", "timestamp", "followers", predicted.alias("retweets"), "topic",
+        F.lit(1).alias("cnt"),
+    )

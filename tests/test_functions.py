@@ -162,6 +162,19 @@ def test_sentiment_by_join_equals_inline(spark):
     lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, weight int")
     found = {r.id: r.sentiment for r in sentiment_by_join(posts, lexicon).collect()}
     assert found == {i: label for i, (_, label) in enumerate(SENTENCES)}
+    # Rows that share an id are posts of their own, either way.
+    twice = posts.unionAll(posts).withColumn("id", F.lit(1))
+    counted = sentiment_by_join(twice, lexicon).groupBy("sentiment").count()
+    inline = with_sentiment(twice, LEXICON).groupBy("sentiment").count()
+    assert sorted(counted.collect()) == sorted(inline.collect())
+    # A table that doesn't broadcast gives the same.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(sentiment_by_join(twice, lexicon).groupBy("sentiment").count().collect()) == sorted(
+            inline.collect()
+        )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_lexicon_limits(spark):
@@ -173,5 +186,15 @@ def test_lexicon_limits(spark):
 def test_read_lexicon(spark, tmp_path):
     (tmp_path / "small").write_text("good;2\nbad;-2\n")
     assert read_lexicon(spark, str(tmp_path / "small")) == {"good": 2, "bad": -2}
-    (tmp_path / "large").write_text("".join(f"w{i};1\n" for i in range(10_001)))
-    assert read_lexicon(spark, str(tmp_path / "large")).count() == 10_001
+    (tmp_path / "twice").write_text("good;1\ngood;3\nbad;\n")
+    assert read_lexicon(spark, str(tmp_path / "twice")) == {"good": 3}
+    assert read_lexicon(spark, str(tmp_path / "twice"), as_table=True).collect() == [("good", 3)]
+    (tmp_path / "large").write_text("".join(f"w{i};{i}\n" for i in range(10_001)))
+    with pytest.raises(ValueError):
+        read_lexicon(spark, str(tmp_path / "large"))
+    assert read_lexicon(spark, str(tmp_path / "large"), as_table=True).count() == 10_001
+
+
+def test_many_weights(spark):
+    lexicon = {f"w{i}": i for i in range(3000)}
+    assert one(spark, "w2999 w7 other w7", lambda c: lexicon_score(c, lexicon)) == 3013

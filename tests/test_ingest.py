@@ -130,3 +130,13 @@ def test_source_filter(spark, langs, terms, users, kept):
         )
     )
     assert [r[0] for r in rows_of(raw.select_posts(posts, langs, terms, users), "id")] == kept
+
+
+@pytest.mark.parametrize(
+    ("terms", "kept"),
+    [("caf", []), ("café", [1]), ("CAFÉ", [1]), ("straße", [2]), ("c++", [3]), (r"a\eb", [4]), ("日本", [5]), ("日", [])],
+)
+def test_terms_are_whole_words_in_any_script(spark, terms, kept):
+    texts = ["ein Café dort", "die Straße", "learn c++ now", r"odd a\Eb text", "in 日本 heute"]
+    posts = raw.parse_posts(lines(spark, *[raw_line(id=i + 1, text=t) for i, t in enumerate(texts)]))
+    assert [r[0] for r in rows_of(raw.select_posts(posts, terms=terms), "id")] == kept

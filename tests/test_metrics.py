@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from postpulse.operators import compare, metrics, topn
 from postpulse.schema import ORIGINAL, REPLY, RETWEET
-from postpulse.sources.baselines import one_per_key, per_window, read_stored, windows_between, windows_covered
+from postpulse.sources.baselines import read_once_per_key, one_per_key, per_window, read_stored, windows_between, windows_covered
 
 
 def test_total_and_topic_count_and_rollup(spark):
@@ -226,6 +226,16 @@ def test_repeated_baseline_keys(spark, tmp_path):
     assert rows_of(one_per_key(stored, ["topic"], "first"), "topic", "retweets") == [("a", 10), ("b", 30)]
 
 
+def test_first_and_last_go_by_file_and_row(spark, tmp_path):
+    # Spark reads the largest file first.
+    for name, first, n in (("a", 0, 5), ("b", 100, 900), ("c", 2000, 50)):
+        lines = "".join(f"1;{first + i};t;1\n" for i in range(n))
+        (tmp_path / f"part-{name}.csv").write_text(lines)
+    for keep, expected in (("first", 0), ("last", 2049)):
+        found = read_once_per_key(spark, str(tmp_path), "avg_retweets", ["topic"], keep)
+        assert rows_of(found, "topic", "retweets") == [("t", expected)]
+
+
 def test_stored_header(spark, tmp_path):
     (tmp_path / "s.csv").write_text("timestamp;trackterm;count\n5;a;7\n")
     stored = read_stored(spark, str(tmp_path / "s.csv"), "topic_count", header=True)

@@ -49,6 +49,17 @@ def test_period_is_pushed_to_the_scan(spark, sf_dir):
     assert "GreaterThanOrEqual(ts,2024-01-16" in text and "LessThan(ts,2024-01-16" in text
 
 
+def test_halves_of_documents_are_pushed_to_the_scan(spark, sf_dir):
+    for name in ("cmp_word", "cmp_avg_length"):
+        text = plan(QUERIES[name](spark, sf_dir))
+        assert "LessThan(doc_id" in text and "GreaterThanOrEqual(doc_id" in text
+
+
+@pytest.mark.parametrize("name", PLAIN)
+def test_texts_are_not_dealt_out_anew(spark, sf_dir, name):
+    assert "RoundRobinPartitioning" not in plan(QUERIES[name](spark, sf_dir))
+
+
 def test_counts_are_combined_before_the_shuffle(spark, sf_dir):
     text = plan(QUERIES["win_word_count"](spark, sf_dir))
     assert "partial_count" in text and "SortAggregate" not in text

@@ -2,16 +2,7 @@ import os
 
 import pytest
 
-from postpulse.session import scratch_path, shared_dir, spread, stage
-
-
-def test_small_inputs_are_spread_and_large_ones_left(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
-    cores = spark.sparkContext.defaultParallelism
-    one = spread(spark.read.parquet(str(tmp_path / "one")))
-    assert one.rdd.getNumPartitions() == cores and one.count() == 100
-    wide = spark.range(100).repartition(cores)
-    assert spread(wide) is wide
+from postpulse.session import dropping_staged, scratch_path, shared_dir, stage
 
 
 def test_shared_folder_is_the_session_setting(spark):
@@ -41,8 +32,21 @@ def test_shared_folder_without_a_setting():
     made = shared_dir(bare)
     assert os.path.isdir(made) and shared_dir(bare) == made
     assert scratch_path(bare, "x").startswith(made)
-    with pytest.raises(ValueError):
-        shared_dir(Bare("yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError):
+            shared_dir(Bare(master))
+
+
+def test_staged_tables_go_with_their_block(spark):
+    with dropping_staged(spark):
+        outer = stage(spark.range(3), "outer")
+        with dropping_staged(spark):
+            inner = stage(spark.range(4), "inner")
+            assert inner.count() == 4
+        assert outer.count() == 3
+        folders = [rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0] for rows in (outer, inner)]
+        assert [os.path.exists(folder) for folder in folders] == [True, False]
+    assert not os.path.exists(folders[0])
 
 
 def test_staged_rows_have_a_known_size(spark):

@@ -10,12 +10,12 @@ from postpulse.operators import metrics, predict
 from postpulse.plans import batch, collect, compare, live
 from postpulse.plans import predict as predict_job
 from postpulse.schema import POST
-from postpulse.sources import raw
+from postpulse.sources import raw, tables
 from postpulse.sources.posts import read_posts, store_posts, stream_posts
 from postpulse.streaming.documents import documents
 from postpulse.streaming.sinks import save_lines, write_documents
 from postpulse.streaming.stateful import stream_line, stream_smoothed
-from postpulse.streaming.windows import event_time, run_to_table
+from postpulse.streaming.windows import complete, end, event_time, open_ending, run_to_table
 
 LEXICON = {"good": 1, "bad": -1}
 LAST = 600  # posts of an otherwise empty topic, closing every window before them
@@ -39,8 +39,6 @@ def some_posts(n=400, seed=1):
             )
         rows.append(common)
     rows.sort(key=lambda row: row["ts"])
-    # Spark moves a metric's own filter below the watermark, so a window closes
-    # when a post the metric counts has passed it: one closing post per type.
     closing = {"ts": at(LAST), "topic": "z", "text": "x", "hashtags": ["x", "x"]}
     return rows + [closing, share(**closing)]
 
@@ -86,14 +84,50 @@ def fed(spark, tmp_path_factory):
     return folder, make_posts(spark, rows)
 
 
-@pytest.mark.parametrize("name", ["avg_retweets", "hashtag", "popular_top"])
+@pytest.mark.parametrize("name", list(METRICS))
 def test_stream_equals_batch(spark, fed, name):
     folder, posts = fed
-    metric = METRICS[name]
-    streamed = run_to_table(metric(event_time(stream(spark, folder, 1)), "60 seconds"), f"eq_{name}")
-    closed = metric(posts, "60 seconds").filter(F.col("window_start") < F.lit(at(LAST)))
-    assert streamed.columns == closed.columns
-    assert rows_of(streamed, "*") == rows_of(closed, "*")
+    streamed = run_to_table(METRICS[name](complete(stream(spark, folder)), "60 seconds"), f"eq_{name}")
+    whole = METRICS[name](posts, "60 seconds")
+    assert streamed.columns == whole.columns
+    assert rows_of(streamed, "*") == rows_of(whole, "*")
+
+
+@pytest.mark.parametrize("name", ["avg_retweets", "sentiment", "hashtag"])
+def test_windows_close_by_posts_that_a_metric_leaves_out(spark, tmp_path, name):
+    """The last posts are replies: neither metric counts them."""
+    rows = some_posts(60)[:-2] + [{"ts": at(LAST), "topic": "z", "text": "x", "tweet_type": "Reply"}]
+    posts = feed(spark, rows, tmp_path / "feed", 3)
+    streamed = run_to_table(METRICS[name](event_time(stream(spark, tmp_path / "feed", 1)), "60 seconds"), f"out_{name}")
+    whole = METRICS[name](posts, "60 seconds").filter(F.col("window_start") < F.lit(at(LAST)))
+    assert rows_of(streamed, "*") == rows_of(whole, "*")
+
+
+@pytest.mark.parametrize("table", ["events", "documents"])
+def test_tables_may_be_files_or_folders(spark, tmp_path, sf_dir, table):
+    given = tables.table(spark, sf_dir, table)
+    given.repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
+    for place in (sf_dir, str(tmp_path)):
+        found = run_to_table(tables.stream_table(spark, place, table), f"read_{table}")
+        assert found.count() == given.count()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|no rows"):
+        tables.stream_table(spark, str(tmp_path / "nowhere"), table)
+
+
+def test_ending_after_several_batches(spark, tmp_path):
+    posts = feed(spark, some_posts(100), tmp_path / "feed", 4)
+    live_posts = stream(spark, tmp_path / "feed", 1)
+    closing = open_ending(live_posts, str(tmp_path / "closing"))
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def drained():
+        counted = metrics.word_count(event_time(live_posts, closing=closing), "60 seconds")
+        return run_to_table(counted, "ending", out, checkpoint)
+
+    whole = metrics.word_count(posts, "60 seconds")
+    assert drained().count() < whole.count()
+    end(spark, closing, live_posts.schema)
+    assert rows_of(drained(), "*") == rows_of(whole, "*")
 
 
 def test_restart_goes_on_without_loss_or_repetition(spark, tmp_path):
@@ -152,10 +186,23 @@ def test_splitting_into_files_does_not_matter(spark, tmp_path, seed):
     assert rows_of(streamed, "*") == rows_of(whole.filter(F.col("window_start") < F.lit(at(2 * 3600))), "*")
 
 
-def test_processing_time(spark, fed):
-    folder, _ = fed
-    timed = event_time(stream(spark, folder), time_domain="processing")
-    assert timed.schema["ts"].dataType.typeName() == "timestamp"
+def test_processing_time(spark, fed, tmp_path):
+    """Windows go by arrival, the counts keep the posts' time."""
+    folder, posts = fed
+    live_posts = stream(spark, folder)
+    closing = open_ending(live_posts, str(tmp_path / "closing"))
+    end(spark, closing, live_posts.schema)
+    timed = event_time(live_posts, time_domain="processing", closing=closing)
+    for name in ("total_count", "hashtag", "sentiment", "source"):
+        counted = run_to_table(METRICS[name](timed, "1 hour"), f"arrival_{name}")
+        assert counted.select("window_start").distinct().count() <= 2
+        assert counted.filter(F.col("window_start") < F.lit(at(LAST))).isEmpty()
+        keys = [c for c in counted.columns if c not in ("window_start", "timestamp", "cnt")]
+        merged = counted.groupBy(*keys).agg(F.min("timestamp").alias("timestamp"), F.sum("cnt").alias("cnt"))
+        whole = METRICS[name](posts, None) if name != "source" else metrics.source_count(posts, more_than=0)
+        assert rows_of(merged, *whole.columns) == rows_of(whole, "*"), name
+    first = run_to_table(metrics.popular_user(timed, "365 days"), "arrival_user").first()
+    assert ms(0) <= first.timestamp < ms(LAST)
     with pytest.raises(ValueError):
         event_time(stream(spark, folder), time_domain="other")
 
@@ -178,6 +225,24 @@ def test_stateful_predictions_equal_batch(spark, fed):
     assert rows_of(line, "*") == rows_of(expected.filter(closed), "*")
 
 
+def test_line_is_rounded_alike(spark, tmp_path):
+    """Values such as 1.9999995 become the same prediction either way."""
+    rng = random.Random(5)
+    rows = []
+    for minute in range(40):
+        rows.append(share(ts=at(minute * 60 + 1), topic="t", retweet_followers=rng.randint(0, 9),
+                          retweet_num_retweets=rng.choice([0, 1, 2, 3, 2_000_000])))
+    posts = feed(spark, rows, tmp_path / "feed")
+    line = run_to_table(stream_line(metrics.retweets_followers(complete(stream(spark, tmp_path / "feed")), "60 seconds")), "line")
+    expected = predict.predict_retweets_followers(metrics.retweets_followers(posts, "60 seconds"))
+    assert rows_of(line, *expected.columns) == rows_of(expected, "*")
+    sums = spark.createDataFrame([(10**7, 19999995, 29999995, 159999995)], "n long, a long, b long, c long")
+    for name, cut in (("a", 2), ("b", 3), ("c", 16)):
+        given = [F.col(c).cast("decimal(38,0)") for c in ("n", "n", name)]
+        line_value = predict.line_at(*given, F.col("n") * 2, F.col(name) * 2, F.lit(1))
+        assert sums.select(line_value).first()[0] == cut
+
+
 # --- sinks -------------------------------------------------------------------
 
 
@@ -245,7 +310,7 @@ def stored(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("jobs")
     (root / "raw").mkdir()
     (root / "raw" / "a.txt").write_text("\n".join(raw_feed(1)) + "\n")
-    batch.run(spark, str(root / "raw"), str(root / "batch"), LEXICON)
+    batch.run_lines(spark, str(root / "raw"), str(root / "batch"), LEXICON)
     (root / "live").mkdir()
     (root / "live" / "a.txt").write_text("\n".join(raw_feed(2, start=3600)) + "\n")
     last = {
@@ -306,6 +371,23 @@ def test_command_line(spark, stored, monkeypatch):
     found = spark.read.text(f"{out}/compared/comptweetcount-idx").collect()
     assert {json.loads(row.value)["trackterm"] for row in found} <= {"biden", "warren"}
     assert found
+    # Stored posts serve the batch job, too; its result is the same.
+    call("batch", "--input", f"posts:{out}/posts", "--output", f"{out}/again", *lexicon)
+    for name in ("totalcount.csv", "wordcount.csv", "period.csv"):
+        again, first = (sorted(spark.read.text(f"{out}/{at_}/{name}").collect()) for at_ in ("again", "batch"))
+        assert again == first
+    call("batch", "--input", source, "--output", f"{out}/chosen", "--lexicon-table", "--terms", "joe", *lexicon)
+    assert {row.value.split(";")[1] for row in spark.read.text(f"{out}/chosen/totalcount.csv").collect()} == {"biden"}
+    # Raw lines, decoded once, to the end of the input.
+    call("live", "--input", source, "--output", f"{out}/live", "--checkpoint", f"{out}/c4", "--final",
+         "--max-files", "1", "--delay", "0 seconds", *lexicon)
+    total = sum(json.loads(r.value)["cnt"] for r in spark.read.text(f"{out}/live/tweetcount-idx").collect())
+    assert total == spark.read.parquet(f"{out}/c4/posts").count()
+    call("compare", "--input", f"posts:{out}/posts", "--output", f"{out}/compared2", "--checkpoint",
+         f"{out}/c5", "--baselines", f"{out}/batch", "--final", *timing)
+    for job, given in (("batch", "kafka://h:1/t"), ("collect", "posts:x"), ("store", "posts:x")):
+        with pytest.raises(SystemExit):
+            call(job, "--input", given, "--output", out, *(lexicon if job == "batch" else []))
 
 
 def live_lines(spark, stored):
