@@ -12,11 +12,12 @@ generated until every component has one, some m log m per document.
 
 Signatures are cut into bands; documents that share a band meet in a bucket.
 Equal texts are one class before that. In a bucket documents are compared with
-its best connected members first, in rounds of growing numbers of these
-centres, and only while they are in different classes: a large group of near
-copies joins in the first round without its pairs, yet every pair that shares a
-bucket is compared or in one class at the end. A comparison counts the shingles
-of both texts exactly.
+its best connected members, the centres, while they are in different classes:
+a large group of near copies joins without its pairs. What is still apart in
+large buckets is compared in blocks, each pair of blocks in one task, which
+counts what texts share by the holders of each shingle and gives only the edges
+that join classes. So every similar pair that shares a bucket is found or in
+one class at the end. A comparison counts the shingles of both texts exactly.
 
 Defined results: null and empty texts have no shingles and are a class each;
 rows that repeat an id are one document; ids that are null get a null class.
@@ -39,8 +40,11 @@ SHINGLE = 5
 BANDS, ROWS = 24, 4
 #: Similarity of 0.8 or more, as a fraction.
 SIMILAR = (4, 5)
-#: Centres per bucket grow by this factor from round to round.
-GROWTH = 8
+#: Members of a bucket that all others are compared with one by one.
+CENTRES = 8
+#: Documents, and shingles, of a block (about).
+BLOCK_ROWS = 512
+BLOCK_TOKENS = 1 << 20
 
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
 _COMPONENT = np.uint64(0xA0761D6478BD642F)
@@ -177,13 +181,18 @@ def _similar(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(enough).select("a", "b")
 
 
+def _ranked(rows: DataFrame, centres: int) -> DataFrame:
+    """The ``centres`` best connected rows of each bucket, with their rank."""
+    order = Window.partitionBy("bucket").orderBy(F.desc("degree"), "key")
+    return rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= centres)
+
+
 def _new_pairs(rows: DataFrame, seen: int, centres: int) -> DataFrame:
     """Pairs of a bucket's rows with its centres number seen + 1 to ``centres``,
     of different classes and fitting weights, each pair once."""
-    order = Window.partitionBy("bucket").orderBy(F.desc("degree"), "key")
     middle = (
-        rows.withColumn("_rank", F.row_number().over(order))
-        .filter((F.col("_rank") <= centres) & (F.col("_rank") > seen))
+        _ranked(rows, centres)
+        .filter(F.col("_rank") > seen)
         .select("bucket", F.col("key").alias("ckey"), F.col("class").alias("cclass"), F.col("weight").alias("cweight"))
     )
     num, den = SIMILAR
@@ -196,48 +205,113 @@ def _new_pairs(rows: DataFrame, seen: int, centres: int) -> DataFrame:
     )
 
 
+def _mixed(rows: DataFrame, labels: DataFrame, seen: int) -> DataFrame:
+    """The buckets with several classes and more than ``seen`` rows, with classes."""
+    mixed = rows.join(labels, "key")
+    undone = mixed.groupBy("bucket").agg(
+        F.min("class").alias("_low"), F.max("class").alias("_high"), F.count("*").alias("_n")
+    )
+    undone = undone.filter((F.col("_low") != F.col("_high")) & (F.col("_n") > seen)).select("bucket")
+    return stage(mixed.join(undone, "bucket"), "dup-mixed")
+
+
+def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels after the classes of each edge's ends have become one."""
+    edges = stage(edges, "dup-edges")
+    if edges.isEmpty():
+        return labels
+    own = labels.select(F.col("key").alias("a"), F.col("class").alias("ca"))
+    other = labels.select(F.col("key").alias("b"), F.col("class").alias("cb"))
+    found = components(
+        edges.join(own, "a").join(other, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    )
+    merged = labels.join(found.withColumnRenamed("node", "class"), "class", "left")
+    return stage(merged.select("key", F.coalesce("label", "class").alias("class")), "dup-labels")
+
+
+def _in_blocks(mixed: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Edges (a, b) that join the classes of large buckets as far as their
+    members' similarity does.
+
+    The members of all buckets with the same best centre are one group, dealt
+    out to blocks; every two blocks meet in one task. A task gives no pairs,
+    only the few edges that join classes."""
+    middle = _ranked(mixed, 1).select("bucket", F.col("key").alias("centre"))
+    members = mixed.join(middle, "bucket").select("centre", "key", "class", "weight").distinct()
+    sizes = members.groupBy("centre").agg(
+        F.greatest(
+            F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("weight") / BLOCK_TOKENS)
+        ).cast("long").alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("key"), F.col("blocks"))
+    dealt = members.join(sizes, "centre").withColumn("own", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    placed = dealt.select(
+        "centre", "key", "class", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
+    # Pairs of blocks that are of one class have nothing to join.
+    apart = placed.groupBy("centre", "i", "j").agg(F.min("class").alias("_low"), F.max("class").alias("_high"))
+    apart = apart.filter(F.col("_low") != F.col("_high")).select("centre", "i", "j")
+    placed = placed.join(apart, ["centre", "i", "j"]).join(tokens, "key")
+    return placed.groupBy("centre", "i", "j").applyInArrow(_joining_edges, "a binary, b binary")
+
+
+def _joining_edges(table: pa.Table) -> pa.Table:
+    keys, names = table["key"].to_pylist(), table["class"].to_pylist()
+    lengths = np.concatenate([c.value_lengths().to_numpy() for c in table["tokens"].chunks]).astype(np.int64)
+    flat = np.concatenate([c.flatten().to_numpy() for c in table["tokens"].chunks])
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    _, flat = np.unique(flat, return_inverse=True)
+    order = np.argsort(flat, kind="stable")
+    holders = np.repeat(np.arange(len(keys)), lengths)[order]
+    starts = np.searchsorted(flat[order], np.arange(flat.max(initial=-1) + 2))
+    numbers = {name: n for n, name in enumerate(dict.fromkeys(names))}
+    label = np.array([numbers[name] for name in names])
+    num, den = SIMILAR
+    edges = []
+    # One side of any edge is outside the class that is largest here.
+    for u in np.flatnonzero(label != np.bincount(label).argmax()):
+        tokens = flat[bounds[u] : bounds[u + 1]]
+        counts = starts[tokens + 1] - starts[tokens]
+        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        shared = np.bincount(holders[np.repeat(starts[tokens], counts) + within], minlength=len(keys))
+        near = np.flatnonzero((shared * (num + den) >= num * (lengths + lengths[u])) & (label != label[u]))
+        for v in near:
+            if label[v] != label[u]:
+                edges.append((keys[u], keys[v]))
+                label[label == label[v]] = label[u]
+    kind = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    return pa.Table.from_arrays([pa.array(x, pa.binary()) for x in (zip(*edges) if edges else ((), ()))], schema=kind)
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """The rows (bucket, key, weight) of buckets that have more than one, with
+    the degree of their keys: how many others they meet."""
+    several = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    rows = stage(rows.join(several, "bucket"), "dup-buckets")
+    degree = rows.groupBy("key").agg(F.sum(F.col("n") - 1).alias("degree"))
+    return stage(rows.drop("n").join(degree, "key"), "dup-buckets")
+
+
 def classes_of_keys(docs: DataFrame, signed: DataFrame) -> DataFrame:
     """(key, class) of the keys that share a bucket with others."""
     reps = signed.filter(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
     )
     reps = stage(reps, "dup-reps")
-    rows = reps.select(F.explode("bands").alias("bucket"), "key", "weight")
-    several = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    rows = stage(rows.join(several, "bucket"), "dup-buckets")
-    degree = rows.groupBy("key").agg(F.sum(F.col("n") - 1).alias("degree"))
-    nodes = stage(degree.join(reps.select("key", "doc_id"), "key"), "dup-nodes")
-    rows = stage(rows.join(nodes.select("key", "degree"), "key"), "dup-buckets")
-
+    rows = _several(reps.select(F.explode("bands").alias("bucket"), "key", "weight"))
+    nodes = reps.select("key", "doc_id").join(rows.select("key").distinct(), "key")
+    nodes = stage(nodes, "dup-nodes")
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(
-        nodes.select("doc_id", "key").filter(F.col("doc_id").isNotNull()), "doc_id"
+        nodes.filter(F.col("doc_id").isNotNull()), "doc_id"
     )
-    tokens = texts.mapInArrow(_tokens, "key binary, tokens array<long>")
-    tokens = stage(tokens, "dup-tokens")
+    tokens = stage(texts.mapInArrow(_tokens, "key binary, tokens array<long>"), "dup-tokens")
 
     labels = nodes.select("key", F.col("key").alias("class"))
-    seen, centres = 0, 1
-    while True:
-        mixed = rows.join(labels, "key")
-        if seen:
-            undone = mixed.groupBy("bucket").agg(
-                F.min("class").alias("_low"), F.max("class").alias("_high"), F.max("n").alias("_n")
-            )
-            undone = undone.filter((F.col("_low") != F.col("_high")) & (F.col("_n") > seen)).select("bucket")
-            mixed = mixed.join(undone, "bucket", "left_semi")
-        mixed = stage(mixed, "dup-mixed")
-        if mixed.isEmpty():
-            return labels
-        edges = stage(_similar(_new_pairs(mixed, seen, centres), tokens), "dup-edges")
-        if not edges.isEmpty():
-            own = labels.select(F.col("key").alias("a"), F.col("class").alias("ca"))
-            other = labels.select(F.col("key").alias("b"), F.col("class").alias("cb"))
-            found = components(
-                edges.join(own, "a").join(other, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-            )
-            merged = labels.join(found.withColumnRenamed("node", "class"), "class", "left")
-            labels = stage(merged.select("key", F.coalesce("label", "class").alias("class")), "dup-labels")
-        seen, centres = centres, centres * GROWTH
+    for seen, centres in ((0, 1), (1, CENTRES)):
+        mixed = _mixed(rows, labels, seen)
+        labels = _merged(labels, _similar(_new_pairs(mixed, seen, centres), tokens))
+    return _merged(labels, _in_blocks(_mixed(rows, labels, CENTRES), tokens))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
