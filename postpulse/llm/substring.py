@@ -1,8 +1,8 @@
 """Repeated passages by relative Lempel-Ziv parsing.
 
 Every document is factored against the documents with smaller ids: greedily
-from left to right, a factor goes on as long as its words run on in the same
-place of the same reference. Factors of at least ``SPAN`` words are duplicate
+from left to right, a factor goes on as long as each window of its words has
+the same first reference. Factors of at least ``SPAN`` words are duplicate
 spans. Where a factor ends, the windows over its boundary are looked up in
 their own right, so a passage pieced together from several references is found
 in whole.
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .words import Piece, byte_values, flat, lists, mix, pieces, span_hashes
+from .words import Piece, byte_values, flat, likely, lists, mix, pieces, span_hashes
 
 SPAN = 50
 GRAM = 18
@@ -118,9 +118,9 @@ def read(docs: DataFrame) -> DataFrame:
 
 
 def lookups(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """(doc_id, start, ref_doc, ref_start): every window of a document, but for
-    later copies of whole texts, that is also in a document of a smaller id;
-    the reference is the first one's first."""
+    """(doc_id, start, ref_doc): every window of a document, but for later
+    copies of whole texts, that is also in a document of a smaller id; the
+    reference is the first of these."""
     first = known.groupBy("sha256").agg(F.min("doc_id").alias("doc_id"))
     # One row for each distinct text; rows that repeat an id hold the same text.
     distinct = known.join(first, ["sha256", "doc_id"]).dropDuplicates(["doc_id", "sha256"])
@@ -128,31 +128,32 @@ def lookups(docs: DataFrame, known: DataFrame) -> DataFrame:
     several = used.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     several = several.filter(F.col("low") < F.col("high")).select("anchor")
     shared = used.join(several, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(shared, "doc_id")
+    shared = stage(shared, "rlz-shared")
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    texts = likely(texts, "doc_id", shared).join(shared, "doc_id")
     windows = stage(texts.mapInArrow(_windows, "h1 long, h2 long, doc_id long, start int"), "rlz-windows")
-    least = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("ref"))
-    return windows.join(least, ["h1", "h2"]).filter(F.col("ref.doc_id") < F.col("doc_id")).select(
-        "doc_id", "start", F.col("ref.doc_id").alias("ref_doc"), F.col("ref.start").alias("ref_start")
+    least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("ref_doc"), F.max("doc_id").alias("_last"))
+    least = least.filter(F.col("ref_doc") < F.col("_last")).drop("_last")
+    return windows.join(least, ["h1", "h2"]).filter(F.col("ref_doc") < F.col("doc_id")).select(
+        "doc_id", "start", "ref_doc"
     )
 
 
-def _factors(starts, refs, places) -> list[tuple[int, int, int, int]]:
-    """Greedy factors (start, length, ref_doc, ref_start) of looked-up windows."""
+def _factors(starts, refs) -> list[tuple[int, int, int]]:
+    """Greedy factors (start, length, ref_doc) of looked-up windows."""
     starts, order = np.unique(starts, return_index=True)
-    refs, places = refs[order], places[order]
+    refs = refs[order]
     on = np.zeros(len(starts), bool)
-    on[1:] = (starts[1:] == starts[:-1] + 1) & (refs[1:] == refs[:-1]) & (places[1:] == places[:-1] + 1)
+    on[1:] = (starts[1:] == starts[:-1] + 1) & (refs[1:] == refs[:-1])
     heads = np.flatnonzero(~on)
     ends = np.append(heads[1:], len(starts)) - 1
     lengths = starts[ends] - starts[heads] + SPAN
-    return list(zip(starts[heads].tolist(), lengths.tolist(), refs[heads].tolist(), places[heads].tolist()))
+    return list(zip(starts[heads].tolist(), lengths.tolist(), refs[heads].tolist()))
 
 
 def _cut(batches):
     """Documents with their factors: what is left of them."""
-    kind = pa.list_(
-        pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ref_doc", pa.int64()), ("ref_start", pa.int64())])
-    )
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ref_doc", pa.int64())]))
     for batch in batches:
         found = batch.column("found")
         data, offsets = flat(batch.column("text"))
@@ -161,7 +162,7 @@ def _cut(batches):
             words = data[offsets[i] : offsets[i + 1]].tobytes().split()
             digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
             own = found.slice(i, 1).flatten()
-            starts, refs, places = (own.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            starts, refs = (own.field(k).to_numpy(zero_copy_only=False) for k in range(2))
             starts = starts.astype(np.int64)
             gone = np.zeros(len(words) + 1, np.int64)
             starts_in = starts[starts + SPAN <= len(words)]
@@ -170,9 +171,7 @@ def _cut(batches):
             out = np.cumsum(gone[:-1]) > 0
             kept.append(b" ".join([w for w, x in zip(words, out.tolist()) if not x]).decode("utf-8", "replace"))
             removed.append(int(out.sum()))
-            factors.append(
-                [dict(zip(("start", "length", "ref_doc", "ref_start"), f)) for f in _factors(starts, refs, places)]
-            )
+            factors.append([dict(zip(("start", "length", "ref_doc"), f)) for f in _factors(starts, refs)])
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(digests, pa.string()), pa.array(kept, pa.string()),
              pa.array(removed, pa.int64()), pa.array(factors, kind)],
@@ -186,13 +185,15 @@ def factored(docs: DataFrame, known: DataFrame) -> DataFrame:
     found = (
         lookups(docs, known)
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("start", "ref_doc", "ref_start")).alias("found"))
+        .agg(F.collect_list(F.struct("start", "ref_doc")).alias("found"))
     )
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(found, "doc_id")
+    found = stage(found, "rlz-found")
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    texts = likely(texts, "doc_id", found).join(found, "doc_id")
     return texts.mapInArrow(
         _cut,
         "doc_id long, sha256 string, kept string, n_removed long, "
-        "factors array<struct<start:long,length:long,ref_doc:long,ref_start:long>>",
+        "factors array<struct<start:long,length:long,ref_doc:long>>",
     )
 
 
@@ -209,7 +210,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     whole = F.array(
         F.struct(
             F.lit(0).cast("long").alias("start"), F.col("n_words").alias("length"),
-            F.col("_first").alias("ref_doc"), F.lit(0).cast("long").alias("ref_start"),
+            F.col("_first").alias("ref_doc"),
         )
     )
     rows = known.drop("anchors").join(first, "sha256").join(cut, ["doc_id", "sha256"], "left")

@@ -152,6 +152,30 @@ def word_count(text):
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: Keys of a prefilter are hashed to so many bits: 2**18 rows of 64.
+FILTER_BITS = 24
+
+
+def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows that may have a partner in a join on ``key``, a column of both sides:
+    a cheap filter before a join that would shuffle whole texts. The filter is
+    a bitmap of hashed keys; its size is fixed, so it is broadcast. With very
+    many wanted keys it lets all rows pass, and the join decides as ever."""
+
+    def hashed(column):
+        return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+
+    bit = (F.col("_hash") % 64).cast("int")
+    bitmap = (
+        wanted.select(hashed(F.col(key)).alias("_hash"))
+        .groupBy(F.floor(F.col("_hash") / 64).alias("_word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(_hash % 64 AS INT)))").alias("_bits"))
+    )
+    marked = rows.withColumn("_hash", hashed(F.col(key))).withColumn("_word", F.floor(F.col("_hash") / 64))
+    met = marked.join(F.broadcast(bitmap), "_word").filter(F.getbit("_bits", bit) == 1)
+    return met.select(*rows.columns)
+
+
 def add_columns(
     rows: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], dict[str, object]]
 ) -> DataFrame:
