@@ -4,7 +4,9 @@ A document is compared with its language: the Jensen-Shannon distance between
 its histogram of character classes and the language's, and likewise between
 the histograms of the language's common words. The references are counted over
 all documents that pass the plain rules. Documents that are too short for a
-histogram (``min_letters``, ``min_words``) aren't judged by it.
+histogram (``guard_letters``, ``guard_words``) aren't judged by it. One that is
+far from its own language is compared with the others and takes the nearest:
+mixed and mislabelled texts are no junk.
 
 Defined results: null and empty texts have no words and fail the plain rules;
 a document whose language is null, or was seen too rarely to have a reference,
@@ -246,15 +248,31 @@ def judge(docs: DataFrame, found: dict[str, tuple], rules: Rules = Rules()) -> D
             own = langs[piece.lo : piece.hi]
             known = np.array([x in found for x in own], bool)
             char_d, word_d = np.full(n, np.inf), np.full(n, np.inf)
-            for lang, (chars, common, words) in found.items():
-                mine = (own == lang) | ~known
+            short = (letters < rules.guard_letters, signals["n_words"] < rules.guard_words)
+            worst = np.full(n, np.inf)
+
+            def compare(lang: str, mine: np.ndarray) -> None:
+                """Notes the distances to a language where they are the nearest."""
+                chars, common, words = found[lang]
+                char = distances(histograms[mine], chars)
+                word = distances(_word_histograms(piece, buckets, common)[mine], words)
+                ratio = np.maximum(
+                    np.where(short[0][mine], 0, char / rules.max_char_distance),
+                    np.where(short[1][mine], 0, word / rules.max_word_distance),
+                )
+                near = ratio < worst[mine]
+                at = np.flatnonzero(mine)[near]
+                worst[at], char_d[at], word_d[at] = ratio[near], char[near], word[near]
+
+            for lang in {x for x in own[known]}:
+                compare(lang, own == lang)
+            # Far from its own language, a text may still be in another one.
+            for lang in found:
+                mine = (worst > 1) & (own != lang)
                 if mine.any():
-                    char_d[mine] = np.minimum(char_d, distances(histograms, chars))[mine]
-                    word_d[mine] = np.minimum(
-                        word_d, distances(_word_histograms(piece, buckets, common), words)
-                    )[mine]
-            char_d[~np.isfinite(char_d) | (letters < rules.guard_letters)] = np.nan
-            word_d[~np.isfinite(word_d) | (signals["n_words"] < rules.guard_words)] = np.nan
+                    compare(lang, mine)
+            char_d[~np.isfinite(char_d) | short[0]] = np.nan
+            word_d[~np.isfinite(word_d) | short[1]] = np.nan
             far = (char_d > rules.max_char_distance) | (word_d > rules.max_word_distance)
             signals |= {"char_distance": char_d, "word_distance": word_d}
             signals["kept"] = ~signals["base_failed"] & ~far

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from postpulse.llm import lang_id, quality, secrets, url_rules
 from postpulse.llm.queries import QUERIES
-from postpulse.llm.words import word_count
+from postpulse.llm.words import likely, word_count
 
 ODD = [
     (1, None, None), (2, "", "en"), (3, " \n\t\x0b\x0c\r ", "en"), (4, "naïve \x1c\x85\xa0 words", None),
@@ -277,3 +277,28 @@ def test_odd_urls(spark):
     assert out[7]["rule"] == "example.org/en/1" and out[8]["rule"] == "org/"
     assert out[9]["verdict"] == "block" and out[10]["rule"] == "com/fr/"
     assert url_rules.url_filter(rows.limit(0)).count() == 0
+
+
+def test_likely_keeps_all_partners(spark):
+    rows = spark.range(3000).withColumn("text", F.lit("x"))
+    wanted = spark.range(0, 3000, 7).unionAll(spark.range(1)).select("id")
+    kept = likely(rows, "id", wanted)
+    assert kept.columns == rows.columns
+    found = {r["id"] for r in kept.collect()}
+    assert set(range(0, 3000, 7)) <= found and len(found) < 440
+    assert likely(rows, "id", wanted.limit(0)).isEmpty()
+
+
+def test_mislabelled_text_is_no_junk(spark):
+    import random
+
+    rng = random.Random(4)
+
+    def text(syllables, n=300):
+        return " ".join("".join(rng.choices(syllables, k=rng.randrange(1, 4))) for _ in range(n))
+
+    one, two = "the ing ton ous be".split(), "sch ein zü ver kö".split()
+    rows = [(i, text(one), "en") for i in range(20)] + [(100 + i, text(two), "de") for i in range(20)]
+    rows += [(200, text(two), "en"), (201, text(one), None), (202, "Q1!! " * 50 + text(["XX", "YY!!", "99"], 400), "en")]
+    found = {r["doc_id"]: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(found[i]["kept"] for i in (0, 100, 200, 201)) and not found[202]["kept"]
