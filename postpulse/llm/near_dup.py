@@ -12,12 +12,12 @@ generated until every component has one, some m log m per document.
 
 Signatures are cut into bands; documents that share a band meet in a bucket.
 Equal texts are one class before that. In a bucket documents are compared with
-its best connected members, the centres, while they are in different classes:
-a large group of near copies joins without its pairs. What is still apart in
-large buckets is compared in blocks, each pair of blocks in one task, which
-counts what texts share by the holders of each shingle and gives only the edges
-that join classes. So every similar pair that shares a bucket is found or in
-one class at the end. A comparison counts the shingles of both texts exactly.
+its best connected member: a large group of near copies joins without its
+pairs. What is still apart is compared in blocks, each pair of blocks in one
+task, which counts what texts share by the holders of each shingle and gives
+only the edges that join classes. So every similar pair that shares a bucket is
+found or in one class at the end. A comparison counts the shingles of both
+texts exactly.
 
 Defined results: null and empty texts have no shingles and are a class each;
 rows that repeat an id are one document; ids that are null get a null class.
@@ -34,14 +34,12 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .components import components
-from .words import Piece, lists, mix, pieces, span_hashes
+from .words import Piece, likely, lists, mix, pieces, span_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 24, 4
 #: Similarity of 0.8 or more, as a fraction.
 SIMILAR = (4, 5)
-#: Members of a bucket that all others are compared with one by one.
-CENTRES = 8
 #: Documents, and shingles, of a block (about).
 BLOCK_ROWS = 512
 BLOCK_TOKENS = 1 << 20
@@ -181,25 +179,20 @@ def _similar(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(enough).select("a", "b")
 
 
-def _ranked(rows: DataFrame, centres: int) -> DataFrame:
-    """The ``centres`` best connected rows of each bucket, with their rank."""
+def _centres(rows: DataFrame) -> DataFrame:
+    """The best connected row of each bucket."""
     order = Window.partitionBy("bucket").orderBy(F.desc("degree"), "key")
-    return rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= centres)
+    return rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") == 1)
 
 
-def _new_pairs(rows: DataFrame, seen: int, centres: int) -> DataFrame:
-    """Pairs of a bucket's rows with its centres number seen + 1 to ``centres``,
-    of different classes and fitting weights, each pair once."""
-    middle = (
-        _ranked(rows, centres)
-        .filter(F.col("_rank") > seen)
-        .select("bucket", F.col("key").alias("ckey"), F.col("class").alias("cclass"), F.col("weight").alias("cweight"))
-    )
+def _star_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of a bucket's rows with its centre, of fitting weights, each once."""
+    middle = _centres(rows).select("bucket", F.col("key").alias("ckey"), F.col("weight").alias("cweight"))
     num, den = SIMILAR
     fits = (F.col("weight") * den >= F.col("cweight") * num) & (F.col("cweight") * den >= F.col("weight") * num)
     return (
         rows.join(middle, "bucket")
-        .filter((F.col("class") != F.col("cclass")) & fits)
+        .filter((F.col("key") != F.col("ckey")) & fits)
         .select(F.least("key", "ckey").alias("a"), F.greatest("key", "ckey").alias("b"))
         .distinct()
     )
@@ -230,13 +223,13 @@ def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _in_blocks(mixed: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Edges (a, b) that join the classes of large buckets as far as their
-    members' similarity does.
+    """Edges (a, b) that join the classes of buckets as far as their members'
+    similarity does.
 
-    The members of all buckets with the same best centre are one group, dealt
-    out to blocks; every two blocks meet in one task. A task gives no pairs,
-    only the few edges that join classes."""
-    middle = _ranked(mixed, 1).select("bucket", F.col("key").alias("centre"))
+    The members of all buckets with the same centre are one group, dealt out to
+    blocks; every two blocks meet in one task. A task gives no pairs, only the
+    few edges that join classes."""
+    middle = _centres(mixed).select("bucket", F.col("key").alias("centre"))
     members = mixed.join(middle, "bucket").select("centre", "key", "class", "weight").distinct()
     sizes = members.groupBy("centre").agg(
         F.greatest(
@@ -302,16 +295,14 @@ def classes_of_keys(docs: DataFrame, signed: DataFrame) -> DataFrame:
     rows = _several(reps.select(F.explode("bands").alias("bucket"), "key", "weight"))
     nodes = reps.select("key", "doc_id").join(rows.select("key").distinct(), "key")
     nodes = stage(nodes, "dup-nodes")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(
-        nodes.filter(F.col("doc_id").isNotNull()), "doc_id"
-    )
+    nodes = nodes.filter(F.col("doc_id").isNotNull())
+    texts = likely(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", nodes).join(nodes, "doc_id")
     tokens = stage(texts.mapInArrow(_tokens, "key binary, tokens array<long>"), "dup-tokens")
 
     labels = nodes.select("key", F.col("key").alias("class"))
-    for seen, centres in ((0, 1), (1, CENTRES)):
-        mixed = _mixed(rows, labels, seen)
-        labels = _merged(labels, _similar(_new_pairs(mixed, seen, centres), tokens))
-    return _merged(labels, _in_blocks(_mixed(rows, labels, CENTRES), tokens))
+    labels = _merged(labels, _similar(_star_pairs(rows), tokens))
+    # In a bucket of two the star has compared all there is.
+    return _merged(labels, _in_blocks(_mixed(rows, labels, 2), tokens))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
