@@ -133,7 +133,8 @@ def lookups(docs: DataFrame, known: DataFrame) -> DataFrame:
     texts = likely(texts, "doc_id", shared).join(shared, "doc_id")
     windows = stage(texts.mapInArrow(_windows, "h1 long, h2 long, doc_id long, start int"), "rlz-windows")
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("ref_doc"), F.max("doc_id").alias("_last"))
-    least = least.filter(F.col("ref_doc") < F.col("_last")).drop("_last")
+    # Stored, so that the join is one that splits the windows of a hot passage.
+    least = stage(least.filter(F.col("ref_doc") < F.col("_last")).drop("_last"), "rlz-least")
     return windows.join(least, ["h1", "h2"]).filter(F.col("ref_doc") < F.col("doc_id")).select(
         "doc_id", "start", "ref_doc"
     )
