@@ -42,7 +42,9 @@ BANDS, ROWS = 24, 4
 SIMILAR = (4, 5)
 #: Documents, and shingles, of a block (about).
 BLOCK_ROWS = 512
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
+#: Holders of shingles that a step counts.
+HOLDERS = 1 << 19
 
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
 _COMPONENT = np.uint64(0xA0761D6478BD642F)
@@ -266,8 +268,13 @@ def _joining_edges(table: pa.Table) -> pa.Table:
     for u in np.flatnonzero(label != np.bincount(label).argmax()):
         tokens = flat[bounds[u] : bounds[u + 1]]
         counts = starts[tokens + 1] - starts[tokens]
-        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        shared = np.bincount(holders[np.repeat(starts[tokens], counts) + within], minlength=len(keys))
+        total = np.cumsum(counts)
+        shared = np.zeros(len(keys), np.int64)
+        # So many holders at a time, whatever the text's length.
+        for part in np.split(np.arange(len(tokens)), np.searchsorted(total, np.arange(HOLDERS, total[-1], HOLDERS))):
+            own = counts[part]
+            within = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            shared += np.bincount(holders[np.repeat(starts[tokens[part]], own) + within], minlength=len(keys))
         near = np.flatnonzero((shared * (num + den) >= num * (lengths + lengths[u])) & (label != label[u]))
         for v in near:
             if label[v] != label[u]:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PIECE = 2 << 20
+PIECE = 1 << 20
 #: A word, as a Java and DuckDB pattern.
 WORD = r"[^\x20\x09-\x0D]+"
 
