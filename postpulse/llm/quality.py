@@ -8,10 +8,17 @@ histogram (``guard_letters``, ``guard_words``) aren't judged by it. One that is
 far from its own language is compared with the others and takes the nearest:
 mixed and mislabelled texts are no junk.
 
+How far a text without any common word is from a language depends on the share
+of its words that are common (at 38 % it is 0.47), so the word limit is a part
+of that distance, for each language its own. A language whose common words are
+so rare that a text of its length may lack them by chance (``guard_common``)
+judges that text by its characters alone.
+
 Defined results: null and empty texts have no words and fail the plain rules;
 a document whose language is null, or was seen too rarely to have a reference,
-is compared with all references and takes the nearest; with no reference at
-all, nothing is judged by distance. Repeated rows are judged each for itself.
+is compared with all references and takes the nearest; a reference that can
+judge it by no histogram tells nothing of it; with no reference that can,
+nothing is judged by distance. Repeated rows are judged each for itself.
 """
 
 from __future__ import annotations
@@ -86,9 +93,12 @@ class Rules:
     #: Guards: fewer letters, or words, aren't judged by a histogram.
     guard_letters: int = 400
     guard_words: int = 100
-    #: Largest Jensen-Shannon distances (0 to 1) of a kept document.
+    #: Words are judged where so many common ones are expected.
+    guard_common: int = 30
+    #: Largest Jensen-Shannon distance (0 to 1) of a kept document's characters.
     max_char_distance: float = 0.35
-    max_word_distance: float = 0.5
+    #: Of its words: as a part of the distance of a text without common words.
+    max_word_part: float = 0.85
     common_words: int = 64
     #: A language with fewer words in all has no reference.
     reference_words: int = 2000
@@ -225,6 +235,16 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str, tuple]:
     return found
 
 
+def word_rule(words: np.ndarray, rules: Rules = Rules()) -> tuple[float, float]:
+    """The fewest words of a text that a reference's common words can judge, and
+    the largest distance of a kept one."""
+    common = 1 - words[-1] / max(words.sum(), 1)
+    least = max(rules.guard_words, rules.guard_common / common if common else np.inf)
+    none = np.zeros((1, len(words)))
+    none[0, -1] = 1
+    return least, rules.max_word_part * float(distances(none, words)[0])
+
+
 def _word_histograms(piece: Piece, buckets: np.ndarray, common: np.ndarray) -> np.ndarray:
     n, k = len(piece.n_words), len(common)
     place = np.full(BUCKETS, k)
@@ -236,6 +256,7 @@ def _word_histograms(piece: Piece, buckets: np.ndarray, common: np.ndarray) -> n
 def judge(docs: DataFrame, found: dict[str, tuple], rules: Rules = Rules()) -> DataFrame:
     """Documents with their signals, char_distance and word_distance (null
     where not judged) and kept. Columns of these names are replaced."""
+    word_rules = {lang: word_rule(words, rules) for lang, (_, _, words) in found.items()}
 
     def compute(batch: pa.RecordBatch) -> dict[str, object]:
         langs = np.array(batch.column("lang").to_pylist(), object)
@@ -247,33 +268,34 @@ def judge(docs: DataFrame, found: dict[str, tuple], rules: Rules = Rules()) -> D
             letters = histograms[:, _LETTERS].sum(axis=1)
             own = langs[piece.lo : piece.hi]
             known = np.array([x in found for x in own], bool)
-            char_d, word_d = np.full(n, np.inf), np.full(n, np.inf)
-            short = (letters < rules.guard_letters, signals["n_words"] < rules.guard_words)
+            char_d, word_d = np.full(n, np.nan), np.full(n, np.nan)
+            few_letters = letters < rules.guard_letters
             worst = np.full(n, np.inf)
 
             def compare(lang: str, mine: np.ndarray) -> None:
                 """Notes the distances to a language where they are the nearest."""
                 chars, common, words = found[lang]
-                char = distances(histograms[mine], chars)
-                word = distances(_word_histograms(piece, buckets, common)[mine], words)
-                ratio = np.maximum(
-                    np.where(short[0][mine], 0, char / rules.max_char_distance),
-                    np.where(short[1][mine], 0, word / rules.max_word_distance),
-                )
+                least, limit = word_rules[lang]
+                few_words = signals["n_words"] < least
+                mine = mine & ~(few_letters & few_words)
+                no_char, no_word = few_letters[mine], few_words[mine]
+                char = np.where(no_char, np.nan, distances(histograms[mine], chars))
+                word = np.where(no_word, np.nan, distances(_word_histograms(piece, buckets, common)[mine], words))
+                ratio = np.fmax(char / rules.max_char_distance, word / limit if limit else word)
                 near = ratio < worst[mine]
                 at = np.flatnonzero(mine)[near]
                 worst[at], char_d[at], word_d[at] = ratio[near], char[near], word[near]
 
             for lang in {x for x in own[known]}:
                 compare(lang, own == lang)
-            # Far from its own language, a text may still be in another one.
+            # Far from its own language, a text may still be in another one. One
+            # that its own can't judge isn't judged by others.
+            unsure = known & ~np.isfinite(worst)
             for lang in found:
-                mine = (worst > 1) & (own != lang)
+                mine = (worst > 1) & (own != lang) & ~unsure
                 if mine.any():
                     compare(lang, mine)
-            char_d[~np.isfinite(char_d) | short[0]] = np.nan
-            word_d[~np.isfinite(word_d) | short[1]] = np.nan
-            far = (char_d > rules.max_char_distance) | (word_d > rules.max_word_distance)
+            far = np.isfinite(worst) & (worst > 1)
             signals |= {"char_distance": char_d, "word_distance": word_d}
             signals["kept"] = ~signals["base_failed"] & ~far
             parts.append(signals)

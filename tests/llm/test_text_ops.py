@@ -302,3 +302,33 @@ def test_mislabelled_text_is_no_junk(spark):
     rows += [(200, text(two), "en"), (201, text(one), None), (202, "Q1!! " * 50 + text(["XX", "YY!!", "99"], 400), "en")]
     found = {r["doc_id"]: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert all(found[i]["kept"] for i in (0, 100, 200, 201)) and not found[202]["kept"]
+
+
+def test_texts_without_common_words_are_junk(spark, sf_dir):
+    import random
+
+    rng = random.Random(5)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    letters: dict[str, Counter] = {}
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1")
+    for row in docs.join(labels, "doc_id", "left_semi").collect():
+        letters.setdefault(row["lang"], Counter()).update("".join(words(row["text"])))
+
+    def salad(lang, n):
+        signs, weights = zip(*letters[lang].items())
+        return " ".join("".join(rng.choices(signs, weights, k=rng.randrange(3, 10))) for _ in range(n))
+
+    texts = [(lang, salad(lang, n)) for lang in sorted(letters) for n in (200, 2000)]
+    rows = [(-1 - i, text, lang if i % 3 else None) for i, (lang, text) in enumerate(texts)]
+    found = quality.judge(spark.createDataFrame(rows, docs.schema), quality.references(docs)).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        assert row["word_distance"] < 0.5 and not row["base_failed"] and not row["kept"], row["lang"]
+
+
+def test_language_without_common_words_is_judged_by_characters(spark):
+    rows = [(i, " ".join(f"{chr(97 + (i * 7 + k) % 26) * 3}{i}x{k}" for k in range(300)), "zz") for i in range(40)]
+    rows.append((99, "Ä!Ö§ " * 30 + " ".join(f"Ä!§{k}Ö" for k in range(300)), "zz"))
+    found = {r["doc_id"]: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(found[i]["kept"] and found[i]["word_distance"] is None for i in range(40))
+    assert not found[99]["kept"]
