@@ -9,10 +9,16 @@ and reported when what comes out has the structure of a secret:
 * ``jwt``: three dotted parts, the first a JSON header that names an algorithm,
   the second a JSON object, the third a signature (or none for "none");
 * ``pem``: an armoured private key whose body is such a structure, or an
-  OpenSSH key;
+  OpenSSH key; line breaks may be escaped, as in JSON;
 * ``ssh``: length-prefixed fields that begin with a key type, or the OpenSSH
   private key magic.
 
+A structure may start anywhere in its run, behind a path or a glued word, and
+where one start fails the next is tried; it ends where a run ends, in either
+base64 alphabet, and may be wrapped over lines. A ``der`` or ``ssh`` value
+inside another one or an armour is part of that. Runs are found once and
+split, so the work is linear in a text without structures.
+
 Spans count code points, end exclusive. Defined results: null and empty texts
 have no spans; repeated rows are scanned each for itself; a text of any length
 is scanned whole. Columns of the added names are replaced.
@@ -44,22 +50,40 @@ BASE = KINDS[:3]
 _ASSIGN = re.compile(ASSIGN.encode().replace(b"(?ai:", b"(?i:"))
 _ACCESS = re.compile(ACCESS.encode())
 _HEX = re.compile(rb"[0-9a-f]{24,}")
-_RUN = re.compile(rb"[A-Za-z0-9+/_-]{32,}={0,2}")
-_ANY_HEX = re.compile(rb"(?:[0-9a-fA-F]{2}){24,}")
-_JWT = re.compile(rb"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_PEM = re.compile(
-    rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----", re.S
+#: Base64 with both alphabets, and with each.
+_RUNS = tuple(re.compile(x) for x in (rb"[A-Za-z0-9+/_-]+", rb"[A-Za-z0-9+/]+", rb"[A-Za-z0-9_-]+"))
+_HEX_RUN = re.compile(rb"[0-9a-fA-F]+")
+#: Where a structure may start: ASN.1 sequences of a long length, or a short one
+#: and the first field of a key; lengths and beginnings of key types; the magic.
+_STARTS = re.compile(
+    rb"(?=MI[E-T]|M[A-H][AEIMQUYcgkosw048](?:CAQ|w)|AAAA(?:B3Nz|C3Nz|E2Vj)|b3BlbnNzaC1rZXk)"
+)
+_HEX_STARTS = re.compile(
+    rb"(?=30(?:8[1-4]|[0-7][0-9a-f](?:0201|30))|000000(?:077373|0b7373|136563)|6f70656e737368)", re.I
 )
+#: A line that begins so is a key of its own, not the next of a key before it.
+_TYPED = re.compile(rb"AAAA(?:B3Nz|C3Nz|E2Vj)|000000(?:077373|0[bB]7373|136563)")
+#: A line break within a value, as it is or escaped.
+_BREAK = re.compile(rb"[ \t]*\r?\n[ \t]*|(?:\\+r)?\\+n")
+_PADDING = re.compile(rb"={0,2}")
+_DOTTED = re.compile(rb"[A-Za-z0-9_.-]{20,}")
+_OBJECT = re.compile(rb'\{(?=[\s"}])')
+_ARMOUR = re.compile(rb"-----(BEGIN|END) ([A-Z0-9 ]*PRIVATE KEY)-----")
+_ARMOURED = re.compile(rb"[A-Za-z0-9+/=\s:,\\-]*")
 #: Key types of length-prefixed keys.
 SSH_TYPES = (
     b"ssh-rsa", b"ssh-dss", b"ssh-ed25519",
     b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521",
 )
 SSH_MAGIC = b"openssh-key-v1\0"
-#: Any reported span holds a name of an assignment or a run of this length.
+#: No key of these types has more fields; lines aren't joined beyond them.
+SSH_FIELDS = 8
+#: Any reported span holds one of the names or a run of this length.
 _LONG_RUN = 20
 _RUN_BYTE = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-.="))
-_NAMES = (b"passw", b"secret", b"token", b"api_key", b"apikey")
+_NAMES = (b"passw", b"secret", b"token", b"api_key", b"apikey", b"private key-----")
+#: Fewest characters of a decoded value, and of the part of it in its first line.
+_LEAST, _HEX_LEAST, _FIRST = 32, 48, 20
 
 
 def _length(data: bytes, at: int) -> tuple[int, int] | None:
@@ -142,44 +166,188 @@ def decoded(run: bytes) -> bytes | None:
 _URL = bytes.maketrans(b"-_", b"+/")
 
 
-def is_jwt(token: bytes) -> bool:
-    header, payload, signature = token.split(b".")
+def _json_object(data: bytes | None) -> dict | None:
     try:
-        head, body = json.loads(decoded(header) or b""), json.loads(decoded(payload) or b"")
-    except ValueError:
-        return False
-    if not isinstance(head, dict) or not isinstance(body, dict):
-        return False
-    algorithm = head.get("alg")
-    if not isinstance(algorithm, str):
-        return False
-    return algorithm.lower() == "none" or len(decoded(signature) or b"") >= 16
+        value = json.loads(data or b"")
+    except (ValueError, RecursionError):
+        return None
+    return value if isinstance(value, dict) else None
 
 
-def _confirmed(text: bytes) -> list[tuple[str, int, int]]:
+def _header(part: bytes) -> tuple[int, str] | None:
+    """Where the widest JSON object with an algorithm starts that ends a dotted
+    part, and the algorithm."""
     found = []
-    for m in _JWT.finditer(text):
-        if is_jwt(m[0]):
-            found.append(("jwt", m.start(), m.end()))
-    if b"PRIVATE KEY-----" in text:
-        for m in _PEM.finditer(text):
-            body = b"".join(x for x in m[2].split() if b":" not in x and b"," not in x)
-            data = decoded(body)
-            sealed = b"ENCRYPTED" in m[2]  # its lengths are encrypted too
-            if data and (sealed or is_key_der(data) or data.startswith(SSH_MAGIC)):
-                found.append(("pem", m.start(), m.end()))
-    for m in _RUN.finditer(text):
-        data = decoded(m[0])
-        if data and is_key_der(data):
-            found.append(("der", m.start(), m.end()))
-        elif data and is_ssh(data):
-            found.append(("ssh", m.start(), m.end()))
-    for m in _ANY_HEX.finditer(text):
-        data = bytes.fromhex(m[0].decode())
-        if is_key_der(data):
-            found.append(("der", m.start(), m.end()))
-        elif is_ssh(data):
-            found.append(("ssh", m.start(), m.end()))
+    for skip in range(4):
+        data = decoded(part[skip:])
+        if not data or not data.rstrip().endswith(b"}"):
+            continue
+        for at in (0, *(m.start() for m in _OBJECT.finditer(data, 1))):
+            if at % 3 == 0:
+                algorithm = (_json_object(data[at:]) or {}).get("alg")
+                if isinstance(algorithm, str):
+                    found.append((skip + at // 3 * 4, algorithm))
+                    break
+    return min(found, default=None)
+
+
+def _jwts(text: bytes) -> list[tuple[str, int, int]]:
+    found = []
+    for m in _DOTTED.finditer(text):
+        parts = m[0].split(b".")
+        at = m.start()
+        for header, payload, signature in zip(parts, parts[1:], parts[2:]):
+            own, at = at, at + len(header) + 1
+            if len(header) < 8 or _json_object(decoded(payload)) is None:
+                continue
+            head = _header(header)
+            # Characters of 16 bytes.
+            if head and (head[1].lower() == "none" or len(signature) >= 22):
+                found.append(("jwt", own + head[0], at + len(payload) + 1 + len(signature)))
+    return found
+
+
+def _pems(text: bytes) -> list[tuple[str, int, int]]:
+    found, armours = [], list(_ARMOUR.finditer(text))
+    for a, b in zip(armours, armours[1:]):
+        inside = text[a.end() : b.start()]
+        if a[1] != b"BEGIN" or b[1] != b"END" or a[2] != b[2] or not _ARMOURED.fullmatch(inside):
+            continue
+        inside = re.sub(rb"\\+/", b"/", re.sub(rb"\\+[rnt]", b"\n", inside))
+        data = decoded(b"".join(x for x in inside.split() if b":" not in x and b"," not in x))
+        sealed = b"ENCRYPTED" in inside  # its lengths are encrypted too
+        if data and (sealed or is_key_der(data) or data.startswith(SSH_MAGIC)):
+            found.append(("pem", a.start(), b.end()))
+    return found
+
+
+def _der_size(head: bytes) -> int | None:
+    """Length of the ASN.1 value that begins so, if it may be a private key."""
+    if head[0] != 0x30:
+        return None
+    n, at = head[1], 2
+    if n & 0x80:
+        size = n & 0x7F
+        if not 1 <= size <= 4:
+            return None
+        n, at = int.from_bytes(head[2 : 2 + size], "big"), 2 + size
+    version = head[at] == 0x02 and head[at + 1] == 1 and head[at + 2] <= 3
+    return at + n if version or head[at] == 0x30 else None
+
+
+def _ssh_type(head: bytes) -> bool:
+    name = head[4 : 4 + head[3]]
+    return SSH_MAGIC.startswith(head[:9]) or (
+        head[:3] == b"\0\0\0" and any(len(x) == head[3] and x.startswith(name) for x in SSH_TYPES)
+    )
+
+
+def _ssh_sizes(data: bytes) -> tuple[set[int], int | None]:
+    """Lengths after which the fields that the data begin with make a key, and
+    how much the next field needs, if there may be one."""
+    magic = data.startswith(SSH_MAGIC)
+    at, fields, all_fields, sizes = len(SSH_MAGIC) if magic else 0, 0, None, set()
+    while at + 4 <= len(data):
+        n = int.from_bytes(data[at : at + 4], "big")
+        if magic and fields == 3 and all_fields is None:
+            # Behind cipher, kdf and its options: a number of public keys.
+            all_fields, at = 3 + n + 1, at + 4
+            continue
+        if at + 4 + n > len(data):
+            return sizes, at + 4 + n
+        at, fields = at + 4 + n, fields + 1
+        if fields == all_fields or (not magic and fields >= 2):
+            sizes.add(at)
+        if fields == all_fields or (not magic and fields == SSH_FIELDS):
+            return sizes, None
+    return sizes, at + 4
+
+
+def _lines(text: bytes, at: int, run: re.Pattern, need: int, typed: bool = False) -> tuple[bytes, dict[int, int]]:
+    """A value from ``at`` over line breaks until it has as many characters as
+    needed, and by number of characters where its lines end in the text."""
+    parts, ends, size = [], {}, 0
+    line = run.match(text, at)
+    while line:
+        parts.append(line[0])
+        size += len(line[0])
+        ends[size] = line.end()
+        broken = _BREAK.match(text, line.end()) if size < need else None
+        own = broken and typed and _TYPED.match(text, broken.end())
+        line = run.match(text, broken.end()) if broken and not own else None
+    return b"".join(parts), ends
+
+
+def _unhex(run: bytes) -> bytes:
+    return bytes.fromhex(run[: len(run) // 2 * 2].decode())
+
+
+def _keys(text: bytes, run: re.Pattern) -> list[tuple[str, int, int]]:
+    """DER and SSH values in runs of base64 or hex digits."""
+    hexed = run is _HEX_RUN
+    read, starts, least = (_unhex, _HEX_STARTS, _HEX_LEAST) if hexed else (decoded, _STARTS, _LEAST)
+    found = []
+
+    def chars(size: int) -> int:
+        return 2 * size if hexed else -(-4 * size // 3)
+
+    def end_of(at: int, stop: int) -> tuple[str, int] | None:
+        head = read(text[at : at + (2 * _FIRST if hexed else _FIRST)])
+        size = _der_size(head)
+        if size is not None:
+            need = chars(size)
+            if need > len(text) - at or need < least or (need < stop - at - hexed):
+                return None
+            value, ends = _lines(text, at, run, need)
+            # A last half of a byte is no part of it.
+            end = ends.get(need) or (ends[need + 1] - 1 if hexed and need + 1 in ends else None)
+            return ("der", end) if end and is_key_der(read(value[:need])) else None
+        if not _ssh_type(head):
+            return None
+        own = read(text[at:stop])
+        if stop - at >= least and own and is_ssh(own) and not own.startswith(SSH_MAGIC):
+            return "ssh", stop
+        need = chars(64)
+        while True:
+            value, ends = _lines(text, at, run, need, not SSH_MAGIC.startswith(head[:9]))
+            whole = len(value) - (not hexed and len(value) % 4 == 1)
+            sizes, more = _ssh_sizes(read(value[:whole]))
+            key = min((n for n in map(chars, sizes) if n in ends and n >= least), default=None)
+            if key and is_ssh(read(value[:key])):
+                return "ssh", ends[key]
+            if len(value) < need or more is None or chars(more) > len(text) - at:
+                break
+            need = max(2 * need, chars(more))
+        # The magic tells enough where the fields don't end with a line.
+        return ("ssh", stop) if own and is_ssh(own) else None
+
+    for m in run.finditer(text):
+        begin, stop = m.span()
+        done = begin
+        first = 2 * _FIRST if hexed else _FIRST
+        if stop - begin < first:
+            continue
+        for start in starts.finditer(m[0]):
+            at = begin + start.start()
+            if at >= done and stop - at >= first:
+                end = end_of(at, stop)
+                if end:
+                    done = end[1]
+                    padded = done if hexed else _PADDING.match(text, done).end()
+                    found.append((end[0], at, padded))
+    return found
+
+
+def _confirmed(text: bytes) -> list[tuple[str, int, int]]:
+    found = _jwts(text)
+    armoured = _pems(text) if b"PRIVATE KEY-----" in text else []
+    keys = {key for run in (*_RUNS, _HEX_RUN) for key in _keys(text, run)}
+    reach = -1
+    # By start, longer ones first: what ends within an earlier one lies in it.
+    for kind, start, end in sorted([*armoured, *keys], key=lambda s: (s[1], -s[2])):
+        if kind == "pem" or end > reach:
+            found.append((kind, start, end))
+        reach = max(reach, end)
     return found
 
 

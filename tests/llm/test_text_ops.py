@@ -191,6 +191,55 @@ def test_confirmed_secrets():
     assert ("der", 0, 2 * len(pkcs1)) in secrets.find_secrets(pkcs1.hex().encode())
 
 
+def _openssh():
+    def field(data):
+        return struct.pack(">I", len(data)) + data
+
+    head = secrets.SSH_MAGIC + field(b"none") * 2 + field(b"") + struct.pack(">I", 1)
+    return head + field(field(b"ssh-ed25519") + field(bytes(32))) + field(bytes(range(140)))
+
+
+def _wrapped(data, width=64, end="\n"):
+    body = base64.b64encode(data).decode()
+    return end.join(body[i : i + width] for i in range(0, len(body), width))
+
+
+def test_secrets_behind_other_text():
+    pkcs1, pkcs8, ssh = _keys()
+    parts = [_url64(json.dumps(x).encode()) for x in ({"alg": "HS256"}, {"sub": "1"})] + [_url64(bytes(32))]
+    values = [("jwt", ".".join(parts))]
+    values += [("der", base64.b64encode(x).decode()) for x in (pkcs1, pkcs8)]
+    values += [("ssh", base64.b64encode(x).decode()) for x in (ssh, _openssh())]
+    values += [("der", _wrapped(pkcs8)), ("der", _wrapped(pkcs1, 76, "\r\n  ")), ("der", _wrapped(pkcs1, 64, "\\n"))]
+    values += [("ssh", _wrapped(ssh, 40)), ("ssh", _wrapped(_openssh(), 70)), ("der", pkcs8.hex())]
+    for kind, value in values:
+        hexed = value == pkcs8.hex()
+        for before in ("", "é ", "path/", "key-", "x", "xy", "abc", "0", "MIIE") + (() if hexed else ("a.b.", "sessions.", "AAAA", "eyJ.")):
+            if kind == "jwt" and before and before[-1] == "/":
+                before = "path."
+            text = before + value + "\nThe end."
+            assert (kind, len(before), len(before) + len(value)) in secrets.find_secrets(text.encode()), (kind, before, value[:9])
+    glued = "log" + values[0][1]
+    assert ("jwt", 3, len(glued)) in secrets.find_secrets(glued.encode())
+
+
+def test_armoured_keys_in_json_and_after_failures():
+    _, pkcs8, _ = _keys()
+    pem = f"-----BEGIN PRIVATE KEY-----\n{_wrapped(pkcs8)}\n-----END PRIVATE KEY-----\n"
+    for text in (pem, json.dumps(pem), json.dumps(json.dumps({"k": pem})), pem.replace("\n", "\r\n"), json.dumps(pem.replace("\n", "\r\n"))):
+        for before in ("", "-----BEGIN PRIVATE KEY----- is a mark, then "):
+            found = secrets.find_secrets((before + text).encode())
+            start = len(before) + text.index("-----BEGIN")
+            assert found == [("pem", start, len(before) + text.rindex("-----") + 5)], text[:40]
+    short = f"-----BEGIN PRIVATE KEY-----\n{_wrapped(pkcs8, 12)}\n-----END PRIVATE KEY-----"
+    assert secrets._confirmed(short.encode()) == [("pem", 0, len(short))]
+
+
+def test_deeply_nested_payload_is_no_error():
+    text = ".".join([_url64(b'{"alg":"HS256"}'), _url64(b"[" * 200_000), _url64(bytes(32))])
+    assert secrets.find_secrets(text.encode()) == []
+
+
 def test_unconfirmed_candidates_are_left():
     pkcs1, _, ssh = _keys()
     for data in (pkcs1[:-1], pkcs1 + b"\0", ssh[:-1], bytes(range(60)), b"\x30\x82\xff\xff" + bytes(50)):
