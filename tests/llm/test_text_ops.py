@@ -381,3 +381,12 @@ def test_language_without_common_words_is_judged_by_characters(spark):
     found = {r["doc_id"]: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert all(found[i]["kept"] and found[i]["word_distance"] is None for i in range(40))
     assert not found[99]["kept"]
+
+
+@pytest.mark.parametrize("part", [b"x", b"eyJ", b"MIIEvQIBADAN", b"a.", b"AAAAB3NzaC1yc2EAAAADAQABAAAA\n", b"308204bd020100"])
+def test_scan_is_linear_in_long_runs(part):
+    import time
+
+    start = time.process_time()
+    assert not secrets._confirmed(part * (400_000 // len(part)))
+    assert time.process_time() - start < 20
