@@ -8,7 +8,8 @@ its source. (The source bitmap has a layer for each of them: bit s of layer k
 says that source s is there k times.) Longer documents fill bins of their own
 with whole pieces first; what is left of them is packed like any other.
 
-Documents are dealt by hash to shards of about ``shard_rows``; shards are
+Documents are dealt by hash to shards of about ``shard_rows``, equal rows in
+turn to one shard after the other; shards are
 packed side by side, largest documents first, and share no bins, so a cluster
 or source that holds a third of all rows is met by every shard in part.
 
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 CAPACITY = 2048
 PER_SOURCE = 4
 SHARD_ROWS = 4096
+#: Repeated rows are numbered in blocks of so many.
+REPEATS = 4096
 RESULT = (
     "doc_id long, source string, cluster long, size long, "
     "piece int, start long, n long, bin long, position long"
@@ -142,9 +145,20 @@ def pack(
         F.col("cluster").cast("long"), F.col("size").cast("long"),
     )
     shards = max(1, -(-docs.count() // shard_rows))
-    shard = F.pmod(F.xxhash64("doc_id", "cluster", "size"), F.lit(shards)).cast("long")
+    first = F.pmod(F.xxhash64(*docs.columns), F.lit(shards))
+    shard = F.pmod(first + F.col("_block") * REPEATS + F.col("_at"), F.lit(shards)).cast("long")
 
     def run(table: pa.Table) -> pa.Table:
         return _pack_shard(table, capacity, per_source)
 
-    return docs.withColumn("_shard", shard).groupBy("_shard").applyInArrow(run, RESULT)
+    # Equal rows are counted and numbered, in blocks that bound the arrays.
+    last = F.floor((F.col("_n") - 1) / REPEATS)
+    numbered = (
+        docs.groupBy(*docs.columns)
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        .withColumn("_in", F.least(F.lit(REPEATS).cast("long"), F.col("_n") - F.col("_block") * REPEATS))
+        .withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_in") - 1)))
+    )
+    dealt = numbered.select(*docs.columns, shard.alias("_shard"))
+    return dealt.groupBy("_shard").applyInArrow(run, RESULT)

@@ -429,3 +429,16 @@ def test_packing_query(spark, sf_dir):
     sizes = {r["doc_id"]: len(r["text"].encode().split()) for r in docs}
     bins = check_bins(pieces, sizes, {}, packing.CAPACITY, packing.PER_SOURCE)
     assert len(bins) <= 1.3 * sum(sizes.values()) / packing.CAPACITY + 2
+
+
+def test_repeated_rows_are_dealt_over_shards(spark):
+    from collections import Counter
+
+    repeated = spark.range(9000).selectExpr("cast(null as long) doc_id", "'s' source", "7L cluster", "5L size")
+    others = spark.range(3000).selectExpr("id doc_id", "concat('s', id % 9) source", "id cluster", "id % 40 size")
+    pieces = packing.pack(repeated.unionByName(others), shard_rows=200).collect()
+    assert Counter((r["doc_id"], r["cluster"]) for r in pieces) == Counter({(None, 7): 9000} | {(i, i): 1 for i in range(3000)})
+    shards = Counter(r["bin"] >> 32 for r in pieces if r["bin"] is not None)
+    assert len(shards) == 60 and max(shards.values()) < 300
+    bins = Counter(r["bin"] for r in pieces if r["doc_id"] is None)
+    assert max(bins.values()) == 1
