@@ -1,11 +1,9 @@
-"""Repeated passages by relative Lempel-Ziv parsing.
-
-Every document is factored against the documents with smaller ids: greedily
-from left to right, a factor goes on as long as each window of its words has
-the same first reference. Factors of at least ``SPAN`` words are duplicate
-spans. Where a factor ends, the windows over its boundary are looked up in
-their own right, so a passage pieced together from several references is found
-in whole.
+"""Repeated passages by looked-up windows, in place of relative Lempel-Ziv parsing.
+
+Every window of ``SPAN`` words that is also in a document with a smaller id is
+a duplicate span, and the words of all of them are removed, so a passage pieced
+together from several references is found in whole. Runs of windows with the
+same first reference are given as factors; these decide nothing.
 
 The reference is indexed by blocks chosen by content: of the ``GRAM``-word
 grams in each window of SPAN words, the one with the least hash is its anchor.
