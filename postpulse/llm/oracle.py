@@ -78,4 +78,31 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE = {"op2_chat_format": _CHAT, "op4_substring_dedup": _REPEATS, "op6_url_filter": _URLS}
+_NEGATIVES = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), usual AS (
+  SELECT x[:0] AS none, len(x) AS d FROM v GROUP BY ALL ORDER BY count(*) DESC, d LIMIT 1
+), u AS (
+  SELECT vec_id, label, x FROM v WHERE len(x) = (SELECT d FROM usual)
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM u a, u b WHERE a.vec_id % 100 = 0
+), near AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored
+  WHERE same AND other_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT n.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+       row_number() OVER (PARTITION BY n.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+FROM near n JOIN scored s ON n.anchor_id = s.anchor_id AND NOT s.same
+  AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+ORACLE = {"op2_chat_format": _CHAT, "op4_substring_dedup": _REPEATS, "op6_url_filter": _URLS, "op12_hard_negatives": _NEGATIVES}

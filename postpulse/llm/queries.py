@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
-from . import ann, chat, lang_id, mixing, near_dup, packing, quality, secrets, substring, url_rules
+from . import (
+    ann,
+    chat,
+    hard_negatives,
+    lang_id,
+    main_text,
+    mixing,
+    near_dup,
+    packing,
+    quality,
+    secrets,
+    substring,
+    url_rules,
+    whitening,
+)
 from .words import word_count
 
 
@@ -102,6 +116,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(stage(docs, "pack-sizes"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row has its label moved on by one."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.extract(pages).drop("html")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
@@ -113,4 +144,7 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_secret_scan": op9_secret_scan,
     "op10_packing": op10_packing,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_main_text": op13_main_text,
 }

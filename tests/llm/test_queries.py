@@ -15,7 +15,7 @@ from postpulse.llm.queries import QUERIES
 
 def test_names():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
 
 
