@@ -10,7 +10,8 @@ text is the language of most of its letters, its score their share.
 Defined results: null and empty texts, and texts without a letter, are ``und``
 with score 0, as are all texts where nothing was learned. A word in a script
 that no language uses says nothing. Ties go to the first language by code
-point. Repeated rows are predicted each for itself, and learned as often.
+point. Repeated rows are predicted each for itself, and learned as often. Of
+more than ``MAX_LANGUAGES`` languages those with the fewest rows aren't learned.
 """
 
 from __future__ import annotations
@@ -134,10 +135,23 @@ class Model:
     uses: np.ndarray
 
 
+def common_languages(rows: DataFrame, most: int) -> DataFrame:
+    """The rows whose lang is one of the ``most`` that have the most rows (ties:
+    the first by code point), counted before any text is read. A column with
+    more values than that holds other things than languages."""
+    rows = rows.filter(F.col("lang").isNotNull())
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    known = counts.orderBy(F.desc("n"), "lang").limit(most + 1).collect()
+    if len(known) <= most:
+        return rows
+    return rows.filter(F.col("lang").isin([row["lang"] for row in known[:most]]))
+
+
 def learn(rows: DataFrame) -> Model:
     """The model of the rows (text, lang) whose lang isn't null. All rows count;
     a task sums what it reads, so few rows leave it. What comes to the driver
-    is bounded by ``MAX_LANGUAGES`` (more are an error) times the buckets."""
+    is bounded by ``MAX_LANGUAGES`` times the buckets: of more languages, those
+    of the most rows are learned (``common_languages``)."""
 
     def count(batches):
         grams: dict[str, np.ndarray] = {}
@@ -165,12 +179,10 @@ def learn(rows: DataFrame) -> Model:
                     names=["lang", "kind", "bucket", "n"],
                 )
 
-    rows = rows.select("text", "lang").filter(F.col("lang").isNotNull())
+    rows = common_languages(rows.select("text", "lang"), MAX_LANGUAGES)
     counted = rows.mapInArrow(count, "lang string, kind string, bucket int, n long")
     counts = counted.groupBy("lang", "kind", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(counts["lang"].unique()))
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     grams = np.zeros((BUCKETS, len(languages)))
     scripts = np.zeros((OTHER_SCRIPT + 1, len(languages)))
     for kind, target in (("gram", grams), ("script", scripts)):
@@ -281,7 +293,8 @@ def predict(rows: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
     def compute(batch: pa.RecordBatch) -> dict[str, object]:
         data, offsets = flat(batch.column("text"))
         names, scores, spans = [], [], []
-        for lo, hi in spans_of(offsets, 8 << 20):
+        # Scores are words times languages.
+        for lo, hi in spans_of(offsets, max(1 << 16, (8 << 20) * 16 // max(16, len(model.languages)))):
             begin = offsets[lo]
             own = _labelled(data[begin : offsets[hi]], offsets[lo : hi + 1] - begin, model, switch)
             names += own[0]

@@ -19,7 +19,8 @@ Defined results: null and empty texts have size 0 and take nothing (copies
 follow the rate of size 0, which is 1); null is a source of its own, the last;
 a source without words has target 0; with no words at all every target is 0.
 Repeated rows are documents of their own; ties in the ranking are rows that
-are alike. Columns of the added names are replaced.
+are alike. Columns of the added names (source_size, target, rate, copies) are
+replaced; others, whatever their names, stay as they are.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .words import free
 
 MAX_COPIES = 3
 #: Source weights repeat in this order over the sources by code point.
@@ -35,7 +37,6 @@ WEIGHTS = (1, 2, 3)
 CELL_ROWS = 20_000
 #: Rates are fixed-point numbers with this unit.
 UNIT = 1 << 30
-MAX_STEPS = 80
 REPAIRS = 4
 TOLERANCE = 1e-8
 ADDED = ("source_size", "target", "rate", "copies")
@@ -81,10 +82,11 @@ def solve(cells: DataFrame, sources: DataFrame) -> DataFrame:
     """(source, mean, dual, capped): the dual values that meet the targets.
 
     cells: (source, size, n); sources: (source, source_size, n_docs, target).
-    A step reads the cells once and keeps one row per source. The Newton step
+    A step reads the cells once and keeps one row per source. Steps go on until
+    all sources meet their targets, or their brackets have closed. The Newton step
     is on the logarithm of the tokens taken; where it leaves the bracket that
     earlier steps have shown, the bracket's middle is taken; as long as one end of
-the bracket is unknown, a step at most doubles the dual value."""
+    the bracket is unknown, a step at most doubles the dual value."""
     state = sources.select(
         "source",
         "target",
@@ -95,7 +97,7 @@ the bracket is unknown, a step at most doubles the dual value."""
         F.lit(None).cast("double").alias("high"),
     )
     state = stage(state, "mix-dual")
-    for _ in range(MAX_STEPS):
+    while True:
         at = cells.alias("c").join(state.alias("s"), _same(F.col("c.source"), F.col("s.source")))
         rate = _rate(F.col("size"), F.col("mean"), F.col("dual"), F.col("capped"))
         taken = F.col("n").cast("decimal(18,0)") * rate
@@ -114,7 +116,7 @@ the bracket is unknown, a step at most doubles the dual value."""
         near = F.greatest(F.least(newton, F.col("dual") + reach), F.col("dual") - reach)
         both = low.isNotNull() & high.isNotNull()
         inside = ~both | ((newton > low) & (newton < high))
-        done = F.col("capped") | (F.abs(error) < TOLERANCE) | F.coalesce(high - low < 1e-12, F.lit(False))
+        done = F.col("capped") | (F.abs(error) < TOLERANCE) | F.coalesce(high - low <= 1e-12 * F.greatest(F.lit(1.0), F.abs(low), F.abs(high)), F.lit(False))
         state = stage(
             moved.select(
                 F.col("s.source"), "target", "mean", "capped",
@@ -124,9 +126,8 @@ the bracket is unknown, a step at most doubles the dual value."""
             "mix-dual",
         )
         if state.filter(~F.col("done")).isEmpty():
-            break
+            return state.select("source", "mean", "dual", "capped")
         state = state.drop("done")
-    return state.select("source", "mean", "dual", "capped")
 
 
 def _repaired(parts: DataFrame, sources: DataFrame) -> DataFrame:
@@ -171,6 +172,9 @@ def mix(docs: DataFrame) -> DataFrame:
     """Documents (doc_id, source, size and any others) with source_size,
     target, rate and copies."""
     docs = docs.drop(*ADDED)
+    # Apart, so that no name of theirs meets one of those below.
+    whole = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("_row")
+    docs = docs.select(whole, "doc_id", "source", "size")
     cells = stage(docs.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-cells")
     per_source = cells.groupBy("source").agg(
         F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n_docs")
@@ -228,7 +232,7 @@ def mix(docs: DataFrame) -> DataFrame:
     extra = F.element_at("_extras", F.col("_bucket"))
     more = (F.col("_rank") <= extra).cast("long") - (F.col("_rank") <= -extra).cast("long")
     return chosen.select(
-        *docs.columns,
+        "_row.*",
         "source_size",
         "target",
         (F.col("_fixed").cast("double") / UNIT).alias("rate"),
@@ -237,6 +241,7 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def repeat_copies(mixed: DataFrame) -> DataFrame:
-    """Each document as often as its copies say."""
+    """Each document as often as its copies say, without the added columns."""
+    name = free("_copy", mixed)
     every = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return mixed.filter(F.col("copies") > 0).withColumn("_copy", every).drop("_copy", "size", *ADDED)
+    return mixed.filter(F.col("copies") > 0).withColumn(name, every).drop(name, "size", *ADDED)

@@ -20,7 +20,9 @@ found or in one class at the end. A comparison counts the shingles of both
 texts exactly.
 
 Defined results: null and empty texts have no shingles and are a class each;
-rows that repeat an id are one document; ids that are null get a null class.
+rows that repeat an id belong to the classes of their own texts; rows without an
+id are classed by their texts, too, and named by the smallest id of their class
+(null, if none has one). An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,12 +31,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
 from .components import components
-from .words import Piece, likely, lists, mix, pieces, span_hashes
+from .words import Piece, free, give_back, likely, lists, maybe, mix, pieces, span_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 24, 4
@@ -141,10 +143,11 @@ def _signed(batches):
             bands = band_hashes(signatures)[piece.n_words > 0].ravel()
             weight = np.where(piece.n_words > 0, np.maximum(piece.n_words - SHINGLE + 1, 1), 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(piece.lo, n), pa.array(_keys(piece), pa.binary()),
-                 pa.array(weight.astype(np.int64)), lists(bands, counts)],
-                names=["doc_id", "key", "weight", "bands"],
+                [batch.column("doc_id").slice(piece.lo, n), batch.column("digest").slice(piece.lo, n),
+                 pa.array(_keys(piece), pa.binary()), pa.array(weight.astype(np.int64)), lists(bands, counts)],
+                names=["doc_id", "digest", "key", "weight", "bands"],
             )
+    give_back()
 
 
 def _tokens(batches):
@@ -162,12 +165,14 @@ def _tokens(batches):
             same = np.array([a == b for a, b in zip(own.to_pylist(), asked.to_pylist())], bool)
             made = pa.RecordBatch.from_arrays([asked, lists(values, sizes)], names=["key", "tokens"])
             yield made.filter(pa.array(same))
+    give_back()
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, weight, bands); key: the same for equal words."""
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_signed, "doc_id long, key binary, weight long, bands array<long>")
+    """(doc_id, digest, key, weight, bands); digest: of the text, key: the same
+    for equal words."""
+    rows = docs.select(F.col("doc_id").cast("long"), "text", _digest("text").alias("digest"))
+    return rows.mapInArrow(_signed, "doc_id long, digest binary, key binary, weight long, bands array<long>")
 
 
 def _similar(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -293,18 +298,34 @@ def _several(rows: DataFrame) -> DataFrame:
     return stage(rows.drop("n").join(degree, "key"), "dup-buckets")
 
 
+def _digest(text: str) -> Column:
+    """Names a text where ids don't: rows may repeat an id, or have none."""
+    return F.unhex(F.md5(F.col(text)))
+
+
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, text) of the nodes (key, doc_id, digest); some texts of other keys
+    that share an id may come along."""
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    known = nodes.filter(F.col("doc_id").isNotNull()).select("doc_id", "key")
+    found = likely(rows, "doc_id", known).join(known, "doc_id").select("key", "text")
+    # Texts that no row with an id has, each once.
+    nameless = rows.filter(F.col("doc_id").isNull()).select("text", _digest("text").alias("digest"))
+    unknown = nodes.filter(F.col("doc_id").isNull()).select("digest", "key")
+    return found.unionByName(nameless.dropDuplicates(["digest"]).join(unknown, "digest").select("key", "text"))
+
+
 def classes_of_keys(docs: DataFrame, signed: DataFrame) -> DataFrame:
     """(key, class) of the keys that share a bucket with others."""
     reps = signed.filter(F.col("key").isNotNull()).groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
-    )
+        F.min("doc_id").alias("doc_id"), F.min("digest").alias("digest"),
+        F.first("weight").alias("weight"), F.first("bands").alias("bands"),
+    )
     reps = stage(reps, "dup-reps")
     rows = _several(reps.select(F.explode("bands").alias("bucket"), "key", "weight"))
-    nodes = reps.select("key", "doc_id").join(rows.select("key").distinct(), "key")
+    nodes = reps.select("key", "doc_id", "digest").join(rows.select("key").distinct(), "key")
     nodes = stage(nodes, "dup-nodes")
-    nodes = nodes.filter(F.col("doc_id").isNotNull())
-    texts = likely(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", nodes).join(nodes, "doc_id")
-    tokens = stage(texts.mapInArrow(_tokens, "key binary, tokens array<long>"), "dup-tokens")
+    tokens = stage(_texts(docs, nodes).mapInArrow(_tokens, "key binary, tokens array<long>"), "dup-tokens")
 
     labels = nodes.select("key", F.col("key").alias("class"))
     labels = _merged(labels, _similar(_star_pairs(rows), tokens))
@@ -312,25 +333,45 @@ def classes_of_keys(docs: DataFrame, signed: DataFrame) -> DataFrame:
     return _merged(labels, _in_blocks(_mixed(rows, labels, 2), tokens))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id) for each row of docs (doc_id, text): the smallest id
-    of its class of near duplicates."""
+def _classed(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, class) for each row of docs; texts without words have a
+    null class."""
     signed = stage(signatures(docs), "dup-signed")
     labels = classes_of_keys(docs, signed)
-    own = signed.select("doc_id", "key").join(labels, "key", "left")
-    own = own.withColumn("class", F.coalesce("class", "key"))
-    first = own.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("_first"))
-    return own.join(first, "class", "left").select(
-        "doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("_first", "doc_id")).alias("class_id")
-    )
+    own = signed.select("doc_id", "digest", "key").join(labels, "key", "left")
+    return own.select("doc_id", "digest", F.coalesce("class", "key").alias("class"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id) for each row of docs (doc_id, text): the smallest id
+    of its text's class of near duplicates."""
+    own = _classed(docs.select("doc_id", "text"))
+    first = own.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("first"))
+    return own.join(first, "class", "left").select("doc_id", F.coalesce("first", "doc_id").alias("class_id"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each class, that of the smallest id; rows that repeat
-    its id are dropped. Rows without an id stay."""
-    firsts = near_duplicates(docs).filter(F.col("doc_id") == F.col("class_id"))
-    firsts = firsts.select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(firsts, F.col("doc_id").cast("long") == F.col("_first"), "left_semi")
-    once = Window.partitionBy("doc_id").orderBy("text")
-    kept = kept.withColumn("_row", F.row_number().over(once)).filter(F.col("_row") == 1).drop("_row")
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """One row of each class of docs (doc_id, text and any others): that of the
+    smallest id, rows without one last, then of the least digest of the text;
+    of rows that are alike in both, any. Texts without words all stay. Texts
+    that can't be among those to drop aren't shuffled."""
+    own = stage(_classed(docs.select("doc_id", "text")).filter(F.col("class").isNotNull()), "dup-classed")
+    alike = own.groupBy("class", "doc_id", "digest").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    firsts = own.groupBy("class").agg(F.min(order).alias("first"), F.count("*").alias("size"))
+    firsts = firsts.filter(F.col("size") > 1)
+    lost = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest")))
+    touched = alike.join(firsts, "class").withColumn("lost", lost).filter(F.col("lost") | (F.col("n") > 1))
+    id_, digest, seen, lost_ = (free(name, docs) for name in ("_id", "_digest", "_seen", "_lost"))
+    touched = stage(
+        touched.select(F.col("doc_id").alias(id_), F.col("digest").alias(digest), F.col("lost").alias(lost_)), "dup-touched"
+    )
+    keyed = docs.withColumns({id_: F.col("doc_id").cast("long"), digest: _digest("text")})
+    rows = maybe(keyed, digest, touched, seen)
+    surely = rows.filter(~F.col(seen)).select(*docs.columns)
+    rows, touched = rows.filter(F.col(seen)).alias("r"), touched.alias("t")
+    same = F.col(f"r.{id_}").eqNullSafe(F.col(f"t.{id_}")) & (F.col(f"r.{digest}") == F.col(f"t.{digest}"))
+    met = rows.join(touched, same, "left").select("r.*", F.col(f"t.{lost_}").alias(lost_))
+    others = met.filter(F.col(lost_).isNull()).select(*docs.columns)
+    alike = met.filter(~F.col(lost_)).dropDuplicates([id_, digest]).select(*docs.columns)
+    return surely.unionByName(others).unionByName(alike)

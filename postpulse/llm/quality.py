@@ -15,8 +15,8 @@ so rare that a text of its length may lack them by chance (``guard_common``)
 judges that text by its characters alone.
 
 Defined results: null and empty texts have no words and fail the plain rules;
-a document whose language is null, or was seen too rarely to have a reference,
-is compared with all references and takes the nearest; a reference that can
+a document whose language is null, or was seen too rarely to have a reference
+(also among more than ``max_languages``), is compared with all references and takes the nearest; a reference that can
 judge it by no histogram tells nothing of it; with no reference that can,
 nothing is judged by distance. Repeated rows are judged each for itself.
 """
@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lang_id import common_languages
 from .words import Piece, add_columns, byte_values, pieces, span_hashes, sums_between
 
 #: Characters that count as symbols.
@@ -41,6 +42,8 @@ SIGNALS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, base_failed boolean"
 )
+#: The columns that a judgement adds.
+ADDED = tuple(field.split()[0] for field in SIGNALS.split(", ")) + ("char_distance", "word_distance", "kept")
 
 
 def _char_classes() -> np.ndarray:
@@ -219,11 +222,9 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str, tuple]:
     and their histogram (the last entry: all other words).
 
     What comes to the driver is bounded: ``max_languages`` times the classes
-    and buckets; more languages are an error."""
-    rows = _counts(docs, rules).toPandas()
+    and buckets. Of more languages, those of the fewest rows have no reference."""
+    rows = _counts(common_languages(docs.select("lang", "text"), rules.max_languages), rules).toPandas()
     found = {}
-    if rows["lang"].nunique() > rules.max_languages:
-        raise ValueError(f"more than {rules.max_languages} languages")
     for lang, own in rows.groupby("lang"):
         chars, words = np.zeros(CLASSES), np.zeros(BUCKETS)
         for kind, target in (("char", chars), ("word", words)):

@@ -17,7 +17,8 @@ A structure may start anywhere in its run, behind a path or a glued word, and
 where one start fails the next is tried; it ends where a run ends, in either
 base64 alphabet, and may be wrapped over lines. A ``der`` or ``ssh`` value
 inside another one or an armour is part of that. Runs are found once and
-split, so the work is linear in a text without structures.
+split, and of a run that only looks like fields no more than their lengths are
+decoded, so the work is linear in a text without structures.
 
 Spans count code points, end exclusive. Defined results: null and empty texts
 have no spans; repeated rows are scanned each for itself; a text of any length
@@ -33,10 +34,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import add_columns, flat, spans_of
+from .words import add_columns, flat, give_back, spans_of
 
 #: The plain patterns. Letters of the names in either case.
 ASSIGN = (
@@ -267,17 +269,39 @@ def _lines(text: bytes, at: int, run: re.Pattern, need: int, typed: bool = False
     """A value from ``at`` over line breaks until it has as many characters as
     needed, and by number of characters where its lines end in the text."""
     parts, ends, size = [], {}, 0
-    line = run.match(text, at)
-    while line:
+    while True:
+        # No more than asked for, and what tells whether the line ends there.
+        most = need - size + 2
+        line = run.match(text, at, at + most)
+        if not line:
+            break
         parts.append(line[0])
         size += len(line[0])
-        ends[size] = line.end()
+        if len(line[0]) < most:
+            ends[size] = line.end()
         broken = _BREAK.match(text, line.end()) if size < need else None
-        own = broken and typed and _TYPED.match(text, broken.end())
-        line = run.match(text, broken.end()) if broken and not own else None
+        if not broken or (typed and _TYPED.match(text, broken.end())):
+            break
+        at = broken.end()
     return b"".join(parts), ends
 
 
+def _fills(text: bytes, at: int, stop: int, read, hexed: bool) -> bool:
+    """Do fields after a key type fill the run from ``at`` exactly? Only the
+    fields' lengths are decoded, so a start costs the same in any run."""
+    size = (stop - at) // 2 if hexed else (stop - at) * 3 // 4
+    byte, fields = 0, 0
+    while byte + 4 <= size and fields < SSH_FIELDS:
+        first = at + 2 * byte if hexed else at + byte // 3 * 4
+        part = read(text[first : min(stop, first + 8)])
+        if part is None:
+            return False
+        skip = 0 if hexed else byte % 3
+        byte += 4 + int.from_bytes(part[skip : skip + 4], "big")
+        fields += 1
+    return byte == size and fields >= 2 and is_ssh(read(text[at:stop]) or b"")
+
+
 def _unhex(run: bytes) -> bytes:
     return bytes.fromhex(run[: len(run) // 2 * 2].decode())
 
@@ -304,14 +328,15 @@ def _keys(text: bytes, run: re.Pattern) -> list[tuple[str, int, int]]:
             return ("der", end) if end and is_key_der(read(value[:need])) else None
         if not _ssh_type(head):
             return None
-        own = read(text[at:stop])
-        if stop - at >= least and own and is_ssh(own) and not own.startswith(SSH_MAGIC):
+        magic = SSH_MAGIC.startswith(head[:9])
+        whole = stop - at >= least and (hexed or (stop - at) % 4 != 1)
+        if whole and not magic and _fills(text, at, stop, read, hexed):
             return "ssh", stop
         need = chars(64)
         while True:
-            value, ends = _lines(text, at, run, need, not SSH_MAGIC.startswith(head[:9]))
-            whole = len(value) - (not hexed and len(value) % 4 == 1)
-            sizes, more = _ssh_sizes(read(value[:whole]))
+            value, ends = _lines(text, at, run, need, not magic)
+            own = len(value) - (not hexed and len(value) % 4 == 1)
+            sizes, more = _ssh_sizes(read(value[:own]))
             key = min((n for n in map(chars, sizes) if n in ends and n >= least), default=None)
             if key and is_ssh(read(value[:key])):
                 return "ssh", ends[key]
@@ -319,7 +344,9 @@ def _keys(text: bytes, run: re.Pattern) -> list[tuple[str, int, int]]:
                 break
             need = max(2 * need, chars(more))
         # The magic tells enough where the fields don't end with a line.
-        return ("ssh", stop) if own and is_ssh(own) else None
+        size = (stop - at) // 2 if hexed else (stop - at) * 3 // 4
+        enough = head.startswith(SSH_MAGIC) and size > len(SSH_MAGIC) + 16
+        return ("ssh", stop) if whole and enough else None
 
     for m in run.finditer(text):
         begin, stop = m.span()
@@ -351,14 +378,22 @@ def _confirmed(text: bytes) -> list[tuple[str, int, int]]:
     return found
 
 
-def find_secrets(text: bytes) -> list[tuple[str, int, int]]:
-    """(kind, start, end) in code points, by start, then kind, then end."""
+def _found(text: bytes) -> list[tuple[str, int, int]]:
+    """(kind, start, end) in bytes."""
     found = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [("access", *m.span()) for m in _ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [("hex", *m.span()) for m in _HEX.finditer(text)]
-    found += _confirmed(text)
-    if not text.isascii():
-        found = [(k, *(len(text[:i].decode("utf-8", "replace")) for i in at)) for k, *at in found]
+    return found + _confirmed(text)
+
+
+def find_secrets(text: bytes) -> list[tuple[str, int, int]]:
+    """(kind, start, end) in code points, by start, then kind, then end."""
+    found = _found(text)
+    if found and not text.isascii():
+        # Code points before each byte, counted once.
+        before = np.zeros(len(text) + 1, np.int64)
+        np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80, out=before[1:])
+        found = [(k, int(before[a]), int(before[b])) for k, a, b in found]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -377,26 +412,34 @@ def _may_hold(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return held
 
 
+def _suspects(column: pa.Array):
+    """Texts by pieces: (first row, row after the last, bytes of each text that
+    may hold a secret, None for the others)."""
+    data, offsets = flat(column)
+    for lo, hi in spans_of(offsets):
+        piece = data[offsets[lo] : offsets[hi]]
+        own = offsets[lo : hi + 1] - offsets[lo]
+        held = _may_hold(piece, own) if len(piece) else np.zeros(hi - lo, bool)
+        raw = piece.tobytes()
+        lower = raw.lower()
+        texts: list[bytes | None] = []
+        for i, long_run in enumerate(held):
+            begin, end = int(own[i]), int(own[i + 1])
+            named = long_run or any(lower.find(name, begin, end) >= 0 for name in _NAMES)
+            texts.append(raw[begin:end] if named else None)
+        yield lo, hi, texts
+
+
 def scan(rows: DataFrame, text: str = "text") -> DataFrame:
     """Rows with ``spans``: an array of (kind, start, end)."""
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def compute(batch: pa.RecordBatch) -> dict[str, object]:
-        data, offsets = flat(batch.column(text))
         result = []
-        for lo, hi in spans_of(offsets):
-            piece = data[offsets[lo] : offsets[hi]]
-            own = offsets[lo : hi + 1] - offsets[lo]
-            held = _may_hold(piece, own) if len(piece) else np.zeros(hi - lo, bool)
-            raw = piece.tobytes()
-            lower = raw.lower()
-            for i, long_run in enumerate(held):
-                begin, end = int(own[i]), int(own[i + 1])
-                if long_run or any(lower.find(name, begin, end) >= 0 for name in _NAMES):
-                    spans = find_secrets(raw[begin:end])
-                    result.append([{"kind": k, "start": s, "end": e} for k, s, e in spans])
-                else:
-                    result.append([])
+        for _, _, texts in _suspects(batch.column(text)):
+            for own in texts:
+                spans = find_secrets(own) if own is not None else []
+                result.append([{"kind": k, "start": s, "end": e} for k, s, e in spans])
         return {"spans": pa.array(result, kind)}
 
     return add_columns(rows, "spans array<struct<kind:string,start:long,end:long>>", compute)
@@ -409,27 +452,41 @@ def joined(spans):
     )
 
 
-def redact(rows: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """Rows whose texts have every span, overlapping ones joined, replaced by a
-    mark; ``n_chars``, where there is one, follows the new text."""
+def _redacted(text: bytes, mark: bytes) -> bytes | None:
+    """The text with its secrets, overlapping ones joined, replaced by a mark;
+    None if it has none."""
+    spans = sorted((a, b) for _, a, b in _found(text))
+    if not spans:
+        return None
+    out, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return b"".join([*out, text[at:]])
 
-    def compute(batch: pa.RecordBatch) -> dict[str, object]:
-        texts = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-            if spans:
-                out, at = [], 0
-                for span in spans:
-                    if span["start"] >= at:
-                        out += [text[at : span["start"]], mark]
-                    at = max(at, span["end"])
-                text = "".join([*out, text[at:]])
-            texts.append(text)
-        return {"_text": pa.array(texts, pa.string())}
-
-    clean = add_columns(rows, "_text string", compute)
-    changed = F.size("spans") > 0
-    columns = {"text": F.col("_text")}
-    if "n_chars" in rows.columns:
-        kind = rows.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(changed, F.length("_text").cast(kind)).otherwise(F.col("n_chars"))
-    return clean.withColumns(columns).drop("_text", "spans")
+
+def redact(rows: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """Rows whose texts have every secret replaced by a mark; ``n_chars``, where
+    there is one, follows the new text. All other columns, of whatever names,
+    stay as they are. Found and replaced in one pass, by pieces."""
+    names = rows.columns
+    counted = "n_chars" in names
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, texts in _suspects(batch.column("text")):
+                made = [_redacted(own, mark.encode()) if own is not None else None for own in texts]
+                part = batch.slice(lo, hi - lo)
+                if any(own is not None for own in made):
+                    columns = {name: part.column(k) for k, name in enumerate(names)}
+                    new = pa.array([None if own is None else own.decode() for own in made], columns["text"].type)
+                    columns["text"] = pc.if_else(new.is_valid(), new, columns["text"])
+                    if counted:
+                        size = pc.utf8_length(new).cast(columns["n_chars"].type)
+                        columns["n_chars"] = pc.if_else(new.is_valid(), size, columns["n_chars"])
+                    part = pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+                yield part
+        give_back()
+
+    return rows.mapInArrow(run, rows.schema)

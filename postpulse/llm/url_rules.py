@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import add_columns, flat, spans_of
+from .words import add_columns, flat, free, spans_of
 
 
 @dataclass(frozen=True)
@@ -152,11 +152,12 @@ def url_filter(
     globs = [glob for rule in ranked for glob in rule.globs()] + list(blocked)
     host, path = canonical(F.col(url))
     split = rows.withColumns({"host": host, "path": path})
-    split = split.withColumn("_url", F.concat("host", "path"))
+    whole = free("_url", split)
+    split = split.withColumn(whole, F.concat("host", "path"))
 
     def compute(batch: pa.RecordBatch) -> dict[str, object]:
         automaton = Automaton(globs)
-        data, offsets = flat(batch.column("_url"))
+        data, offsets = flat(batch.column(whole))
         names, bans, verdicts = [], [], []
         for lo, hi in spans_of(offsets):
             own = offsets[lo : hi + 1] - offsets[lo]
@@ -175,4 +176,4 @@ def url_filter(
             "verdict": pa.array(verdicts, pa.string()),
         }
 
-    return add_columns(split, "rule string, blocked_by string, verdict string", compute).drop("_url")
+    return add_columns(split, "rule string, blocked_by string, verdict string", compute).drop(whole)

@@ -9,7 +9,8 @@ the arrays of a task whatever its batch holds.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -147,6 +148,38 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def free(name: str, rows: DataFrame) -> str:
+    """The name, or one like it that no column of the rows has."""
+    taken = {column.lower() for column in rows.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def shielded(rows: DataFrame, names: Iterable[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``work`` makes of the rows, whose columns of these names are renamed
+    before and get their names back after; ``work`` keeps the columns."""
+    named = {name.lower() for name in names}
+    away = {column: free(f"_own_{column}", rows) for column in rows.columns if column.lower() in named}
+    made = work(rows.withColumnsRenamed(away))
+    return made.select(*(F.col(f"`{away.get(column, column)}`").alias(column) for column in rows.columns))
+
+
+_libc: list = []
+
+
+def give_back() -> None:
+    """Returns freed memory to the system at a task's end: workers stay, and
+    what each of them keeps adds up over the stages of a job."""
+    pa.default_memory_pool().release_unused()
+    if not _libc:
+        try:
+            _libc.append(ctypes.CDLL("libc.so.6").malloc_trim)
+        except (OSError, AttributeError):  # another C library
+            _libc.append(lambda _: 0)
+    _libc[0](0)
+
+
 def word_count(text):
     """Words of a text column as a built-in expression; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -156,24 +189,33 @@ def word_count(text):
 FILTER_BITS = 24
 
 
-def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows that may have a partner in a join on ``key``, a column of both sides:
-    a cheap filter before a join that would shuffle whole texts. The filter is
-    a bitmap of hashed keys; its size is fixed, so it is broadcast. With very
-    many wanted keys it lets all rows pass, and the join decides as ever."""
+def maybe(rows: DataFrame, key: str, wanted: DataFrame, name: str) -> DataFrame:
+    """Rows with a boolean ``name``: may they have a partner in a join on
+    ``key``, a column of both sides? A cheap question before a join that would
+    shuffle whole texts. The answers are in a bitmap of hashed keys; its size is
+    fixed, so it is broadcast. With very many wanted keys it says yes to all
+    rows, and the join decides as ever. A null key has no partner."""
 
     def hashed(column):
         return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
 
-    bit = (F.col("_hash") % 64).cast("int")
+    hash_, word, bits = (free(own, rows) for own in ("_hash", "_word", "_bits"))
+    bit = (F.col(hash_) % 64).cast("int")
     bitmap = (
-        wanted.select(hashed(F.col(key)).alias("_hash"))
-        .groupBy(F.floor(F.col("_hash") / 64).alias("_word"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(_hash % 64 AS INT)))").alias("_bits"))
+        wanted.filter(F.col(key).isNotNull())
+        .select(hashed(F.col(key)).alias("_hash"))
+        .groupBy(F.floor(F.col("_hash") / 64).alias(word))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(_hash % 64 AS INT)))").alias(bits))
     )
-    marked = rows.withColumn("_hash", hashed(F.col(key))).withColumn("_word", F.floor(F.col("_hash") / 64))
-    met = marked.join(F.broadcast(bitmap), "_word").filter(F.getbit("_bits", bit) == 1)
-    return met.select(*rows.columns)
+    marked = rows.withColumn(hash_, hashed(F.col(key))).withColumn(word, F.floor(F.col(hash_) / 64))
+    met = F.coalesce(F.getbit(bits, bit) == 1, F.lit(False)) & F.col(key).isNotNull()
+    return marked.join(F.broadcast(bitmap), word, "left").select(*rows.columns, met.alias(name))
+
+
+def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows that may have a partner (see ``maybe``)."""
+    name = free("_likely", rows)
+    return maybe(rows, key, wanted, name).filter(F.col(name)).drop(name)
 
 
 def add_columns(
@@ -195,5 +237,7 @@ def add_columns(
                     [*(batch.column(n) for n in inner), *(pa.array(made[n]) for n in names)],
                     names=[*inner, *names],
                 )
+                del batch, made
+        give_back()
 
     return rows.mapInArrow(run, schema)

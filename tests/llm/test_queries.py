@@ -66,5 +66,22 @@ def test_pipeline_stages(spark, sf_dir):
     assert packed.agg(F.sum("n")).first()[0] == total
 
 
+def test_pipeline_stages_keep_columns_of_any_name(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    names = [
+        "size", "target", "spans", "_first", "n_words", "rate", "copies", "source_size", "kept", "word_chars", "_text", "_row",
+        "_size", "_source", "_own_size", "char_distance", "base_failed", "cluster", "_copy", "_digest",
+    ]
+    docs = docs.withColumns({name: F.concat(F.lit(f"{name} "), "doc_id") for name in names})
+    rows = docs
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        rows = step(spark, rows, sf_dir).cache()
+        assert rows.columns == docs.columns
+        assert all(r[name] == f"{name} {r['doc_id']}" for r in rows.collect() for name in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, rows, sf_dir).count() >= rows.count() > 0
+    for _, step in corpus_pipeline.STAGES:
+        assert step(spark, docs.limit(0), sf_dir).count() == 0
+
+
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0

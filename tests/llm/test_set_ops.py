@@ -148,10 +148,40 @@ def test_near_duplicate_edge_rows(spark):
     text = " ".join(map(str, range(30)))
     rows = [(5, text), (5, text), (2, text + " "), (None, text), (None, None), (8, None), (9, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = sorted((str(r["doc_id"]), r["class_id"]) for r in near_dup.near_duplicates(docs).collect())
-    assert found == [("2", 2), ("5", 2), ("5", 2), ("8", 8), ("9", 9), ("None", None), ("None", None)]
-    assert sorted(str(r["doc_id"]) for r in near_dup.keep_first(docs).collect()) == ["2", "8", "9", "None", "None"]
+    found = [(str(r["doc_id"]), r["class_id"]) for r in near_dup.near_duplicates(docs).collect()]
+    assert sorted(found, key=str) == sorted(
+        [("2", 2), ("5", 2), ("5", 2), ("8", 8), ("9", 9), ("None", 2), ("None", None)], key=str
+    )
+    assert sorted(str(r["doc_id"]) for r in near_dup.keep_first(docs).collect()) == ["2", "8", "9", "None"]
     assert near_dup.near_duplicates(docs.limit(0)).count() == 0
+    assert near_dup.keep_first(docs.limit(0)).count() == 0
+
+
+def test_repeated_and_missing_ids_lose_no_text(spark):
+    """Rows that repeat an id, or have none, are kept by their texts' classes."""
+    a, b, c = (" ".join(f"{name}{i}" for i in range(60)) for name in "abc")
+    near = b.replace("b59", "other")
+    cases = [
+        ([(5, a), (5, b), (7, b)], [(5, a), (5, b)]),
+        ([(5, a), (5, b), (5, b), (7, a), (9, c)], [(5, a), (5, b), (9, c)]),
+        ([(None, a), (None, a), (None, b)], [(None, a), (None, b)]),
+        ([(None, b), (3, near), (None, c)], [(3, near), (None, c)]),
+        ([(None, b), (None, near), (None, a)], None),
+        ([(4, None), (4, None), (None, ""), (None, " ")], [(4, None), (4, None), (None, ""), (None, " ")]),
+    ]
+    for rows, kept in cases:
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        for name in ("_row", "_first", "_id", "_digest", "_seen", "_lost", "_hash", "_word", "_bits", "class", "digest", "n"):
+            docs = docs.withColumn(name, F.lit(f"own {name}"))
+        out = near_dup.keep_first(docs)
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert all(r["_first"] == "own _first" and r["class"] == "own class" and r["n"] == "own n" for r in found)
+        found = sorted(((r["doc_id"], r["text"]) for r in found), key=str)
+        if kept is None:  # either of the two near texts
+            assert len(found) == 2 and found[0] == (None, a)
+        else:
+            assert found == sorted(kept, key=str), rows
 
 
 def test_star_of_copies_without_mutual_similarity(spark):
@@ -442,3 +472,17 @@ def test_repeated_rows_are_dealt_over_shards(spark):
     assert len(shards) == 60 and max(shards.values()) < 300
     bins = Counter(r["bin"] for r in pieces if r["doc_id"] is None)
     assert max(bins.values()) == 1
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    names = ["_size", "_source", "_fixed", "_extras", "_bucket", "_rank", "n", "weight", "_splits", "_copy", "_row", "row"]
+    docs = spark.createDataFrame([(i, f"s{i % 3}", i % 7) for i in range(60)], "doc_id long, source string, size long")
+    plain = mixing.mix(docs).select("doc_id", "copies").collect()
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} "), "doc_id"))
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [*docs.columns, *mixing.ADDED]
+    found = mixed.collect()
+    assert sorted((r["doc_id"], r["copies"]) for r in found) == sorted(map(tuple, plain))
+    assert all(r[name] == f"{name} {r['doc_id']}" for r in found for name in names)
+    assert set(names) <= set(mixing.repeat_copies(mixed).columns)

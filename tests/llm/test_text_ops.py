@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import json
+import random
 import re
 import struct
+import time
 from collections import Counter
 
 import numpy as np
@@ -282,6 +284,37 @@ def test_redaction(spark):
     out = {r["doc_id"]: r for r in secrets.redact(secrets.scan(docs)).collect()}
     assert out[1]["text"] == 'a [secret]" b' and out[1]["n_chars"] == 13
     assert out[2]["text"] is None and out[3]["text"] == "clean" and out[4]["n_chars"] == 0
+    named = docs.withColumn("_text", F.lit("t")).withColumn("spans", F.lit("s")).withColumn("text", F.concat(F.lit("é "), "text"))
+    found = {r["doc_id"]: r for r in secrets.redact(named).collect()}
+    assert found[1]["text"] == 'é a [secret]" b' and found[1]["n_chars"] == 15 and found[3]["n_chars"] == 5
+    assert all(r["_text"] == "t" and r["spans"] == "s" for r in found.values())
+    assert secrets.redact(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bit", [b"AAAAB3NzaC1yc2EAAAAD", "é token=abcdef ".encode(), b"00000007737368", b"AAAAC3NzaC1lZDI1NTE5AAAA", b"b3BlbnNzaC1rZXktdjEA"])
+def test_secret_scan_takes_linear_time(bit):
+    def seconds(size):
+        begun = time.perf_counter()
+        secrets.find_secrets(bit * (size // len(bit)))
+        return time.perf_counter() - begun
+
+    seconds(1_000)
+    assert seconds(200_000) < 20 * max(seconds(20_000), 0.02)
+
+
+def test_many_languages_have_a_defined_result(spark, monkeypatch):
+    rng = random.Random(1)
+    words = {f"l{k:04d}": ["".join(rng.choices("abcdefghij", k=5)) for _ in range(6)] for k in range(1200)}
+    rows = [(i, " ".join(rng.choices(own, k=30)), lang) for i, (lang, own) in enumerate(words.items())]
+    rows += [(5000 + i, "common words of one language", "l1199") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.learn(docs)
+    assert len(model.languages) == lang_id.MAX_LANGUAGES and "l1199" in model.languages and "l0000" in model.languages
+    assert lang_id.predict(docs.select("doc_id", "text"), model).count() == len(rows)
+    judged = quality.quality_rules(docs, quality.Rules(max_languages=10, reference_words=10))
+    assert judged.count() == len(rows)
+    found = quality.references(docs, quality.Rules(max_languages=10, reference_words=10))
+    assert len(found) == 10 and "l1199" in found
 
 
 def test_scan_of_odd_rows(odd):
