@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postpulse.llm import mixing, near_dup, packing, quality, secrets
-from postpulse.llm.words import word_count
+from postpulse.llm.words import shielded, word_count
 from postpulse.session import stage
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality.quality_rules(docs).filter("kept").select(*docs.columns)
+    return shielded(docs, quality.ADDED, lambda rows: quality.quality_rules(rows).filter("kept"))
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,13 +28,16 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts redacted."""
-    return secrets.redact(secrets.scan(docs)).select(*docs.columns)
+    return secrets.redact(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for."""
-    sized = docs.withColumn("size", word_count(F.col("text")))
-    return mixing.repeat_copies(mixing.mix(sized)).select(*docs.columns)
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        return mixing.repeat_copies(mixing.mix(rows.withColumn("size", word_count(F.col("text")))))
+
+    return shielded(docs, ("size", *mixing.ADDED), mixed)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
