@@ -151,6 +151,15 @@ def _users(order: str) -> str:
 
 
 FIRST = "{'t': ts, 'i': id}"
+# The first record of each handle, met by the first post of each window.
+RUNNING = (
+    f"SELECT w.window_start, f.timestamp, f.account_name, f.screen_name, f.followers, f.img_url FROM "
+    f"(SELECT {_bucket('1 day')} AS window_start, arg_min(screen_name, {FIRST}) AS handle "
+    f"FROM posts GROUP BY {_bucket('1 day')}) w JOIN "
+    f"(SELECT screen_name, arg_min(ms, {FIRST}) AS timestamp, arg_min(account_name, {FIRST}) AS account_name, "
+    f"arg_min(followers, {FIRST}) AS followers, arg_min(img_url, {FIRST}) AS img_url "
+    f"FROM posts GROUP BY screen_name) f ON f.screen_name = w.handle"
+)
 TOP = "{'f': -followers, 's': screen_name, 't': ts, 'i': id}"
 
 AVG_RETWEETS = (
@@ -231,6 +240,16 @@ LIMITS = (
     "FROM events WHERE event_type = 'error'"
 )
 
+# Views have a date in another form, clicks are cut off; the rest is no post.
+LOSSES = """
+WITH e AS (SELECT event_type AS kind FROM events), n AS (
+  SELECT (SELECT count(*) FROM documents) AS posts, count(*) AS events,
+         count(*) FILTER (kind = 'error') AS limits, count(*) FILTER (kind = 'click') AS broken,
+         count(*) FILTER (kind = 'view') AS no_date FROM e)
+SELECT unnest(['lines', 'posts', 'limits', 'broken', 'no_user', 'no_date', 'others']) AS fate,
+       unnest([posts + events, posts, limits, broken, 0, no_date, events - limits - broken - no_date]) AS cnt
+FROM n"""
+
 FILTERED = r"""
 SELECT id, lang, topic FROM (
   SELECT *, list_concat(string_split_regex(lower(text || ' https://x.example/' || source), '\W+'),
@@ -311,6 +330,7 @@ def oracle_sql() -> dict[str, str]:
         "win_sentiment_count": feelings + _counts("labels_of", "sentiment, topic", 0, "1 hour"),
         "win_popular_first": posts + _users(FIRST),
         "win_popular_top": posts + _users(TOP),
+        "win_popular_running": posts + RUNNING,
         "win_topic_count_60s": posts + _counts("posts", "topic", 0, "60 seconds"),
         "word_topn": words + _top("words", "word", 7, "word, topic"),
         "hashtag_topn": tags + _top("tags", "hashtag", 10, "hashtag, topic"),
@@ -378,6 +398,8 @@ def oracle_sql() -> dict[str, str]:
         r"regexp_replace(text, '[^\x00-\x7F]', '', 'g') AS ascii, "
         "CAST(length(text) AS INTEGER) AS units FROM documents",
         "limit_notices": LIMITS,
+        "loss_counts": LOSSES,
+        "stream_loss_counts": LOSSES,
         "parse_roundtrip": docs + ROUNDTRIP,
         "source_filter": docs + FILTERED,
         "json_documents": tags
@@ -445,7 +467,7 @@ def oracle_sql() -> dict[str, str]:
     )
     # A stream that has ended gives the rows of the batch query.
     streams = "topic_count avg_length retweets_followers hashtag_count word_count source_count "
-    for name in (streams + "sentiment_count popular_first popular_top").split():
+    for name in (streams + "sentiment_count popular_first popular_top popular_running").split():
         sql[f"stream_{name}"] = sql[f"win_{name}"]
     for name in "avg_retweets avg_length total_count source hashtag word".split():
         sql[f"stream_cmp_{name}"] = sql[f"cmp_{name}"]

@@ -13,9 +13,11 @@ from postpulse.functions.topics import route_topics
 from postpulse.operators import compare, metrics, predict, topn
 from postpulse.session import scratch_path, stage
 from postpulse.sources import baselines, raw, tables
+from postpulse.sources.posts import store_posts
 from postpulse.streaming.documents import documents
+from postpulse.streaming.losses import as_rows, watching
 from postpulse.streaming.sinks import save_lines, start_documents, write_csv
-from postpulse.streaming.stateful import stream_line, stream_smoothed
+from postpulse.streaming.stateful import stream_line, stream_popular_user, stream_smoothed
 from postpulse.streaming.windows import (
     complete,
     end,
@@ -161,6 +163,27 @@ def limit_notices(spark: SparkSession, sf: str) -> DataFrame:
     return raw.parse_limits(tables.raw_lines(spark, sf))
 
 
+def loss_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What becomes of the raw lines, counted by the pass that parses them."""
+    counts = raw.LineCounts()
+    posts = raw.parse_posts(tables.raw_lines(spark, sf), tables.TABLE_TOPICS, counts=counts)
+    posts.write.format("noop").mode("overwrite").save()
+    return as_rows(spark, counts.get())
+
+
+def stream_loss_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same of a stream, summed over its micro-batches."""
+    lines = tables.document_lines(tables.stream_table(spark, sf, "documents")).unionByName(
+        tables.event_lines(tables.stream_table(spark, sf, "events"))
+    )
+    path = scratch_path(spark, "counted")
+    with watching(spark, raw.LineCounts("counted")) as log:
+        posts = raw.parse_posts(lines, tables.TABLE_TOPICS, counts=log.counts)
+        query = store_posts(posts, path, f"{path}-checkpoint")
+        query.awaitTermination()
+        return as_rows(spark, log.after(query))
+
+
 def parse_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _parsed(raw.parse_posts(tables.raw_lines(spark, sf), tables.TABLE_TOPICS))
 
@@ -325,6 +348,7 @@ QUERIES: dict[str, Query] = {
     "win_sentiment_count": _texts(metrics.sentiment_count, LEXICON, HOUR),
     "win_popular_first": _posts(metrics.popular_user, DAY, "first"),
     "win_popular_top": _posts(metrics.popular_user, DAY, "followers"),
+    "win_popular_running": _posts(metrics.popular_user_running, DAY),
     "word_topn": _texts(topn.top_words),
     "hashtag_topn": _posts(topn.top_hashtags),
     "source_topn": _posts(topn.top_sources),
@@ -347,6 +371,8 @@ QUERIES: dict[str, Query] = {
     "source_anchor": source_anchor,
     "text_clean": text_clean,
     "limit_notices": limit_notices,
+    "loss_counts": loss_counts,
+    "stream_loss_counts": stream_loss_counts,
     "parse_roundtrip": parse_roundtrip,
     "source_filter": source_filter,
     "json_documents": json_documents,
@@ -375,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "stream_popular_top": _stream(
         "stream_popular_top", _streamed, metrics.popular_user, DAY, "followers"
     ),
+    "stream_popular_running": _stream("stream_popular_running", _streamed, stream_popular_user, DAY),
     "stream_arrival_totals": stream_arrival_totals,
     "stream_parse_roundtrip": stream_parse_roundtrip,
     "stream_documents": stream_documents,

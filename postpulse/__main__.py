@@ -5,14 +5,17 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from .operators.metrics import WINDOW
 from .operators.sentiment import read_lexicon
 from .plans import batch, collect, compare, live, predict
 from .session import build_session, shared_dir
 from .sources.posts import read_posts, store_posts, stream_posts, wait_for_folder
-from .sources.raw import parse_posts, select_posts, stream_lines, stream_topic_lines
-from .streaming.windows import end, open_ending
+from .sources.raw import LineCounts, parse_posts, select_posts, stream_lines, stream_topic_lines
+from .streaming.losses import LossLog, as_rows, store_limits, watching
+from .streaming.sinks import write_csv
+from .streaming.windows import end, open_ending, wait_for
 
 POSTS, KAFKA = "posts:", "kafka://"
 
@@ -60,6 +63,9 @@ def _arguments() -> argparse.Namespace:
     command = job("live", "windowed metrics as index documents")
     windowed(command)
     command.add_argument("--lexicon", required=True)
+    command.add_argument(
+        "--remember", help='popular users with their first record ever, kept for so long: "30 days"'
+    )
     command = job("compare", "windowed metrics against batch results")
     windowed(command)
     command.add_argument("--baselines", required=True, help="output folder of the batch job")
@@ -94,24 +100,38 @@ def _batch(spark: SparkSession, given: argparse.Namespace) -> None:
         )
 
 
-def _posts(spark: SparkSession, given: argparse.Namespace, checkpoint: str) -> DataFrame:
-    """A stream of typed posts. Raw lines are decoded once, into a store that
-    all queries of the job read from."""
+def _store(
+    spark: SparkSession, given: argparse.Namespace, folder: str, aside: str, checkpoint: str, log: LossLog
+) -> list[StreamingQuery]:
+    """Stores the posts of raw lines in ``folder`` and their limit notices
+    aside. A run that drains its input also writes what became of its lines."""
+    lines = _lines(spark, given.input, given.max_files)
+    storing = store_posts(parse_posts(lines, counts=log.counts), folder, checkpoint, given.trigger)
+    limits = store_limits(lines, f"{aside}/limits", f"{checkpoint}-limits", given.trigger)
+    if given.trigger is None:
+        wait_for([storing, limits])
+        write_csv(as_rows(spark, log.after(storing)), f"{aside}/losses.csv", one_file=True)
+    return [storing, limits]
+
+
+def _posts(
+    spark: SparkSession, given: argparse.Namespace, checkpoint: str, log: LossLog
+) -> tuple[DataFrame, list[StreamingQuery]]:
+    """A stream of typed posts, and the queries that feed it. Raw lines are
+    decoded once, into a store that all queries of the job read from."""
+    feeding: list[StreamingQuery] = []
     if given.input.startswith(POSTS):
         folder = given.input.removeprefix(POSTS)
     else:
         folder = f"{checkpoint}/posts"
-        lines = parse_posts(_lines(spark, given.input, given.max_files))
-        storing = store_posts(lines, folder, f"{checkpoint}/store", given.trigger)
-        if given.trigger is None:
-            storing.awaitTermination()
-        else:
-            wait_for_folder(storing, folder)
-    return _selected(given, stream_posts(spark, folder, given.max_files))
+        feeding = _store(spark, given, folder, given.output, f"{checkpoint}/store", log)
+        if given.trigger is not None:
+            wait_for_folder(feeding[0], folder)
+    return _selected(given, stream_posts(spark, folder, given.max_files)), feeding
 
 
-def _run_windowed(spark: SparkSession, given: argparse.Namespace, checkpoint: str) -> None:
-    posts = _posts(spark, given, checkpoint)
+def _run_windowed(spark: SparkSession, given: argparse.Namespace, checkpoint: str, log: LossLog) -> None:
+    posts, feeding = _posts(spark, given, checkpoint, log)
     closing = open_ending(posts, f"{checkpoint}/closing")
     timing = {
         "window": given.window,
@@ -125,16 +145,16 @@ def _run_windowed(spark: SparkSession, given: argparse.Namespace, checkpoint: st
     def drain() -> None:
         if given.job == "live":
             queries = live.run(
-                posts, given.output, checkpoint, read_lexicon(spark, given.lexicon), **timing
-            )
+                posts, given.output, checkpoint, read_lexicon(spark, given.lexicon),
+                remember=given.remember, **timing,
+            )
         elif given.job == "compare":
             queries = compare.run(
                 posts, given.baselines, given.baseline_windows, given.output, checkpoint, **timing
             )
         else:
             queries = predict.run(posts, given.baselines, given.output, checkpoint, **timing)
-        for query in queries:
-            query.awaitTermination()
+        wait_for([*feeding, *queries])
 
     drain()
     if given.final:
@@ -149,18 +169,19 @@ def main() -> None:
         _batch(spark, given)
         return
     checkpoint = given.checkpoint or f"{shared_dir(spark)}/{given.job}"
-    if given.job not in ("collect", "store"):
-        if given.final and given.trigger:
-            raise SystemExit("--final is for runs without --trigger")
-        _run_windowed(spark, given, checkpoint)
-        return
-    if given.input.startswith(POSTS):
+    if given.job in ("collect", "store") and given.input.startswith(POSTS):
         raise SystemExit(f"{given.job} reads raw lines, not stored posts")
-    lines = _lines(spark, given.input, given.max_files)
     if given.job == "collect":
+        lines = _lines(spark, given.input, given.max_files)
         collect.run(lines, given.output, checkpoint, given.trigger).awaitTermination()
-    else:
-        store_posts(parse_posts(lines), given.output, checkpoint, given.trigger).awaitTermination()
+        return
+    with watching(spark, LineCounts(given.job)) as log:
+        if given.job == "store":
+            wait_for(_store(spark, given, given.output, f"{given.output}-aside", checkpoint, log))
+            return
+        if given.final and given.trigger:
+            raise SystemExit("--final is for runs without --trigger")
+        _run_windowed(spark, given, checkpoint, log)
 
 
 if __name__ == "__main__":

@@ -293,3 +293,32 @@ def popular_user(posts: DataFrame, window: str = WINDOW, by: str = "first") -> D
         _users(posts), window, [], F.min_by(_user_columns(), order).alias("_user")
     )
     return chosen.select("window_start", "_user.*")
+
+
+USER_COLUMNS = ("timestamp", "account_name", "screen_name", "followers", "img_url")
+
+
+def user_records(posts: DataFrame) -> DataFrame:
+    """(ts, id, user): each post with its user's record as the post has it."""
+    return _users(posts).select(*_times(posts), "id", _user_columns().alias("user"))
+
+
+def first_of_windows(records: DataFrame, window: str = WINDOW) -> DataFrame:
+    """Of (ts, id, user) the user of each window's first post."""
+    chosen = _aggregate(records, window, [], F.min_by("user", F.struct("ts", "id")).alias("_user"))
+    return chosen.select("window_start", "_user.*")
+
+
+def popular_user_running(posts: DataFrame, window: str = WINDOW) -> DataFrame:
+    """The user of each window's first post, with the record that user's handle
+    had when it was first seen in the whole input, of whatever window. (On a
+    stream: ``stream_popular_user``, which keeps these records as state.)
+
+    Both sides are small before they meet: a row per window, a row per handle."""
+    records = user_records(posts)
+    firsts = records.groupBy(F.col("user.screen_name").alias("_handle")).agg(
+        F.min_by("user", F.struct("ts", "id")).alias("_user")
+    )
+    chosen = first_of_windows(records, window).select("window_start", F.col("screen_name").alias("_chosen"))
+    met = chosen.join(firsts, F.col("_chosen").eqNullSafe(F.col("_handle")))
+    return met.select("window_start", "_user.*")

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import metrics
 from ..streaming.documents import LIVE_INDEX
 from ..streaming.sinks import Output, start_documents
+from ..streaming.stateful import stream_popular_user
 from ..streaming.windows import event_time
 
 
@@ -25,9 +26,15 @@ def _output(metric: str, derive=_as_is) -> Output:
 
 
 def windowed(
-    posts: DataFrame, lexicon: dict[str, int], window: str = metrics.WINDOW
+    posts: DataFrame, lexicon: dict[str, int], window: str = metrics.WINDOW, remember: str | None = None
 ) -> dict[str, tuple[DataFrame, list[Output]]]:
-    """Query name to windowed rows and the outputs that follow from them."""
+    """Query name to windowed rows and the outputs that follow from them.
+
+    ``remember``: popular users come with the record they were first seen with,
+    kept for so long after their last post; else with that of the window."""
+    users = (
+        stream_popular_user(posts, window, remember) if remember else metrics.popular_user(posts, window)
+    )
     return {
         "summary": (
             metrics.topic_summary(posts, window),
@@ -43,7 +50,7 @@ def windowed(
         "word": (metrics.word_count(posts, window), [_output("word")]),
         "source": (metrics.source_count(posts, window), [_output("source")]),
         "sentiment": (metrics.sentiment_count(posts, lexicon, window), [_output("sentiment")]),
-        "popular_user": (metrics.popular_user(posts, window), [_output("popular_user")]),
+        "popular_user": (users, [_output("popular_user")]),
     }
 
 
@@ -58,9 +65,10 @@ def run(
     trigger: str | None = None,
     partitions: int | None = None,
     closing: str | None = None,
+    remember: str | None = None,
 ) -> list[StreamingQuery]:
     timed = event_time(posts, delay, time_domain, closing)
     return [
         start_documents(rows, name, output, checkpoint, outputs, trigger, partitions)
-        for name, (rows, outputs) in windowed(timed, lexicon, window).items()
+        for name, (rows, outputs) in windowed(timed, lexicon, window, remember).items()
     ]

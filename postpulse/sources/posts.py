@@ -9,19 +9,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import POST
 
-# Most files that a micro-batch adds to a day.
-FILES_PER_DAY = 32
-
 
 def store_posts(
-    posts: DataFrame, path: str, checkpoint: str, trigger: str | None = None
+    posts: DataFrame, path: str, checkpoint: str, trigger: str | None = None, files_per_day: int | None = None
 ) -> StreamingQuery:
     """Adds a stream's posts to the store, each exactly once. Without a trigger
-    interval the query stops when the source is drained."""
+    interval the query stops when the source is drained.
+
+    A micro-batch adds up to ``files_per_day`` files to a day, each written by
+    one task: by default as many as the session's shuffles have partitions."""
+    if files_per_day is None:
+        files_per_day = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     writer = (
         posts.withColumn("day", F.to_date("ts"))
         # A few files per day and batch instead of one for each task.
-        .repartition("day", F.pmod(F.xxhash64("id"), F.lit(FILES_PER_DAY)))
+        .repartition("day", F.pmod(F.xxhash64("id"), F.lit(files_per_day)))
         .writeStream.queryName("store_posts")
         .format("parquet")
         .partitionBy("day")

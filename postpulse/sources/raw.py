@@ -5,7 +5,7 @@ The same functions serve a bounded folder of lines and an endless stream.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.topics import ELECTION_TOPICS, TopicRules, route_topics
@@ -50,12 +50,73 @@ def parse_limits(lines: DataFrame) -> DataFrame:
     )
 
 
+class LineCounts:
+    """Counts what becomes of raw lines, in the pass that parses them.
+
+    lines: all; posts: whole ones; limits: notices; broken: what begins like a
+    post and can't be decoded; no_user, no_date: posts that lack one, or have
+    it in another form; others: all else. A line is one of the last six.
+
+    Over a bounded input ``get`` tells the counts once an action has run. A
+    stream reports them with each micro-batch's progress (``of``); see
+    ``streaming.losses`` for their sums."""
+
+    FATES = ("lines", "posts", "limits", "broken", "no_user", "no_date", "others")
+
+    def __init__(self, name: str = "lines") -> None:
+        self.name = name
+        self._observed: dict[str, Observation] = {}
+
+    def label(self, part: str) -> str:
+        return f"{self.name}_{part}"
+
+    def _watch(self, rows: DataFrame, part: str, *counts: Column) -> DataFrame:
+        if rows.isStreaming:
+            return rows.observe(self.label(part), *counts)
+        # One pass is observed; a second one would overwrite it.
+        self._observed[part] = Observation(self.label(part))
+        return rows.observe(self._observed[part], *counts)
+
+    def of_lines(self, lines: DataFrame, prefix: str) -> DataFrame:
+        value = F.col("value")
+        notice = value.startswith('{"limit"') & value.rlike(LIMIT_NOTICE)
+        return self._watch(
+            lines, "all", F.count(F.lit(1)).alias("lines"), F.count_if(value.startswith(prefix)).alias("begun"),
+            F.count_if(notice).alias("limits"),
+        )
+
+    def of_decoded(self, decoded: DataFrame, whole: Column, created: Column) -> DataFrame:
+        nothing = F.col("created_at").isNull() & F.col("user").isNull() & F.col("id").isNull()
+        whole, dated = F.coalesce(whole, F.lit(False)), created.isNotNull()
+        return self._watch(
+            decoded, "begun", F.count_if(nothing).alias("broken"), F.count_if(~nothing & ~whole).alias("no_user"),
+            F.count_if(whole & ~dated).alias("no_date"), F.count_if(whole & dated).alias("posts"),
+        )
+
+    def get(self) -> dict[str, int]:
+        return self._named({part: seen.get for part, seen in self._observed.items()})
+
+    def of(self, observed: dict) -> dict[str, int] | None:
+        """The counts of one progress report's ``observedMetrics``."""
+        parts = {part: observed.get(self.label(part)) for part in ("all", "begun")}
+        if None in parts.values():
+            return None
+        return self._named({part: row.asDict() for part, row in parts.items()})
+
+    def _named(self, parts: dict[str, dict]) -> dict[str, int]:
+        found = {name: int(count or 0) for part in parts.values() for name, count in part.items()}
+        found["others"] = found["lines"] - found.pop("begun") - found["limits"]
+        return {fate: found[fate] for fate in self.FATES}
+
+
 def parse_posts(
     lines: DataFrame,
     rules: TopicRules = ELECTION_TOPICS,
     strict_prefix: bool = True,
+    counts: LineCounts | None = None,
 ) -> DataFrame:
-    """Post rows from raw lines; whatever is not a whole post is dropped.
+    """Post rows from raw lines; whatever is not a whole post is dropped, and
+    counted where ``counts`` are given.
 
     A post line must start with its creation date unless ``strict_prefix`` is
     off, in which case any JSON object with a date and a user counts.
@@ -64,15 +125,16 @@ def parse_posts(
     # Generators evaluate the JSON decoder and the date parser once per line:
     # filters on their output stay above instead of being pushed down with a
     # second copy. A line without a date yields no row.
+    lines = counts.of_lines(lines, prefix) if counts else lines
     decoded = lines.filter(F.col("value").startswith(prefix)).select(
         F.inline(F.array(F.from_json("value", RAW_POST)))
     )
     shared = F.col("retweeted_status")
     is_share = shared.isNotNull()
+    whole = F.col("user").isNotNull() & (~is_share | F.col("retweeted_status.user").isNotNull())
     created = F.try_to_timestamp(F.col("created_at").substr(F.lit(5), F.length("created_at")), F.lit(CREATED_AT))
-    dated = decoded.filter(
-        F.col("user").isNotNull() & (~is_share | F.col("retweeted_status.user").isNotNull())
-    ).select("*", F.explode(F.array_compact(F.array(created))).alias("ts"))
+    decoded = counts.of_decoded(decoded, whole, created) if counts else decoded
+    dated = decoded.filter(whole).select("*", F.explode(F.array_compact(F.array(created))).alias("ts"))
     text = F.when(is_share, F.col("retweeted_status.text")).otherwise(F.col("text"))
     routed = route_topics(dated, rules, text, F.col("quoted_status.text"))
     reply_to = F.coalesce(F.col("in_reply_to_status_id"), F.lit(-1))

@@ -41,8 +41,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table as a stream, stored as one file or as a folder of files. (The
     last letter is a glob: only that lets a stream read a single file.)"""
-    if table(spark, sf_dir, name).isEmpty():
-        raise ValueError(f"no rows of {name} under {sf_dir}")
+    table(spark, sf_dir, name)  # fails where there is none; a stream would wait for it
     return spark.readStream.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parque[t]")
 
 

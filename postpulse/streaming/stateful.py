@@ -19,7 +19,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.numeric import INT_MAX, INT_MIN
+from ..operators.metrics import USER_COLUMNS, first_of_windows, user_records
 from ..operators.predict import SUFFIX, line_at
+from .windows import END_OF_TIME
 
 # Number of windows, their followers, re-shares, squares and products.
 SUMS = ("n", "f", "r", "ff", "fr")
@@ -105,6 +107,104 @@ class LineFit(StatefulProcessor):
         pass
 
 
+class FirstRecord(StatefulProcessor):
+    """The record a handle had when it was first seen.
+
+    Gives, for each window of a micro-batch, the handle's earliest post with
+    that record: no other post of the handle can be the window's first one. A
+    handle without a post for ``keep_ms`` of event time is forgotten; the state
+    is one record for each handle of that time, and not of all time."""
+
+    def __init__(self, keep_ms: int, window_ms: int, times: list[str]) -> None:
+        self.keep_ms, self.window_ms, self.times = keep_ms, window_ms, times
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        text = T.StringType()
+        record = {"timestamp": T.LongType(), "account_name": text, "followers": T.LongType(), "img_url": text}
+        fields = [T.StructField(name, kind) for name, kind in record.items()]
+        # until: when the handle is forgotten, and the timer that does it.
+        self.first = handle.getValueState("first", T.StructType([*fields, T.StructField("until", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows), ignore_index=True).sort_values(["ms", "id"], kind="stable")
+        known = tuple(self.first.get()) if self.first.exists() else None
+        if known is None:
+            own = frame.iloc[0]
+            record = (int(own["timestamp"]), _text(own["account_name"]), _whole(own["followers"]), _text(own["img_url"]))
+        else:
+            record = known[:-1]
+            self.handle.deleteTimer(known[-1])
+        until = int(max(frame["clock"].max(), timerValues.getCurrentWatermarkInMs())) + self.keep_ms
+        if known is not None:
+            until = max(until, known[-1])
+        self.first.update((*record, until))
+        self.handle.registerTimer(until)
+        frame = frame[~(frame["clock"] // self.window_ms).duplicated()]
+        n = len(frame)
+        yield pd.DataFrame(
+            {
+                **{name: frame[name] for name in self.times},
+                "id": frame["id"],
+                "timestamp": [record[0]] * n,
+                "account_name": [record[1]] * n,
+                "screen_name": [key[0]] * n,
+                "followers": pd.array([record[2]] * n, dtype="Int64"),
+                "img_url": [record[3]] * n,
+            }
+        )
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.first.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def _text(value) -> str | None:
+    return value if isinstance(value, str) else None
+
+
+def _whole(value) -> int | None:
+    return None if pd.isna(value) else int(value)
+
+
+def stream_popular_user(posts: DataFrame, window: str, keep: str = "30 days") -> DataFrame:
+    """``popular_user_running`` of a stream with a watermark.
+
+    The first record is that of the first micro-batch with the handle, and in
+    it of the earliest post; ``keep`` is how long a handle is remembered after
+    its last post. A chain of two stateful steps: records by handle, then their
+    windows, which the same watermark closes."""
+    keep_ms, window_ms = _milliseconds(keep), _milliseconds(window)
+    records = user_records(posts)
+    times = [name for name in records.columns if name not in ("id", "user")]
+    clock = times[-1]
+    # The closing row moves the watermark, and is beyond what pandas can tell.
+    users = records.filter(F.col(clock) < F.lit(END_OF_TIME)).select(
+        *times, "id", F.unix_millis("ts").alias("ms"), F.unix_millis(clock).alias("clock"), "user.*"
+    )
+    first = users.groupBy("screen_name").transformWithStateInPandas(
+        FirstRecord(keep_ms, window_ms, times),
+        ", ".join(f"{name} TIMESTAMP" for name in times)
+        + ", id BIGINT, timestamp BIGINT, account_name STRING, screen_name STRING, followers BIGINT, img_url STRING",
+        outputMode="append",
+        timeMode="eventTime",
+        eventTimeColumnName=clock,
+    )
+    return first_of_windows(first.select(*times, "id", F.struct(*USER_COLUMNS).alias("user")), window)
+
+
+def _milliseconds(interval: str) -> int:
+    """Of an interval of days or less ("60 seconds", "30 days")."""
+    number, unit = interval.split()
+    return int(number) * _UNITS[unit.lower().rstrip("s")]
+
+
+_UNITS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000, "week": 604_800_000}
+
+
 def stream_smoothed(series: DataFrame, seeds: DataFrame, value: str) -> DataFrame:
     """Predictions for a windowed mean; ``seeds`` is the stored (topic, mean)."""
     seeded = series.join(seeds.select("topic", F.col(value).cast("int").alias("seed")), "topic")

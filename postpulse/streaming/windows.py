@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import ARRIVAL
 from ..session import ROCKSDB_STATE, scratch_path
@@ -67,6 +68,24 @@ def complete(posts: DataFrame) -> DataFrame:
     return event_time(posts, closing=path)
 
 
+def wait_for(queries: list[StreamingQuery], seconds: float = 1) -> None:
+    """Returns when all queries have ended. When one fails, the others are
+    stopped, and its error is raised."""
+    try:
+        while active := [query for query in queries if query.isActive]:
+            active[0].awaitTermination(seconds)
+            for query in queries:
+                if error := query.exception():
+                    raise error
+        for query in queries:
+            if error := query.exception():
+                raise error
+    except BaseException:
+        for query in queries:
+            query.stop()
+        raise
+
+
 @contextmanager
 def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Settings a stateful query takes over when it starts, and keeps in its

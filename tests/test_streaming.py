@@ -13,9 +13,10 @@ from postpulse.schema import POST
 from postpulse.sources import raw, tables
 from postpulse.sources.posts import read_posts, store_posts, stream_posts
 from postpulse.streaming.documents import documents
+from postpulse.streaming.losses import store_limits, watching
 from postpulse.streaming.sinks import save_lines, write_documents
-from postpulse.streaming.stateful import stream_line, stream_smoothed
-from postpulse.streaming.windows import complete, end, event_time, open_ending, run_to_table
+from postpulse.streaming.stateful import stream_line, stream_popular_user, stream_smoothed
+from postpulse.streaming.windows import complete, end, event_time, open_ending, run_to_table, wait_for
 
 LEXICON = {"good": 1, "bad": -1}
 LAST = 600  # posts of an otherwise empty topic, closing every window before them
@@ -365,6 +366,8 @@ def test_command_line(spark, stored, monkeypatch):
     call("batch", "--input", source, "--output", f"{out}/batch", *lexicon)
     call("collect", "--input", source, "--output", f"{out}/lines", "--checkpoint", f"{out}/c1")
     call("store", "--input", f"{out}/lines", "--output", f"{out}/posts", "--checkpoint", f"{out}/c2")
+    losses = {row.value for row in spark.read.text(f"{out}/posts-aside/losses.csv").collect()}
+    assert f"posts;{spark.read.parquet(f'{out}/posts').count()}" in losses
     timing = ["--delay", "0 seconds", "--state-partitions", "2", "--terms", "joe,plain warren"]
     call("compare", "--input", f"posts:{out}/posts", "--output", f"{out}/compared", "--checkpoint",
          f"{out}/c3", "--baselines", f"{out}/batch", "--baseline-windows", "3", *timing)
@@ -383,6 +386,14 @@ def test_command_line(spark, stored, monkeypatch):
          "--max-files", "1", "--delay", "0 seconds", *lexicon)
     total = sum(json.loads(r.value)["cnt"] for r in spark.read.text(f"{out}/live/tweetcount-idx").collect())
     assert total == spark.read.parquet(f"{out}/c4/posts").count()
+    limits = raw.parse_limits(raw.read_lines(spark, source))
+    assert rows_of(spark.read.parquet(f"{out}/live/limits"), "*") == rows_of(limits, "*")
+    assert "lines;" in "".join(row.value for row in spark.read.text(f"{out}/live/losses.csv").collect())
+    call("live", "--input", source, "--output", f"{out}/live2", "--checkpoint", f"{out}/c6", "--final",
+         "--remember", "1 day", "--delay", "0 seconds", *lexicon)
+    posts = parse_posts_of(spark, source)
+    expected = documents(metrics.popular_user_running(posts, "60 seconds"), "popular_user")
+    assert rows_of(spark.read.text(f"{out}/live2/popularuser-idx").select("value"), "*") == rows_of(expected, "*")
     call("compare", "--input", f"posts:{out}/posts", "--output", f"{out}/compared2", "--checkpoint",
          f"{out}/c5", "--baselines", f"{out}/batch", "--final", *timing)
     for job, given in (("batch", "kafka://h:1/t"), ("collect", "posts:x"), ("store", "posts:x")):
@@ -390,6 +401,10 @@ def test_command_line(spark, stored, monkeypatch):
             call(job, "--input", given, "--output", out, *(lexicon if job == "batch" else []))
 
 
+def parse_posts_of(spark, source):
+    return raw.parse_posts(raw.read_lines(spark, source))
+
+
 def live_lines(spark, stored):
     return raw.parse_posts(raw.stream_lines(spark, str(stored / "live"), 1), ELECTION_TOPICS)
 
@@ -457,3 +472,112 @@ def test_predict_job(spark, stored):
     for index in ("predavgretweetscount-idx", "predretweetsfollowers-idx"):
         assert index_rows(spark, out / index)
     assert ms(0) == 1704067200000
+
+
+def by_hand(rows, width=60):
+    """Of each window's first post the record its user was first seen with."""
+    firsts, windows = {}, {}
+    for i, row in enumerate(rows):
+        prefix = "retweet_" if row.get("retweet") else ""
+        user = (row.get(f"{prefix}screen_name", "a" if not prefix else ""), row.get(f"{prefix}followers", 0))
+        at_ = (row["ts"], i)
+        firsts.setdefault(user[0], (at_, user[1]))
+        firsts[user[0]] = min(firsts[user[0]], (at_, user[1]))
+        start = int((row["ts"] - at(0)).total_seconds() // width)
+        windows[start] = min(windows.get(start, (at_, user[0])), (at_, user[0]))
+    return sorted((start, handle, firsts[handle][1]) for start, (_, handle) in windows.items())
+
+
+def _running(df):
+    start = (F.unix_seconds("window_start") - F.lit(int(ms(0) / 1000))) / 60
+    return rows_of(df, start.cast("int").alias("w"), "screen_name", "followers")
+
+
+def test_running_first_record_over_several_batches(spark, tmp_path):
+    """The record is that of a handle's first post in any window, also when
+    that came in an earlier micro-batch, and after a restart."""
+    rows = some_posts(300, seed=5)[:-2]
+    feed(spark, rows, tmp_path / "in", files=4)
+    expected = by_hand(rows)
+    assert _running(metrics.popular_user_running(make_posts(spark, rows), "60 seconds")) == expected
+    assert len({w for w, _, _ in expected}) == 10
+
+    posts = stream(spark, tmp_path / "in", 1)
+    closing = open_ending(posts, str(tmp_path / "closing"))
+    args = ("running", str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    timed = event_time(posts, closing=closing)
+    found = run_to_table(stream_popular_user(timed, "60 seconds"), *args)
+    assert _running(found) == expected[: found.count()] and 0 < found.count() < 10
+    end(spark, closing, posts.schema)
+    assert _running(run_to_table(stream_popular_user(timed, "60 seconds"), *args)) == expected
+
+
+def test_handles_are_forgotten(spark, tmp_path):
+    """A handle that stays away longer than it is kept is new again; one that
+    keeps posting isn't."""
+    def post(seconds, handle, followers):
+        return {"ts": at(seconds), "screen_name": handle, "followers": followers}
+
+    for i, part in enumerate(
+        ([post(0, "u", 1), post(5, "v", 10)], [post(100, "v", 11)], [post(190, "v", 12)], [post(400, "w", 5)],
+         [post(500, "u", 2)], [post(560, "v", 13)])
+    ):
+        rows = make_posts(spark, part).withColumn("id", F.col("id") + 10 * i)
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    timed = event_time(stream(spark, tmp_path / "in", 1))
+    found = run_to_table(stream_popular_user(timed, "60 seconds", keep="100 seconds"), "kept", str(tmp_path / "out"))
+    assert _running(found) == [(0, "u", 1), (1, "v", 10), (3, "v", 10), (6, "w", 5), (8, "u", 2)]
+
+
+LOST = [
+    '{"limit":{"track":12,"timestamp_ms":"1572203359000"}}', '{"limit":{"track":1}}', "", "{}", '{"created_at":"Sun Oct 27',
+    '{"created_at":"yesterday","id":5,"user":{"id":1}}', '{"created_at":"Sun Oct 27 19:09:19 +0000 2019","id":1}',
+    '{"id":1,"created_at":"Sun Oct 27 19:09:19 +0000 2019","user":{"id":1}}',
+]
+
+
+def test_lost_lines_are_counted(spark, tmp_path):
+    """In one pass, over a bounded input and over micro-batches."""
+    (tmp_path / "in").mkdir()
+    shared = raw_line(2, retweeted_status={"id": 2, "text": "x"})  # of a post without a user
+    for i in range(3):
+        (tmp_path / "in" / f"{i}.txt").write_text("\n".join([*LOST, raw_line(i), shared]) + "\n")
+    expected = {"lines": 10, "posts": 1, "limits": 1, "broken": 1, "no_user": 2, "no_date": 1, "others": 4}
+    expected = {fate: 3 * count for fate, count in expected.items()}
+    counts = raw.LineCounts()
+    posts = raw.parse_posts(raw.read_lines(spark, str(tmp_path / "in")), counts=counts)
+    assert posts.count() == 3 and counts.get() == expected
+
+    def drained():
+        with watching(spark, raw.LineCounts("some")) as log:
+            lines = raw.stream_lines(spark, str(tmp_path / "in"), 1)
+            query = store_posts(raw.parse_posts(lines, counts=log.counts), str(tmp_path / "out"), str(tmp_path / "cp"), files_per_day=2)
+            limits = store_limits(lines, str(tmp_path / "limits"), str(tmp_path / "cp-limits"))
+            wait_for([query, limits])
+            assert query.lastProgress["batchId"] >= 2
+            return log.after(query)
+
+    assert drained() == expected
+    (tmp_path / "in" / "4.txt").write_text("\n".join(LOST))
+    again = drained()
+    assert again["lines"] == 8 and again["limits"] == 1 and again["posts"] == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    assert rows_of(spark.read.parquet(str(tmp_path / "limits")), "*") == [(12, 1572203359000)] * 4
+
+
+def test_a_failing_query_stops_the_others(spark, tmp_path):
+    feed(spark, some_posts(20), tmp_path / "in")
+
+    def fail(batch, number):
+        raise ValueError("broken sink")
+
+    def start(name, write, trigger):
+        writer = stream(spark, tmp_path / "in").writeStream.queryName(name).foreachBatch(write)
+        return writer.option("checkpointLocation", str(tmp_path / name)).trigger(**trigger).start()
+
+    endless = start("endless", lambda batch, number: None, {"processingTime": "1 second"})
+    failing = start("failing", fail, {"processingTime": "1 second"})
+    with pytest.raises(Exception, match="broken sink"):
+        wait_for([endless, failing])
+    assert not endless.isActive and not failing.isActive
+    wait_for([start("drained", lambda batch, number: None, {"availableNow": True})])
