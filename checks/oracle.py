@@ -460,6 +460,23 @@ def oracle_sql() -> dict[str, str]:
             [("cnt", "cnt", False), ("trackterm", "topic", True), ("timestamp", "timestamp", False)],
         ),
     }
+    tag_days = _counts("tags", "hashtag, topic", 1, "1 day")
+    total_json = _json(
+        total_days,
+        [("cnt", "cnt", False), ("tweetType", "tweet_type", True), ("timestamp", "timestamp", False),
+         ("trackterm", "topic", True)],
+    )
+    tag_json = _json(
+        tag_days,
+        [("cnt", "cnt", False), ("hashtag", "hashtag", True), ("timestamp", "timestamp", False),
+         ("trackterm", "topic", True)],
+    )
+    indexed = [("tweetcount-idx", total_json), ("hashtagcount-idx", tag_json)]
+    sql["stream_index"] = tags + " UNION ALL ".join(
+        f"SELECT '{index}' AS \"index\", value FROM ({made}) UNION ALL "
+        f"SELECT '{index}' AS \"index\", CAST(count(*) AS VARCHAR) AS value FROM ({made}) HAVING count(*) > 0"
+        for index, made in indexed
+    )
     sql["json_retweets_followers"] = _json(
         sql["retweets_followers"],
         [("cnt", "cnt", False), ("followers", "followers", False), ("timestamp", "timestamp", False),

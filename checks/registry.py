@@ -15,6 +15,7 @@ from postpulse.session import scratch_path, stage
 from postpulse.sources import baselines, raw, tables
 from postpulse.sources.posts import store_posts
 from postpulse.streaming.documents import documents
+from postpulse.streaming.index import index_rows, read_index, start_index
 from postpulse.streaming.losses import as_rows, watching
 from postpulse.streaming.sinks import save_lines, start_documents, write_csv
 from postpulse.streaming.stateful import stream_line, stream_popular_user, stream_smoothed
@@ -270,6 +271,21 @@ def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
     return both[0].unionAll(both[1])
 
 
+def stream_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of two streams in one index store, each id once."""
+    path = scratch_path(spark, "index")
+    streams = [
+        ("total_count", "tweetcount-idx", metrics.total_count),
+        ("hashtag", "hashtagcount-idx", metrics.hashtag_count),
+    ]
+    for metric, index, operator in streams:
+        rows = index_rows(operator(_streamed(spark, sf), DAY), metric, index)
+        start_index(rows, f"index_{metric}", path, f"{path}-checkpoint").awaitTermination()
+    found = read_index(spark, path)
+    ids = F.count_distinct("id").alias("ids")
+    return found.select("index", "value").unionAll(found.groupBy("index").agg(ids.cast("string").alias("value")))
+
+
 def stream_limit_notices(spark: SparkSession, sf: str) -> DataFrame:
     """Lines collected from a stream, then read back and parsed."""
     path = scratch_path(spark, "lines")
@@ -405,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "stream_arrival_totals": stream_arrival_totals,
     "stream_parse_roundtrip": stream_parse_roundtrip,
     "stream_documents": stream_documents,
+    "stream_index": stream_index,
     "stream_limit_notices": stream_limit_notices,
     "stream_cmp_avg_retweets": _stream_cmp(
         "avg_retweets", metrics.avg_retweets, lambda live: metrics.avg_retweets(live, DAY)

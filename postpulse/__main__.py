@@ -66,6 +66,7 @@ def _arguments() -> argparse.Namespace:
     command.add_argument(
         "--remember", help='popular users with their first record ever, kept for so long: "30 days"'
     )
+    command.add_argument("--bulks", action="store_true", help="documents with ids, sent in bulks to an index store")
     command = job("compare", "windowed metrics against batch results")
     windowed(command)
     command.add_argument("--baselines", required=True, help="output folder of the batch job")
@@ -146,7 +147,7 @@ def _run_windowed(spark: SparkSession, given: argparse.Namespace, checkpoint: st
         if given.job == "live":
             queries = live.run(
                 posts, given.output, checkpoint, read_lexicon(spark, given.lexicon),
-                remember=given.remember, **timing,
+                remember=given.remember, bulks=given.bulks, **timing,
             )
         elif given.job == "compare":
             queries = compare.run(

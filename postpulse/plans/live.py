@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import metrics
 from ..streaming.documents import LIVE_INDEX
+from ..streaming.index import write_bulks
 from ..streaming.sinks import Output, start_documents
 from ..streaming.stateful import stream_popular_user
 from ..streaming.windows import event_time
@@ -66,9 +67,15 @@ def run(
     partitions: int | None = None,
     closing: str | None = None,
     remember: str | None = None,
+    bulks: bool = False,
 ) -> list[StreamingQuery]:
+    """``bulks`` sends the documents in bulks, with ids, to an index store under
+    ``output`` (``streaming.index``) instead of to a folder per index."""
     timed = event_time(posts, delay, time_domain, closing)
     return [
-        start_documents(rows, name, output, checkpoint, outputs, trigger, partitions)
+        start_documents(
+            rows, name, output, checkpoint, outputs, trigger, partitions,
+            write_bulks(output, name, outputs) if bulks else None,
+        )
         for name, (rows, outputs) in windowed(timed, lexicon, window, remember).items()
     ]

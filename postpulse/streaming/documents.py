@@ -75,9 +75,9 @@ PREDICT_INDEX = {
 }
 
 
-def documents(rows: DataFrame, metric: str) -> DataFrame:
-    """One JSON document per row, in a ``value`` column. Texts lose their
-    non-ASCII characters, except in user documents."""
+def documents(rows: DataFrame, metric: str, *beside: Column) -> DataFrame:
+    """One JSON document per row, in a ``value`` column, with other columns
+    beside it. Texts lose their non-ASCII characters, except in user documents."""
     types = dict(rows.dtypes)
 
     def field(name: str, column: str) -> Column:
@@ -88,4 +88,4 @@ def documents(rows: DataFrame, metric: str) -> DataFrame:
             value = ascii_only(value)
         return value.alias(name)
 
-    return rows.select(F.to_json(F.struct(*[field(*pair) for pair in FIELDS[metric]])).alias("value"))
+    return rows.select(*beside, F.to_json(F.struct(*[field(*pair) for pair in FIELDS[metric]])).alias("value"))

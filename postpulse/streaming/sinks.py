@@ -76,12 +76,13 @@ def start_documents(
     outputs: list[Output],
     trigger: str | None = None,
     partitions: int | None = None,
+    write: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     writer = (
         rows.writeStream.queryName(name)
         .outputMode("append")
         .option("checkpointLocation", f"{checkpoint}/{name}")
-        .foreachBatch(write_documents(root, outputs))
+        .foreachBatch(write or write_documents(root, outputs))
     )
     with state_settings(rows.sparkSession, partitions):
         return _start(writer, trigger)
