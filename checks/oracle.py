@@ -491,4 +491,5 @@ def oracle_sql() -> dict[str, str]:
     for name in "avg_retweets avg_length retweets_followers".split():
         sql[f"stream_pred_{name}"] = sql[f"pred_{name}"]
     sql["stream_parse_roundtrip"] = sql["parse_roundtrip"]
+    sql["stream_source_lines"] = sql["parse_roundtrip"]
     return sql

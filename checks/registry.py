@@ -13,6 +13,7 @@ from postpulse.functions.topics import route_topics
 from postpulse.operators import compare, metrics, predict, topn
 from postpulse.session import scratch_path, stage
 from postpulse.sources import baselines, raw, tables
+from postpulse.sources.lines import stream_folder
 from postpulse.sources.posts import store_posts
 from postpulse.streaming.documents import documents
 from postpulse.streaming.index import index_rows, read_index, start_index
@@ -256,6 +257,20 @@ def stream_parse_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _parsed(run_to_table(posts, "stream_parse_roundtrip"))
 
 
+def stream_source_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw lines of a folder, read in steps by a query that ends and starts
+    again after each of them."""
+    path = scratch_path(spark, "folder")
+    tables.raw_lines(spark, sf).repartition(6).write.text(path)
+    lines = stream_folder(spark, path, f"{path}-order", batchFiles=2, splitBytes=1 << 20)
+    posts = _parsed(raw.parse_posts(lines, tables.TABLE_TOPICS))
+    label = "stream_source_lines"
+    held = -1
+    while held != (found := run_to_table(posts, label, f"{path}-posts")).count():
+        held = found.count()
+    return found
+
+
 def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents of two indexes that one windowed summary fills."""
     path = scratch_path(spark, "documents")
@@ -420,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "stream_popular_running": _stream("stream_popular_running", _streamed, stream_popular_user, DAY),
     "stream_arrival_totals": stream_arrival_totals,
     "stream_parse_roundtrip": stream_parse_roundtrip,
+    "stream_source_lines": stream_source_lines,
     "stream_documents": stream_documents,
     "stream_index": stream_index,
     "stream_limit_notices": stream_limit_notices,
