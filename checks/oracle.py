@@ -181,6 +181,13 @@ def _top(source: str, item: str, n: int, columns: str) -> str:
     )
 
 
+def _win_top(source: str, item: str, n: int) -> str:
+    return (
+        f"SELECT * FROM ({_counts(source, f'{item}, topic', 0, '1 day')}) "
+        f"QUALIFY row_number() OVER (PARTITION BY window_start, topic ORDER BY cnt DESC, {item}) <= {n}"
+    )
+
+
 def _before(sql: str, split: str, table: str) -> str:
     return sql.replace(f"FROM {table}", f"FROM (SELECT * FROM {table} WHERE ts < {split})")
 
@@ -335,6 +342,9 @@ def oracle_sql() -> dict[str, str]:
         "word_topn": words + _top("words", "word", 7, "word, topic"),
         "hashtag_topn": tags + _top("tags", "hashtag", 10, "hashtag, topic"),
         "source_topn": apps + top_sources,
+        "win_word_topn": words + _win_top("words", "word", 7),
+        "win_hashtag_topn": tags + _win_top("tags", "hashtag", 3),
+        "win_source_topn": apps + _win_top("apps", "source", 6),
         "total_topn": posts + _top("posts", "tweet_type", 2, "timestamp, topic, tweet_type, cnt"),
         "turn_total_count": _with(TURNS) + _counts("docs", "topic, tweet_type"),
         "turn_win_avg_length": _with(TURNS) + _win_length("1 day", DAY_MS),
@@ -484,12 +494,13 @@ def oracle_sql() -> dict[str, str]:
     )
     # A stream that has ended gives the rows of the batch query.
     streams = "topic_count avg_length retweets_followers hashtag_count word_count source_count "
-    for name in (streams + "sentiment_count popular_first popular_top popular_running").split():
+    for name in (streams + "sentiment_count popular_first popular_top popular_running word_topn hashtag_topn source_topn").split():
         sql[f"stream_{name}"] = sql[f"win_{name}"]
     for name in "avg_retweets avg_length total_count source hashtag word".split():
         sql[f"stream_cmp_{name}"] = sql[f"cmp_{name}"]
     for name in "avg_retweets avg_length retweets_followers".split():
         sql[f"stream_pred_{name}"] = sql[f"pred_{name}"]
     sql["stream_parse_roundtrip"] = sql["parse_roundtrip"]
+    sql["stream_sentiment_lexicon_table"] = sql["win_sentiment_count"]
     sql["stream_source_lines"] = sql["parse_roundtrip"]
     return sql

@@ -19,7 +19,12 @@ from postpulse.streaming.documents import documents
 from postpulse.streaming.index import index_rows, read_index, start_index
 from postpulse.streaming.losses import as_rows, watching
 from postpulse.streaming.sinks import save_lines, start_documents, write_csv
-from postpulse.streaming.stateful import stream_line, stream_popular_user, stream_smoothed
+from postpulse.streaming.stateful import (
+    stream_line,
+    stream_popular_user,
+    stream_smoothed,
+    stream_top_of_windows,
+)
 from postpulse.streaming.windows import (
     complete,
     end,
@@ -140,6 +145,13 @@ def sentiment_lexicon_table(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.sentiment_count(tables.document_posts(spark, sf), lexicon)
 
 
+def stream_sentiment_lexicon_table(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = [F.lit(item) for pair in LEXICON.items() for item in pair]
+    lexicon = spark.range(1).select(F.explode(F.create_map(*pairs)).alias("word", "weight"))
+    rows = metrics.sentiment_count(_streamed_texts(spark, sf), lexicon, HOUR)
+    return _plain(run_to_table(rows, "stream_sentiment_lexicon_table"))
+
+
 def topic_route(spark: SparkSession, sf: str) -> DataFrame:
     rows = tables.table(spark, sf, "documents")
     return route_topics(rows, tables.TABLE_TOPICS, F.col("text")).select("doc_id", "topic")
@@ -383,6 +395,9 @@ QUERIES: dict[str, Query] = {
     "word_topn": _texts(topn.top_words),
     "hashtag_topn": _posts(topn.top_hashtags),
     "source_topn": _posts(topn.top_sources),
+    "win_word_topn": _texts(topn.top_of_windows, "word", DAY),
+    "win_hashtag_topn": _posts(topn.top_of_windows, "hashtag", DAY, 3),
+    "win_source_topn": _posts(topn.top_of_windows, "source", DAY),
     "total_topn": _posts(lambda posts: topn.top_n(metrics.total_count(posts), "tweet_type", 2)),
     "turn_total_count": _turns(metrics.total_count),
     "turn_win_avg_length": _turns(metrics.avg_length, DAY),
@@ -428,11 +443,15 @@ QUERIES: dict[str, Query] = {
     "stream_sentiment_count": _stream(
         "stream_sentiment_count", _streamed_texts, metrics.sentiment_count, LEXICON, HOUR
     ),
+    "stream_sentiment_lexicon_table": stream_sentiment_lexicon_table,
     "stream_popular_first": _stream("stream_popular_first", _streamed, metrics.popular_user, DAY),
     "stream_popular_top": _stream(
         "stream_popular_top", _streamed, metrics.popular_user, DAY, "followers"
     ),
     "stream_popular_running": _stream("stream_popular_running", _streamed, stream_popular_user, DAY),
+    "stream_word_topn": _stream("stream_word_topn", _streamed_texts, stream_top_of_windows, "word", DAY),
+    "stream_hashtag_topn": _stream("stream_hashtag_topn", _streamed, stream_top_of_windows, "hashtag", DAY, 3),
+    "stream_source_topn": _stream("stream_source_topn", _streamed, stream_top_of_windows, "source", DAY),
     "stream_arrival_totals": stream_arrival_totals,
     "stream_parse_roundtrip": stream_parse_roundtrip,
     "stream_source_lines": stream_source_lines,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import millis, truncated_mean
 from ..functions.text import hashtag, is_counted_word, source_apps, tokens, utf16_length
 from ..schema import ARRIVAL, ORIGINAL, RETWEET
-from .sentiment import sentiment_by_join, with_sentiment
+from .sentiment import MAX_INLINE_WORDS, sentiment_by_join, stream_sentiment_by_join, with_sentiment
 
 WINDOW = "60 seconds"
 # Before any post.
@@ -233,10 +233,21 @@ def sentiment_count(
     posts: DataFrame, lexicon: dict[str, int] | DataFrame, window: str | None = None
 ) -> DataFrame:
     """Sentiment labels per topic over non-empty original posts. A lexicon is
-    inlined when given as a dict and joined when given as a table."""
+    inlined when given as a dict of no more than ``MAX_INLINE_WORDS``, and
+    joined when given as a table or larger; the labels are the same."""
     times = _times(posts)
     wanted = (F.col("text") != "") & (F.col("tweet_type") == ORIGINAL)
     rows = _only(posts, wanted, F.col(times[-1]) > F.lit(LONG_AGO).cast("timestamp"))
+    if isinstance(lexicon, dict) and len(lexicon) > MAX_INLINE_WORDS:
+        lexicon = posts.sparkSession.createDataFrame(list(lexicon.items()), "word STRING, weight INT")
+    if isinstance(lexicon, DataFrame) and posts.isStreaming:
+        labelled = stream_sentiment_by_join(rows, lexicon, window)
+        keys = [F.window("_clock", window).alias("_window"), "sentiment", "topic"]
+        counted = labelled.groupBy(*keys).agg(F.min("first").alias("_first"), F.sum("posts").alias("cnt"))
+        return counted.select(
+            F.col("_window.start").alias("window_start"), millis(F.col("_first")).alias("timestamp"),
+            "sentiment", "topic", "cnt",
+        )
     if isinstance(lexicon, DataFrame):
         labelled = sentiment_by_join(rows, lexicon)
     else:

@@ -18,17 +18,15 @@ MAX_INLINE_WORDS = 10_000
 
 
 def read_lexicon(spark: SparkSession, path: str, as_table: bool = False) -> dict[str, int] | DataFrame:
-    """A ``word;weight`` file, as a dict to inline or as a table to join. Of a
-    word's weights the largest counts. Both give the same labels; a stream
-    needs the dict."""
+    """A ``word;weight`` file, as a dict to inline or, on demand or if it has too
+    many words for that, as a table to join. Of a word's weights the largest
+    counts. Both give the same labels, on streams too."""
     rows = spark.read.schema("word STRING, weight INT").option("sep", ";").csv(path)
     lexicon = one_weight(rows)
     if as_table:
         return lexicon
     found = {row.word: row.weight for row in lexicon.take(MAX_INLINE_WORDS + 1)}
-    if len(found) > MAX_INLINE_WORDS:
-        raise ValueError(f"more than {MAX_INLINE_WORDS} words: read the lexicon as a table")
-    return found
+    return found if len(found) <= MAX_INLINE_WORDS else lexicon
 
 
 def one_weight(lexicon: DataFrame) -> DataFrame:
@@ -97,7 +95,7 @@ def sentiment_by_join(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     frequent words.
     """
     if posts.isStreaming:
-        raise ValueError("a stream takes its lexicon as a dict")
+        raise ValueError("a stream needs a window: see stream_sentiment_by_join")
     kept = [name for name in ("id", "ts", ARRIVAL) if name in posts.columns]
     # Stored, so that the numbers of the rows stay what they are.
     cleaned = stage(
@@ -116,3 +114,37 @@ def sentiment_by_join(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     score = F.when(F.trim("_cleaned") != "", F.coalesce("_sum", F.lit(0)))
     labelled = cleaned.join(scores, "_row", "left").withColumn("_score", score)
     return labelled.select(*kept, "topic", label_of(F.col("_score")).alias("sentiment"))
+
+
+def stream_sentiment_by_join(posts: DataFrame, lexicon: DataFrame, window: str) -> DataFrame:
+    """Labelled posts of a stream with a watermark, by a lexicon table of any
+    size: (window, topic, sentiment, first, posts), several rows of a group.
+
+    Words meet the stored lexicon in a join of the stream with a table; a post's
+    words come together again in a first windowed aggregation, whose state holds
+    a score for each post of the open windows, and no text. Posts that are alike
+    in id, time and text are one row of several posts. A second aggregation may
+    follow, as ``sentiment_count`` does."""
+    times = [name for name in ("ts", ARRIVAL) if name in posts.columns]
+    ids = [name for name in ("id",) if name in posts.columns]
+    cleaned = posts.select(*times, *ids, "topic", clean_text(F.col("text")).alias("_cleaned"))
+    # Beside its words every post has a row of no word, which counts it.
+    nothing = F.array(F.lit(None).cast("string"))
+    words = cleaned.select(
+        *times, *ids, "topic",
+        F.unix_micros("ts").alias("_at"),
+        F.xxhash64("_cleaned").alias("_text"),
+        (F.trim("_cleaned") != "").alias("_said"),
+        F.explode(F.concat(nothing, tokens(F.col("_cleaned")))).alias("word"),
+    )
+    known = stage(one_weight(lexicon), "lexicon")
+    scored = (
+        words.join(known, "word", "left")
+        .groupBy(F.window(times[-1], window).alias("_window"), *ids, "topic", "_at", "_text", "_said")
+        .agg(F.sum("weight").alias("_sum"), F.count_if(F.col("word").isNull()).alias("posts"))
+    )
+    score = F.when(F.col("_said"), F.coalesce("_sum", F.lit(0)))
+    return scored.select(
+        F.window_time("_window").alias("_clock"), "topic", label_of(score).alias("sentiment"),
+        F.timestamp_micros("_at").alias("first"), "posts",
+    )

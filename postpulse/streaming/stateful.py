@@ -7,6 +7,8 @@ The state is one number, or five exact sums, per topic.
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import sys
 from collections.abc import Iterator
 from decimal import Decimal
@@ -21,6 +23,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..functions.numeric import INT_MAX, INT_MIN
 from ..operators.metrics import USER_COLUMNS, first_of_windows, user_records
 from ..operators.predict import SUFFIX, line_at
+from ..operators.topn import WINDOWED
 from .windows import END_OF_TIME
 
 # Number of windows, their followers, re-shares, squares and products.
@@ -170,6 +173,50 @@ def _whole(value) -> int | None:
     return None if pd.isna(value) else int(value)
 
 
+class Largest(StatefulProcessor):
+    """The largest rows of each window and topic. A window's counts all come in
+    the micro-batch that closes it, so nothing is kept for the next one; of its
+    rows no more than n are held at a time."""
+
+    def __init__(self, item: str, n: int) -> None:
+        self.item, self.n = item, n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        best: list[tuple] = []
+        for frame in rows:
+            found = zip((-frame["cnt"]).tolist(), frame[self.item].tolist(), frame["timestamp"].tolist())
+            best = heapq.nsmallest(self.n, itertools.chain(best, found))
+        yield pd.DataFrame(
+            {
+                "window_start": [key[0]] * len(best),
+                "timestamp": [timestamp for _, _, timestamp in best],
+                self.item: [item for _, item, _ in best],
+                "topic": [key[1]] * len(best),
+                "cnt": [-negative for negative, _, _ in best],
+            }
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def stream_top_of_windows(posts: DataFrame, item: str, window: str, n: int | None = None) -> DataFrame:
+    """``top_of_windows`` of a stream with a watermark: windowed counts, then
+    their largest, as the windows close. One task ranks a window's topic; it
+    takes a row for each of its distinct items."""
+    count, usual = WINDOWED[item]
+    counts = count(posts, window, more_than=0)
+    return counts.groupBy("window_start", "topic").transformWithStateInPandas(
+        Largest(item, usual if n is None else n),
+        f"window_start TIMESTAMP, timestamp BIGINT, {item} STRING, topic STRING, cnt BIGINT",
+        outputMode="append",
+        timeMode="none",
+    )
+
+
 def stream_popular_user(posts: DataFrame, window: str, keep: str = "30 days") -> DataFrame:
     """``popular_user_running`` of a stream with a watermark.
 

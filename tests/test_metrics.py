@@ -250,3 +250,18 @@ def test_per_window(spark):
     assert windows_between(1572203359994, 1572216813539) == 224
     base = spark.createDataFrame([("a", 449)], "topic string, cnt bigint")
     assert per_window(base, 224).first().cnt == 2
+
+
+def test_distinct_users_at_the_edges_of_times_and_ids(spark):
+    import datetime as dt
+
+    big = 2**63 - 1
+    rows = [
+        {"ts": at(5), "id": -big - 1, "screen_name": "u", "followers": 1}, {"ts": at(5), "id": big, "screen_name": "u", "followers": 2},
+        {"ts": dt.datetime(1900, 1, 1), "id": big, "screen_name": "v", "followers": 3},
+        {"ts": dt.datetime(1900, 1, 1), "id": 0, "screen_name": "v", "followers": 4},
+        {"ts": at(9), "id": 3, "screen_name": None, "followers": 5}, {"ts": at(8), "id": 4, "screen_name": None, "followers": 6},
+        {"ts": at(7), "id": 5, "screen_name": "w", "followers": 7}, {"ts": at(7), "id": 5, "screen_name": "w", "followers": 7},
+    ]
+    found = metrics.distinct_users(make_posts(spark, rows)).collect()
+    assert {(r["screen_name"], r["followers"]) for r in found} == {("u", 1), ("v", 4), (None, 6), ("w", 7)} and len(found) == 4

@@ -6,7 +6,8 @@ from helpers import at, make_posts, ms, raw_line, rows_of, share
 from pyspark.sql import functions as F
 
 from postpulse.functions.topics import ELECTION_TOPICS
-from postpulse.operators import metrics, predict
+from postpulse.operators import metrics, predict, topn
+from postpulse.operators.sentiment import MAX_INLINE_WORDS
 from postpulse.plans import batch, collect, compare, live
 from postpulse.plans import predict as predict_job
 from postpulse.schema import POST
@@ -15,7 +16,7 @@ from postpulse.sources.posts import read_posts, store_posts, stream_posts
 from postpulse.streaming.documents import documents
 from postpulse.streaming.losses import store_limits, watching
 from postpulse.streaming.sinks import save_lines, write_documents
-from postpulse.streaming.stateful import stream_line, stream_popular_user, stream_smoothed
+from postpulse.streaming.stateful import stream_line, stream_popular_user, stream_smoothed, stream_top_of_windows
 from postpulse.streaming.windows import complete, end, event_time, open_ending, run_to_table, wait_for
 
 LEXICON = {"good": 1, "bad": -1}
@@ -581,3 +582,43 @@ def test_a_failing_query_stops_the_others(spark, tmp_path):
         wait_for([endless, failing])
     assert not endless.isActive and not failing.isActive
     wait_for([start("drained", lambda batch, number: None, {"availableNow": True})])
+
+
+def test_a_lexicon_of_any_size_serves_a_stream(spark, tmp_path):
+    """Over several micro-batches, posts that are alike among them."""
+    rows = some_posts(120, seed=8)[:-2]
+    rows = sorted(rows + rows[:15], key=lambda row: row["ts"])
+    posts = feed(spark, rows, tmp_path / "in", files=3)
+    again = make_posts(spark, rows[:4])  # alike in all columns
+    again.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    posts = posts.unionByName(again)
+    large = {f"word{i}": 1 for i in range(20_000)} | LEXICON
+    assert len(large) > MAX_INLINE_WORDS
+    lexicon = spark.createDataFrame(list(large.items()), "word string, weight int")
+    whole = rows_of(metrics.sentiment_count(posts, LEXICON, "60 seconds"), "*")
+    assert rows_of(metrics.sentiment_count(posts, large, "60 seconds"), "*") == whole
+    for name, given in (("dict", large), ("table", lexicon)):
+        live_posts = stream(spark, tmp_path / "in")
+        closing = open_ending(live_posts, str(tmp_path / f"closing_{name}"))
+        timed = event_time(live_posts, closing=closing)
+        args = (f"lexicon_{name}", str(tmp_path / name), str(tmp_path / f"cp_{name}"))
+        counted = metrics.sentiment_count(timed, given, "60 seconds")
+        assert run_to_table(counted, *args).count() < len(whole)
+        end(spark, closing, live_posts.schema)
+        assert rows_of(run_to_table(metrics.sentiment_count(timed, given, "60 seconds"), *args), "*") == whole
+
+
+@pytest.mark.parametrize("item", ["word", "hashtag", "source"])
+def test_rankings_of_live_windows_equal_batch(spark, tmp_path, item):
+    """Ties and several micro-batches; windows come out as they close."""
+    rows = some_posts(200, seed=9)[:-2]
+    posts = feed(spark, rows, tmp_path / "in", files=3)
+    live_posts = stream(spark, tmp_path / "in", 1)
+    closing = open_ending(live_posts, str(tmp_path / "closing"))
+    ranked = stream_top_of_windows(event_time(live_posts, closing=closing), item, "60 seconds", 2)
+    args = ("ranked", str(tmp_path / "out"), str(tmp_path / "cp"))
+    whole = rows_of(topn.top_of_windows(posts, item, "60 seconds", 2), "window_start", "timestamp", item, "topic", "cnt")
+    some = run_to_table(ranked, *args)
+    assert 0 < some.count() < len(whole)
+    end(spark, closing, live_posts.schema)
+    assert rows_of(run_to_table(ranked, *args), "window_start", "timestamp", item, "topic", "cnt") == whole
