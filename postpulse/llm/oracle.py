@@ -99,7 +99,7 @@ WITH v AS (
   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
 )
 SELECT n.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
-       row_number() OVER (PARTITION BY n.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+       CAST(row_number() OVER (PARTITION BY n.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
 FROM near n JOIN scored s ON n.anchor_id = s.anchor_id AND NOT s.same
   AND 80 * positive_score <= 100 * score AND score <= positive_score
 QUALIFY rank <= 5
