@@ -498,6 +498,12 @@ def oracle_sql() -> dict[str, str]:
         sql[f"stream_{name}"] = sql[f"win_{name}"]
     for name in "avg_retweets avg_length total_count source hashtag word".split():
         sql[f"stream_cmp_{name}"] = sql[f"cmp_{name}"]
+    for name in "avg_retweets avg_length total_count source".split():
+        sql[f"stream_loaded_{name}"] = sql[f"cmp_{name}"]
+    sql["stream_widths"] = posts + " UNION ALL ".join(
+        f"SELECT *, '{width}' AS width FROM ({_counts('posts', 'topic, tweet_type', 0, width)})"
+        for width in ("60 seconds", "1 hour", "1 day")
+    )
     for name in "avg_retweets avg_length retweets_followers".split():
         sql[f"stream_pred_{name}"] = sql[f"pred_{name}"]
     sql["stream_parse_roundtrip"] = sql["parse_roundtrip"]

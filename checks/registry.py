@@ -20,9 +20,12 @@ from postpulse.streaming.index import index_rows, read_index, start_index
 from postpulse.streaming.losses import as_rows, watching
 from postpulse.streaming.sinks import save_lines, start_documents, write_csv
 from postpulse.streaming.stateful import (
+    of_width,
+    stream_difference,
     stream_line,
     stream_popular_user,
     stream_smoothed,
+    stream_summaries,
     stream_top_of_windows,
 )
 from postpulse.streaming.windows import (
@@ -329,9 +332,14 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_cmp(
-    metric: str, stored_of: Callable[..., DataFrame], live_of: Callable[..., DataFrame], texts: bool = False
+    metric: str,
+    stored_of: Callable[..., DataFrame],
+    live_of: Callable[..., DataFrame],
+    texts: bool = False,
+    loaded: tuple[list[str], str] | None = None,
 ) -> Query:
-    """Stream-static: a stream's windows against a stored result."""
+    """A stream's windows against a stored result: stream-static or, given the
+    keys and the value, with the stored result loaded into state."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         if texts:
@@ -345,7 +353,11 @@ def _stream_cmp(
             )
             live = tables.posts(spark, sf, rows)
         baseline = stage(stored_of(stored), f"baseline_{metric}")
-        compared = getattr(compare, f"compare_{metric}")(live_of(complete(live)), baseline)
+        windows = live_of(complete(live))
+        if loaded:
+            compared = stream_difference(windows, baseline, *loaded)
+        else:
+            compared = getattr(compare, f"compare_{metric}")(windows, baseline)
         return _plain(run_to_table(compared, f"stream_cmp_{metric}"))
 
     return run
@@ -362,6 +374,14 @@ def stream_pred_retweets_followers(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(run_to_table(rows, "stream_pred_retweets_followers"))
 
 
+def stream_widths(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts in windows of three widths, from one pass and one state."""
+    widths = [metrics.WINDOW, HOUR, DAY]
+    found = run_to_table(stream_summaries(_streamed(spark, sf), widths), "stream_widths")
+    counts = [metrics.total_count_of(of_width(found, w)).withColumn("width", F.lit(w)) for w in widths]
+    return _plain(counts[0].unionAll(counts[1]).unionAll(counts[2]))
+
+
 def _json(metric: str, source: Query, operator: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, sf: documents(operator(source(spark, sf), *args), metric)
 
@@ -480,6 +500,27 @@ QUERIES: dict[str, Query] = {
     "stream_cmp_word": _stream_cmp(
         "word", topn.top_words, lambda live: metrics.word_count(live, HOUR, more_than=0), texts=True
     ),
+    "stream_loaded_avg_retweets": _stream_cmp(
+        "avg_retweets", metrics.avg_retweets, lambda live: metrics.avg_retweets(live, DAY),
+        loaded=(["topic"], "retweets"),
+    ),
+    "stream_loaded_avg_length": _stream_cmp(
+        "avg_length", metrics.avg_length, lambda live: metrics.avg_length(live, HOUR), texts=True,
+        loaded=(["topic"], "length"),
+    ),
+    "stream_loaded_total_count": _stream_cmp(
+        "total_count",
+        lambda stored: baselines.per_window(metrics.total_count(stored), BASELINE_WINDOWS),
+        lambda live: metrics.total_count(live, DAY),
+        loaded=(["topic", "tweet_type"], "cnt"),
+    ),
+    "stream_loaded_source": _stream_cmp(
+        "source",
+        lambda stored: baselines.per_window(topn.top_sources(stored), BASELINE_WINDOWS),
+        lambda live: metrics.source_count(live, DAY),
+        loaded=(["source", "topic"], "cnt"),
+    ),
+    "stream_widths": stream_widths,
     "stream_pred_avg_retweets": stream_pred_avg_retweets,
     "stream_pred_avg_length": stream_pred_avg_length,
     "stream_pred_retweets_followers": stream_pred_retweets_followers,

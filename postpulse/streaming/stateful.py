@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.numeric import INT_MAX, INT_MIN
-from ..operators.metrics import USER_COLUMNS, first_of_windows, user_records
+from ..operators.metrics import USER_COLUMNS, first_of_windows, topic_summary, user_records
 from ..operators.predict import SUFFIX, line_at
 from ..operators.topn import WINDOWED
 from .windows import END_OF_TIME
@@ -45,7 +45,9 @@ def _ordered(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 
 class Smoothing(StatefulProcessor):
-    """Cut-off mean of the last prediction and the window's value."""
+    """Cut-off mean of the last prediction and the window's value. The first
+    prediction is the topic's stored mean, which the state is loaded with; a
+    topic without one gives no rows."""
 
     def __init__(self, value: str) -> None:
         self.value = value
@@ -55,9 +57,14 @@ class Smoothing(StatefulProcessor):
             "last", T.StructType([T.StructField("prediction", T.IntegerType())])
         )
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.last.update((int(initialState["seed"].iloc[0]),))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if not self.last.exists():
+            return
         frame = _ordered(rows)
-        last = self.last.get()[0] if self.last.exists() else int(frame["seed"].iloc[0])
+        last = self.last.get()[0]
         predicted = []
         for current in frame[self.value]:
             last = _cut((last + current) / 2)
@@ -77,6 +84,81 @@ class Smoothing(StatefulProcessor):
         pass
 
 
+class Stored(StatefulProcessor):
+    """Adds its key's stored value to each row. The state is loaded with the
+    stored values once, and never changes; a key without one gives no rows."""
+
+    def __init__(self, kind: T.DataType) -> None:
+        self.kind = kind
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.value = handle.getValueState("value", T.StructType([T.StructField("value", self.kind)]))
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.value.update((initialState["_stored"].tolist()[0],))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if not self.value.exists():
+            return
+        value = self.value.get()[0]
+        for frame in rows:
+            yield frame.assign(_stored=value)
+
+    def close(self) -> None:
+        pass
+
+
+class Rollup(StatefulProcessor):
+    """Rows of a key's narrow windows, and their sums by wider windows.
+
+    Times are numbers (microseconds; window starts milliseconds). A narrow
+    window's row comes once, when it closes, and goes on at once; a wider window
+    is one row of state until the watermark passes its end."""
+
+    def __init__(self, widths: list[int], firsts: list[str], sums: list[str]) -> None:
+        self.narrow, *self.wider = widths
+        self.merge = {name: "min" for name in firsts} | {name: "sum" for name in sums}
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getMapState("open", _longs("width", "start"), _longs(*self.merge))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            yield self._rows(key, self.narrow, frame)
+            for width in self.wider:
+                parts = frame.groupby(frame["start"] // width * width)[list(self.merge)].agg(self.merge)
+                for part in parts.itertuples(name=None):
+                    start, *found = map(int, part)
+                    at = (width, start)
+                    if self.open.containsKey(at):
+                        both = zip(self.merge.values(), self.open.getValue(at), found)
+                        found = [min(a, b) if how == "min" else a + b for how, a, b in both]
+                    else:
+                        self.handle.registerTimer(start + width)
+                    self.open.updateValue(at, tuple(found))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        end = expiredTimerInfo.getExpiryTimeInMs()
+        for width in self.wider:
+            at = (width, end - width)
+            if self.open.containsKey(at):
+                frame = pd.DataFrame([tuple(self.open.getValue(at))], columns=list(self.merge))
+                self.open.removeKey(at)
+                yield self._rows(key, width, frame.assign(start=end - width))
+
+    def _rows(self, key, width: int, frame: pd.DataFrame) -> pd.DataFrame:
+        found = frame[["start", *self.merge]]
+        return found.assign(width=width, topic=key[0], tweet_type=key[1])
+
+    def close(self) -> None:
+        pass
+
+
+def _longs(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.LongType()) for name in names])
+
+
 class LineFit(StatefulProcessor):
     """Sums over a topic's earlier windows; the line follows from them."""
 
@@ -252,15 +334,80 @@ def _milliseconds(interval: str) -> int:
 _UNITS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000, "week": 604_800_000}
 
 
+# Later than any time in microseconds: stands for no time.
+_NEVER = (1 << 63) - 1
+
+
+def stream_summaries(posts: DataFrame, widths: list[str]) -> DataFrame:
+    """``topic_summary`` of a stream with a watermark for several window widths
+    at once, with the width as given in a column ``width``.
+
+    Posts are counted once, in windows of the first width; the others are
+    multiples of it, and are summed from its closed windows, a row for each
+    topic, type and open window. ``of_width`` gives one width's summary, from
+    which all metrics of it follow. Sums of nothing are 0."""
+    spans = [_milliseconds(width) for width in widths]
+    if any(span % spans[0] for span in spans):
+        raise ValueError(f"all widths must be multiples of the first: {widths}")
+    summary = topic_summary(posts, widths[0])
+    firsts = [name for name in ("first_ts", "first_text_ts") if name in summary.columns]
+    keys = ["window_start", "window_end", "topic", "tweet_type"]
+    sums = [name for name in summary.columns if name not in [*keys, *firsts]]
+    numbers = summary.select(
+        "topic", "tweet_type", F.unix_millis("window_start").alias("start"),
+        *[F.coalesce(F.unix_micros(name), F.lit(_NEVER)).alias(name) for name in firsts],
+        *[F.coalesce(F.col(name).cast("long"), F.lit(0)).alias(name) for name in sums],
+    )
+    rolled = numbers.groupBy("topic", "tweet_type").transformWithStateInPandas(
+        Rollup(spans, firsts, sums),
+        ", ".join(f"{name} BIGINT" for name in ["start", *firsts, *sums, "width"])
+        + ", topic STRING, tweet_type STRING",
+        outputMode="append",
+        timeMode="eventTime",
+    )
+    named = F.create_map(*[item for span, width in zip(spans, widths) for item in (F.lit(span).cast("long"), F.lit(width))])
+    return rolled.select(
+        named[F.col("width")].alias("width"),
+        F.timestamp_millis("start").alias("window_start"),
+        F.timestamp_millis(F.col("start") + F.col("width")).alias("window_end"),
+        "topic", "tweet_type",
+        *[F.when(F.col(name) < _NEVER, F.timestamp_micros(name)).alias(name) for name in firsts],
+        *sums,
+    )
+
+
+def of_width(summaries: DataFrame, width: str) -> DataFrame:
+    """The rows of one width of ``stream_summaries``, as ``topic_summary`` gives them."""
+    return summaries.filter(F.col("width") == width).drop("width")
+
+
 def stream_smoothed(series: DataFrame, seeds: DataFrame, value: str) -> DataFrame:
-    """Predictions for a windowed mean; ``seeds`` is the stored (topic, mean)."""
-    seeded = series.join(seeds.select("topic", F.col(value).cast("int").alias("seed")), "topic")
-    return seeded.groupBy("topic").transformWithStateInPandas(
+    """Predictions for a windowed mean; ``seeds`` is the stored (topic, mean),
+    read once, when the query first starts."""
+    loaded = seeds.select("topic", F.col(value).cast("int").alias("seed")).dropna()
+    return series.groupBy("topic").transformWithStateInPandas(
         Smoothing(value),
         f"window_start TIMESTAMP, timestamp BIGINT, {value} INT, topic STRING, cnt INT",
         outputMode="append",
         timeMode="none",
+        initialState=loaded.groupBy("topic"),
+    )
+
+
+def stream_difference(live: DataFrame, baseline: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``compare.difference`` of a stream. The baseline, a row per key, is read
+    once, when the query first starts, and is keyed state from then on; a join
+    would read it again for every micro-batch."""
+    stored = baseline.select(*keys, F.col(value).alias("_stored")).dropna()
+    kind = stored.schema["_stored"].dataType
+    met = live.groupBy(*keys).transformWithStateInPandas(
+        Stored(kind),
+        T.StructType([*live.schema, T.StructField("_stored", kind)]),
+        outputMode="append",
+        timeMode="none",
+        initialState=stored.groupBy(*keys),
     )
+    return met.withColumn(value, F.col(value) - F.col("_stored")).select(*live.columns)
 
 
 def stream_line(series: DataFrame) -> DataFrame:

@@ -16,7 +16,16 @@ from postpulse.sources.posts import read_posts, store_posts, stream_posts
 from postpulse.streaming.documents import documents
 from postpulse.streaming.losses import store_limits, watching
 from postpulse.streaming.sinks import save_lines, write_documents
-from postpulse.streaming.stateful import stream_line, stream_popular_user, stream_smoothed, stream_top_of_windows
+from postpulse.operators.compare import difference
+from postpulse.streaming.stateful import (
+    of_width,
+    stream_difference,
+    stream_line,
+    stream_popular_user,
+    stream_smoothed,
+    stream_summaries,
+    stream_top_of_windows,
+)
 from postpulse.streaming.windows import complete, end, event_time, open_ending, run_to_table, wait_for
 
 LEXICON = {"good": 1, "bad": -1}
@@ -622,3 +631,55 @@ def test_rankings_of_live_windows_equal_batch(spark, tmp_path, item):
     assert 0 < some.count() < len(whole)
     end(spark, closing, live_posts.schema)
     assert rows_of(run_to_table(ranked, *args), "window_start", "timestamp", item, "topic", "cnt") == whole
+
+
+def _in_two_runs(spark, tmp_path, derive):
+    """Rows after a run that leaves windows open, and after the one that closes them."""
+    rows = some_posts(300, seed=11)[:-2]
+    posts = feed(spark, rows, tmp_path / "in", files=3)
+    live_posts = stream(spark, tmp_path / "in", 1)
+    closing = open_ending(live_posts, str(tmp_path / "closing"))
+    derived = derive(event_time(live_posts, closing=closing))
+    args = ("derived", str(tmp_path / "out"), str(tmp_path / "cp"))
+    first = run_to_table(derived, *args).collect()
+    end(spark, closing, live_posts.schema)
+    return posts, first, run_to_table(derived, *args)
+
+
+def test_widths_from_one_state_equal_batch(spark, tmp_path):
+    widths = ["30 seconds", "2 minutes", "5 minutes"]
+    posts, first, found = _in_two_runs(spark, tmp_path, lambda timed: stream_summaries(timed, widths))
+    assert {row["width"] for row in first} == set(widths)
+    assert len(first) < found.count()
+    for width in widths:
+        own = of_width(found, width)
+        for derive in (metrics.total_count_of, metrics.avg_retweets_of, metrics.avg_length_of,
+                       metrics.retweets_followers_of, metrics.topic_count_of):
+            expected = derive(metrics.topic_summary(posts, width))
+            assert rows_of(derive(own), *expected.columns) == rows_of(expected, "*"), (width, derive.__name__)
+
+
+def test_widths_must_be_multiples(spark, tmp_path):
+    feed(spark, some_posts(5), tmp_path / "in")
+    with pytest.raises(ValueError, match="multiples"):
+        stream_summaries(event_time(stream(spark, tmp_path / "in")), ["60 seconds", "90 seconds"])
+
+
+@pytest.mark.parametrize("keys", [["topic"], ["topic", "tweet_type"]])
+def test_loaded_baselines_equal_a_join(spark, tmp_path, keys):
+    """A restart in the middle; keys without a baseline give nothing."""
+    stored = spark.createDataFrame(
+        [("a", "Retweet", 3), ("b", "Original Tweet", 0), ("q", "Reply", 9), ("c", "Retweet", None)],
+        "topic string, tweet_type string, cnt int",
+    ).select(*keys, "cnt")
+
+    def live(rows):
+        return metrics.topic_count(rows, "60 seconds") if keys == ["topic"] else metrics.total_count(rows, "60 seconds")
+
+    posts, first, found = _in_two_runs(
+        spark, tmp_path, lambda timed: stream_difference(live(timed), stored, keys, "cnt")
+    )
+    expected = difference(live(posts), stored.dropna(), keys, "cnt")
+    assert 0 < len(first) < found.count()
+    assert rows_of(found, *expected.columns) == rows_of(expected, "*")
+    assert found.schema["cnt"].dataType == expected.schema["cnt"].dataType
