@@ -67,10 +67,14 @@ def _arguments() -> argparse.Namespace:
         "--remember", help='popular users with their first record ever, kept for so long: "30 days"'
     )
     command.add_argument("--bulks", action="store_true", help="documents with ids, sent in bulks to an index store")
+    command.add_argument(
+        "--wider", default="", help='more window widths, multiples of --window, for the summary: "1 hour,1 day"'
+    )
     command = job("compare", "windowed metrics against batch results")
     windowed(command)
     command.add_argument("--baselines", required=True, help="output folder of the batch job")
     command.add_argument("--baseline-windows", type=int, help="default: those of the batch's period")
+    command.add_argument("--in-state", action="store_true", help="load the baselines into state, once")
     command = job("predict", "next-window predictions")
     windowed(command)
     command.add_argument("--baselines", required=True, help="output folder of the batch job")
@@ -147,12 +151,14 @@ def _run_windowed(spark: SparkSession, given: argparse.Namespace, checkpoint: st
         if given.job == "live":
             queries = live.run(
                 posts, given.output, checkpoint, read_lexicon(spark, given.lexicon),
-                remember=given.remember, bulks=given.bulks, **timing,
+                remember=given.remember, bulks=given.bulks,
+                wider=[width.strip() for width in given.wider.split(",") if width.strip()], **timing,
             )
         elif given.job == "compare":
             queries = compare.run(
-                posts, given.baselines, given.baseline_windows, given.output, checkpoint, **timing
-            )
+                posts, given.baselines, given.baseline_windows, given.output, checkpoint,
+                in_state=given.in_state, **timing,
+            )
         else:
             queries = predict.run(posts, given.baselines, given.output, checkpoint, **timing)
         wait_for([*feeding, *queries])

@@ -10,6 +10,7 @@ from ..session import stage
 from ..sources.baselines import per_window, read_once_per_key, read_stored, stored_windows
 from ..streaming.documents import COMPARE_INDEX
 from ..streaming.sinks import Output, start_documents
+from ..streaming.stateful import stream_difference
 from ..streaming.windows import event_time
 from .batch import FILES, PERIOD
 
@@ -72,6 +73,29 @@ def compared(
     }
 
 
+def compared_in_state(
+    posts: DataFrame, base: dict[str, DataFrame], window: str = metrics.WINDOW
+) -> dict[str, tuple[DataFrame, list[Output]]]:
+    """``compared`` with the four differences from baselines that are loaded
+    into state when the job first starts, and not read again: for baselines too
+    large to be joined in every micro-batch. Membership stays a join."""
+    live = {
+        "avg_retweets": (metrics.avg_retweets(posts, window), ["topic"], "retweets"),
+        "avg_length": (metrics.avg_length(posts, window), ["topic"], "length"),
+        "total_count": (metrics.total_count(posts, window), ["topic", "tweet_type"], "cnt"),
+        "source": (metrics.source_count(posts, window), ["source", "topic"], "cnt"),
+    }
+    found = {
+        f"compare_{metric}": (
+            stream_difference(rows, base[metric], keys, value),
+            [(metric, COMPARE_INDEX[metric], lambda batch: batch)],
+        )
+        for metric, (rows, keys, value) in live.items()
+    }
+    joined = compared(posts, base, window)
+    return found | {name: joined[name] for name in ("compare_hashtag", "compare_word")}
+
+
 def run(
     posts: DataFrame,
     baselines: str,
@@ -84,10 +108,11 @@ def run(
     trigger: str | None = None,
     partitions: int | None = None,
     closing: str | None = None,
+    in_state: bool = False,
 ) -> list[StreamingQuery]:
     base = load_baselines(posts.sparkSession, baselines, windows)
     timed = event_time(posts, delay, time_domain, closing)
     return [
         start_documents(rows, name, output, checkpoint, outputs, trigger, partitions)
-        for name, (rows, outputs) in compared(timed, base, window).items()
+        for name, (rows, outputs) in (compared_in_state if in_state else compared)(timed, base, window).items()
     ]

@@ -470,6 +470,31 @@ def test_compare_job(spark, stored):
         assert index_rows(spark, out / index), index
 
 
+def test_compare_job_with_loaded_baselines(spark, stored):
+    out = stored / "loaded_out"
+    finish(compare.run(live_lines(spark, stored), str(stored / "batch"), 2, str(out),
+                       str(stored / "loaded_cp"), delay="0 seconds", partitions=2, in_state=True))
+    for index in ("comptweetcount-idx", "compsourcecount-idx", "comptweetlength-idx", "compavgretweetscount-idx",
+                  "compwordcount-idx"):
+        joined = spark.read.text(str(stored / "compare_out" / index))
+        assert rows_of(spark.read.text(str(out / index)), "value") == rows_of(joined, "value")
+
+
+def test_live_job_with_wider_windows(spark, stored):
+    out, cp = stored / "wider_out", stored / "wider_cp"
+    lines = live_lines(spark, stored)
+    closing = open_ending(lines, str(cp / "closing"))
+    end(spark, closing, lines.schema)
+    finish(live.run(lines, str(out), str(cp), LEXICON, delay="0 seconds", partitions=2,
+                    closing=closing, wider=["5 minutes"]))
+    posts = raw.parse_posts(raw.read_lines(spark, str(stored / "live")))
+    for suffix, width in (("", "60 seconds"), ("-5-minutes", "5 minutes")):
+        expected = documents(metrics.total_count(posts, width), "total_count")
+        found = spark.read.text(str(out / f"tweetcount-idx{suffix}"))
+        assert rows_of(found, "value") == rows_of(expected, "value")
+        assert index_rows(spark, out / f"avgretweetscount-idx{suffix}")
+
+
 def test_predict_job(spark, stored):
     out = stored / "predict_out"
     finish(predict_job.run(live_lines(spark, stored), str(stored / "batch"), str(out),
