@@ -240,20 +240,42 @@ def test_repeats_equal_brute_force(spark):
     rows += [(41, " ".join(whole)), (42, " ".join(whole)), (42, " ".join(whole)), (43, "  ".join(whole[:100] + whole[60:]))]
     rows += [(44, " ".join(["same"] * 130)), (45, " ".join(["same"] * 60)), (46, ""), (47, None), (None, " ".join(whole))]
     rows += [(48, "a\xa0b \x85 c"), (49, " ".join(f"u{i % 60}" for i in range(400)))]
+    # Different texts of one id, each with its own repeats.
+    rows += [(50, " ".join(["v", *passage[2], "w"])), (50, " ".join(["v", "x", *passage[4]])), (50, "y " * 90)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("start", F.lit(1)).repartition(3)
     found = substring.remove_repeats(docs).collect()
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found) == brute_repeats(rows)
-    texts = {i: (t or "").encode().split() for i, t in rows}
+    texts = {i: (t or "").encode().split() for i, t in rows if i != 50}
     for row in found:
+        covered = set()
         for f in row["factors"]:
-            own = texts[row["doc_id"]][f["start"] : f["start"] + f["length"]]
-            assert f["length"] >= 50 and f["ref_doc"] < row["doc_id"]
-            ref = texts[f["ref_doc"]]
-            windows = {tuple(ref[i : i + 50]) for i in range(len(ref) - 49)}
-            assert all(tuple(own[i : i + 50]) in windows for i in range(len(own) - 49))
+            span = range(f["start"], f["start"] + f["length"])
+            assert f["length"] >= 50 and f["ref_doc"] < row["doc_id"] and not covered.issuperset(span)
+            covered.update(span)
+            ref = texts[f["ref_doc"]][f["ref_start"] :][: f["length"]]
+            if row["doc_id"] != 50:
+                assert ref == texts[row["doc_id"]][span.start : span.stop]
+        # The factors are what is removed.
+        assert len(covered) == row["n_removed"]
     assert substring.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_factors_are_greedy_and_checked_at_their_ends(spark):
+    """One place is followed for as long as it goes; a window across its end that
+    the reference holds elsewhere starts a factor of its own, in the overlap."""
+    a, b = [[f"{name}{i}" for i in range(120)] for name in "ab"]
+    seam = a[-30:] + b[:60]
+    rows = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(seam)), (4, " ".join(["z", *a, *b])), (5, " ".join(a[:100] + b[40:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {row["doc_id"]: row for row in substring.remove_repeats(docs).collect()}
+    factors = {i: [tuple(f) for f in row["factors"]] for i, row in found.items()}
+    assert factors[1] == factors[2] == []
+    assert factors[3] == [(30, 60, 2, 0)]
+    assert factors[4] == [(1, 120, 1, 0), (91, 79, 3, 0), (121, 120, 2, 0)]
+    assert factors[5] == [(0, 100, 1, 0), (100, 80, 2, 40)]
+    assert [found[i]["n_removed"] for i in range(1, 6)] == [0, 0, 60, 240, 180]
+
+
 def brute_nearest(vectors, queries, k):
     ids = sorted(vectors)
     out = {}
