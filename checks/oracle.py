@@ -506,6 +506,19 @@ def oracle_sql() -> dict[str, str]:
     )
     for name in "avg_retweets avg_length retweets_followers".split():
         sql[f"stream_pred_{name}"] = sql[f"pred_{name}"]
+    sql["topic_route_many"] = (
+        "WITH needles AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS w FROM benchmark), "
+        "met AS (SELECT d.doc_id, min(w) AS w FROM documents d JOIN needles ON contains(lower(d.text), w) "
+        "GROUP BY d.doc_id) "
+        "SELECT doc_id, coalesce(w, 'none') AS topic FROM documents LEFT JOIN met USING (doc_id)"
+    )
+    sql["source_filter_many"] = (
+        "WITH pairs AS (SELECT DISTINCT string_split(unnest(regexp_extract_all(lower(text), "
+        "'[a-z]{4,} [a-z]{4,}')), ' ') AS pair FROM benchmark), "
+        r"bags AS (SELECT doc_id, string_split_regex(lower(text), '[^\p{L}\p{M}\p{Nd}\p{Pc}]+') AS bag FROM documents) "
+        "SELECT doc_id FROM bags WHERE doc_id IN "
+        "(SELECT doc_id FROM bags JOIN pairs ON list_has_all(bag, pair))"
+    )
     sql["stream_parse_roundtrip"] = sql["parse_roundtrip"]
     sql["stream_sentiment_lexicon_table"] = sql["win_sentiment_count"]
     sql["stream_source_lines"] = sql["parse_roundtrip"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postpulse.functions import text as tx
 from postpulse.functions.numeric import millis
-from postpulse.functions.topics import route_topics
+from postpulse.functions.topics import TopicRules, route_topics
 from postpulse.operators import compare, metrics, predict, topn
 from postpulse.session import scratch_path, stage
 from postpulse.sources import baselines, raw, tables
@@ -160,6 +160,31 @@ def topic_route(spark: SparkSession, sf: str) -> DataFrame:
     return route_topics(rows, tables.TABLE_TOPICS, F.col("text")).select("doc_id", "topic")
 
 
+def _needles(spark: SparkSession, sf: str, pattern: str) -> list[str]:
+    """Matches of a pattern in the benchmark's texts, each once, in order: as
+    many needles as a setting may have."""
+    text = F.lower(F.col("text"))
+    found = F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("needle")
+    rows = tables.table(spark, sf, "benchmark").select(found).distinct().orderBy("needle")
+    return [row.needle for row in rows.collect()]
+
+
+def topic_route_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Topics by a rule for each longer word of the benchmark."""
+    rules = TopicRules(tuple((word, word) for word in _needles(spark, sf, "[a-z]{6,}")), "none")
+    rows = tables.table(spark, sf, "documents")
+    return route_topics(rows, rules, F.col("text")).select("doc_id", "topic")
+
+
+def source_filter_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with both words of any pair of neighbours in the benchmark."""
+    pairs = _needles(spark, sf, "[a-z]{4,} [a-z]{4,}")
+    rows = tables.table(spark, sf, "documents").select(
+        "doc_id", "text", F.lit("").alias("links"), F.array().cast("array<string>").alias("hashtags")
+    )
+    return raw.select_posts(rows, terms=",".join(pairs)).select("doc_id")
+
+
 def source_anchor(spark: SparkSession, sf: str) -> DataFrame:
     source = F.col("source")
     found = F.arrays_zip(tx.source_apps(source).alias("app"), tx.source_links(source).alias("link"))
@@ -434,6 +459,7 @@ QUERIES: dict[str, Query] = {
     "pred_avg_length": pred_avg_length,
     "pred_retweets_followers": pred_retweets_followers,
     "topic_route": topic_route,
+    "topic_route_many": topic_route_many,
     "source_anchor": source_anchor,
     "text_clean": text_clean,
     "limit_notices": limit_notices,
@@ -441,6 +467,7 @@ QUERIES: dict[str, Query] = {
     "stream_loss_counts": stream_loss_counts,
     "parse_roundtrip": parse_roundtrip,
     "source_filter": source_filter,
+    "source_filter_many": source_filter_many,
     "json_documents": json_documents,
     "csv_roundtrip": csv_roundtrip,
     "json_avg_retweets": _json("avg_retweets", tables.posts, metrics.avg_retweets),

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .phrases import MAX_INLINE, first_needle
+
 
 @dataclass(frozen=True)
 class TopicRules:
@@ -36,7 +38,10 @@ ELECTION_TOPICS = TopicRules(
 
 
 def topic_of(haystack: Column, rules: TopicRules) -> Column:
-    """Topic of an already lower-cased text. Needles match inside words too."""
+    """Topic of an already lower-cased text. Needles match inside words too.
+    Many rules are looked for by one automaton, with the same result."""
+    if len(rules.needles) > MAX_INLINE:
+        return _topic_of_many(haystack, rules)
     routed = None
     for needle, label in rules.needles:
         hit = haystack.contains(needle)
@@ -44,6 +49,12 @@ def topic_of(haystack: Column, rules: TopicRules) -> Column:
     return F.lit(rules.default) if routed is None else routed.otherwise(rules.default)
 
 
+def _topic_of_many(haystack: Column, rules: TopicRules) -> Column:
+    place = first_needle(haystack, [needle for needle, _ in rules.needles])
+    labels = F.lit([label for _, label in rules.needles])
+    return F.coalesce(F.get(labels, place), F.lit(rules.default))
+
+
 def route_topics(
     df: DataFrame,
     rules: TopicRules,

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.phrases import MAX_INLINE, any_phrase
 from ..functions.topics import ELECTION_TOPICS, TopicRules, route_topics
 from ..schema import ORIGINAL, RAW_POST, REPLY, RETWEET
 
@@ -199,7 +200,10 @@ def select_posts(
     found = None
     if phrases := _items(terms):
         searched = F.lower(F.concat_ws(" ", "text", "links", F.array_join("hashtags", " ")))
-        found = searched.rlike(_any_phrase(phrases))
+        if len(phrases) > MAX_INLINE:
+            found = any_phrase(searched, [phrase.lower().split() for phrase in phrases])
+        else:
+            found = searched.rlike(_any_phrase(phrases))
     if ids := _items(users):
         listed = F.col("user_id").isin(*[int(user) for user in ids])
         found = listed if found is None else found | listed
