@@ -26,6 +26,7 @@ SCHEMAS = {
         "value DOUBLE, props STRING"
     ),
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "benchmark": "item_id BIGINT, text STRING",
     "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
 }
 
