@@ -8,7 +8,9 @@ from checks.registry import QUERIES
 from postpulse.operators import metrics
 from postpulse.sources import tables
 
-PLAIN = [name for name in QUERIES if not name.startswith("stream_")]
+# Their feature is an automaton in one Arrow pass.
+AUTOMATON = ("topic_route_many", "source_filter_many")
+PLAIN = [name for name in QUERIES if not name.startswith("stream_") and name not in AUTOMATON]
 
 
 def plan(df) -> str:
@@ -23,6 +25,14 @@ def test_no_python_no_products_no_single_partition(spark, sf_dir, name):
         assert unwanted not in text
 
 
+@pytest.mark.parametrize("name", AUTOMATON)
+def test_one_arrow_pass_without_a_shuffle(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert text.count("ArrowEvalPython") == 1
+    for unwanted in ("Exchange", "Join", "CartesianProduct", "BatchEvalPython", "MapInPandas"):
+        assert unwanted not in text
+
+
 def scan(text: str, table: str) -> str:
     """The table's scan, other than the one that only counts rows."""
     scans = [line for line in text.splitlines() if "FileScan" in line and f"/{table}.parquet" in line]
