@@ -319,6 +319,76 @@ def test_probing_and_scanning_find_the_same():
         assert pairs == {(int(q), int(c)) for q, c in zip(*np.nonzero(apart <= radius))}
 
 
+@pytest.mark.parametrize("hot", [10_000, 20])
+def test_index_of_all_codes_finds_each_pair_once(spark, monkeypatch, hot):
+    """Also where values are shared by a third of all codes, and salted."""
+    monkeypatch.setattr(ann, "HOT_CODES", hot)
+    rng = np.random.default_rng(9)
+    codes = rng.integers(0, 1 << 63, (900, 2), dtype=np.uint64)
+    codes[:300] = codes[0] ^ (np.uint64(1) << rng.integers(0, 63, (300, 2), dtype=np.uint64))
+    codes[300:330] = codes[0]
+    queries = np.concatenate([codes[:3], codes[400:420] ^ np.uint64(5)])
+    shape = "key long, hash long, code binary"
+    index = spark.createDataFrame([(i, -i, bytearray(c.tobytes())) for i, c in enumerate(codes)], shape)
+    asked = spark.createDataFrame([(i, 7, bytearray(c.tobytes())) for i, c in enumerate(queries)], shape)
+    apart = ann.hamming(queries[:, None], codes[None])
+    for width, radius in ((8, 0), (8, 17), (16, 3), (16, 9), (32, 1), (32, 6)):
+        pairs = ann.within_radius_by_index(index, asked, radius, width, 128).collect()
+        assert all(r["hash"] == -r["key"] and r["qhash"] == 7 for r in pairs)
+        expected = sorted((int(q), int(c)) for q, c in zip(*np.nonzero(apart <= radius)))
+        assert sorted((r["qkey"], r["key"]) for r in pairs) == expected
+
+
+def test_radius_is_that_of_true_neighbours(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(700, 12))
+    vectors[5] = vectors[4]
+    coder = ann.learn(vectors[:50], float(np.linalg.norm(vectors, axis=1).max()))
+    codes = coder.codes(vectors, False)
+    rows = [(i, i + 1, bytearray(v.tobytes()), bytearray(c.tobytes())) for i, (v, c) in enumerate(zip(vectors, codes))]
+    index = spark.createDataFrame(rows, "key long, hash long, vec binary, code binary").repartition(5)
+    keys = np.array([(i, i + 1) for i in range(50)])
+    apart = ann._neighbours_apart(index, vectors[:50], keys, coder, 7)
+    near = brute_nearest(dict(enumerate(vectors)), range(50), 7)
+    expected = [ann.hamming(coder.codes(vectors[q : q + 1], True), codes[near[q]]) for q in range(50)]
+    assert sorted(apart) == sorted(np.concatenate(expected))
+    assert not len(ann._neighbours_apart(index.filter("key = 0"), vectors[:1], keys[:1], coder, 7))
+
+
+def test_shares_cover_the_radius():
+    for bits in (8, 40, 128, 256):
+        for width in ann.WIDTHS:
+            for radius in range(bits + 1):
+                # Codes further apart than each share are further apart than the radius.
+                assert sum(share + 1 for share in ann.shares(bits, width, radius)) == radius + 1
+
+
+def test_tight_clusters_are_probed_in_rounds(spark, monkeypatch):
+    """Tight clusters on a sphere use the index; of few members, they need a
+    larger radius. (Vectors of varying lengths have larger radii.)"""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(90, 32))
+    vectors = {i: centres[i % 80] + rng.normal(size=32) * 0.02 for i in range(4000)}
+    vectors |= {4000 + i: centres[80 + i % 10] + rng.normal(size=32) * 0.02 for i in range(41)}
+    vectors = {i: v / np.linalg.norm(v) for i, v in vectors.items()}
+    learned, calibrated = [], ann.calibrated
+    # The cost of a scan, as if there were four times as many vectors.
+    monkeypatch.setattr(ann, "SCAN_COST", 4 * ann.SCAN_COST)
+    monkeypatch.setattr(ann, "calibrated", lambda *given: learned.append(calibrated(*given)) or learned[-1])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+    wanted = [i for i in vectors if i % 100 == 0 or i > 4035]
+    found = defaultdict(list)
+    near = ann.nearest(rows, (F.col("vec_id") % 100 == 0) | (F.col("vec_id") > 4035), k=10)
+    for r in sorted(near.collect(), key=lambda r: r["rank"]):
+        found[r["query_id"]].append(r["vec_id"])
+    radii, widths = zip(*learned[0].rounds)
+    assert len(radii) > 2 and list(radii) == sorted(set(radii))
+    assert set(widths[:-1]) <= set(ann.WIDTHS) and learned[0].rounds[-1] == (learned[0].bits, None)
+    expected = brute_nearest(vectors, wanted, 10)
+    assert all(len(found[q]) == 10 for q in wanted)
+    assert np.mean([len(set(found[q]) & set(expected[q])) / 10 for q in expected]) >= 0.9
+
+
 def test_nearest_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0])] * 2 + [(i, [1.0, 0.0]) for i in range(1, 60)]
