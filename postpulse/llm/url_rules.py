@@ -19,6 +19,7 @@ for itself. Columns of the added names are replaced.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -130,6 +131,12 @@ class Automaton:
         return fits
 
 
+@lru_cache(maxsize=4)
+def automaton_of(globs: tuple[str, ...]) -> Automaton:
+    """Built once in a worker, not for every batch."""
+    return Automaton(list(globs))
+
+
 def canonical(url):
     """Host and path columns of a URL column (see the module's text)."""
     at = F.instr(url, "://")
@@ -149,14 +156,14 @@ def url_filter(
     """Rows with host, path, rule (the longest base rule that fits, or null),
     blocked_by (the first blocking glob that fits, or null) and verdict."""
     ranked = sorted(rules, key=lambda r: (-len(r.name), r.name))
-    globs = [glob for rule in ranked for glob in rule.globs()] + list(blocked)
+    globs = (*(glob for rule in ranked for glob in rule.globs()), *blocked)
     host, path = canonical(F.col(url))
     split = rows.withColumns({"host": host, "path": path})
     whole = free("_url", split)
     split = split.withColumn(whole, F.concat("host", "path"))
 
     def compute(batch: pa.RecordBatch) -> dict[str, object]:
-        automaton = Automaton(globs)
+        automaton = automaton_of(globs)
         data, offsets = flat(batch.column(whole))
         names, bans, verdicts = [], [], []
         for lo, hi in spans_of(offsets):
