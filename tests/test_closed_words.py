@@ -1,0 +1,107 @@
+"""Word counts of streams: state by texts, words counted as windows close."""
+
+import json
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+from helpers import at, make_posts, ms, rows_of
+from test_streaming import LAST, feed, stream
+
+from postpulse.operators import closed_words, metrics
+from postpulse.streaming.stateful import stream_top_of_windows
+from postpulse.streaming.windows import complete, end, event_time, open_ending, run_to_table, state_settings
+
+
+def wordy(n=40, each=50):
+    """Posts of many words, some of them shared, copied, empty or null."""
+    rows = []
+    for i in range(n):
+        text = " ".join(f"w{(i * 7 + j * j) % 400}" for j in range(each)) + " common, Common"
+        text = {5: "", 6: None, 7: "the of", 8: "copy copy", 9: "copy copy"}.get(i % 10, text)
+        rows.append({"ts": at(i * 7 % 290), "topic": "ab"[i % 2] if i % 11 else None, "text": text})
+    return sorted(rows, key=lambda row: row["ts"])
+
+
+@pytest.mark.parametrize("operator", ["count", "ranking"])
+def test_state_has_a_row_for_each_text_and_not_for_each_word(spark, tmp_path, operator):
+    rows = wordy()
+    feed(spark, rows, tmp_path / "feed")
+    posts = complete(stream(spark, tmp_path / "feed"))
+    if operator == "count":
+        found = metrics.word_count(posts, "60 seconds", more_than=0)
+    else:
+        found = stream_top_of_windows(posts, "word", "60 seconds")
+    with state_settings(spark):
+        query = (
+            found.writeStream.format("noop")
+            .option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    progress = [json.loads(p.json) if hasattr(p, "json") else p for p in query.recentProgress]
+    held = max(op["numRowsTotal"] for p in progress for op in p["stateOperators"])
+    assert 0 < held <= len(rows) + 1
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_counts_equal_those_of_a_batch(spark, tmp_path, files):
+    """Copies of a text, null topics and texts, and a last post without a word
+    that is counted: it closes the windows before it."""
+    rows = [*wordy(), {"ts": at(LAST), "topic": "z", "text": "the"}]
+    posts = make_posts(spark, rows)
+    feed(spark, rows, tmp_path / "feed", files)
+    live = event_time(stream(spark, tmp_path / "feed", 1))
+    for more_than in (0, None):
+        counts = metrics.word_count(live, "60 seconds", more_than)
+        streamed = run_to_table(counts, f"closed_{files}")
+        whole = metrics.word_count(posts, "60 seconds", more_than)
+        assert streamed.columns == whole.columns and streamed.dtypes == whole.dtypes
+        key = lambda row: tuple(map(str, row))
+        assert sorted(map(tuple, streamed.collect()), key=key) == sorted(map(tuple, whole.collect()), key=key)
+
+
+def test_windows_by_arrival(spark, tmp_path):
+    """In windows of arrival each count still has the time of its first post."""
+    rows = [{"ts": at(5), "text": "good day"}, {"ts": at(3), "text": "good good"}]
+    posts = feed(spark, rows, tmp_path / "feed")
+    closing = open_ending(posts, str(tmp_path / "closing"))
+    end(spark, closing, posts.schema)
+    live = event_time(stream(spark, tmp_path / "feed"), time_domain="processing", closing=closing)
+    found = run_to_table(metrics.word_count(live, "1 hour", 0), "closed_arrival")
+    assert rows_of(found, "word", "timestamp", "cnt") == [("day", ms(5), 1), ("good", ms(3), 3)]
+
+
+@pytest.mark.parametrize("most", [None, 4, 1 << 20])
+def test_combiner_adds_up(monkeypatch, most):
+    """Held rows are combined now and then; a map task gives out what is too much."""
+    monkeypatch.setattr(closed_words, "STEP", 10)
+    rows = [(i % 3, "ab"[i % 2] if i % 5 else None, f"w{i % 7}", i, i + 1) for i in range(200)]
+    names = [*closed_words.KEYS, "first", "cnt"]
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [pa.array(column, pa.int64() if isinstance(column[0], int) else pa.string()) for column in zip(*part)],
+            schema=pa.schema(
+                [
+                    pa.field(name, pa.string() if name in ("topic", "word") else pa.int64(), nullable=k % 2 == 0 or name == "topic")
+                    for name in names
+                ]
+            ),
+        )
+        for k, part in enumerate(rows[i : i + 8] for i in range(0, 200, 8))
+    ]
+    given = [row for batch in closed_words._combiner(most)(iter(batches)) for row in batch.to_pylist()]
+    uses, first = Counter(), {}
+    for row in given:
+        key = tuple(row[name] for name in closed_words.KEYS)
+        uses[key] += row["cnt"]
+        first[key] = min(first.get(key, row["first"]), row["first"])
+    wanted, earliest = Counter(), {}
+    for *key, at_ms, cnt in rows:
+        wanted[tuple(key)] += cnt
+        earliest.setdefault(tuple(key), at_ms)
+    assert uses == wanted and first == earliest
+    if most != 4:
+        assert len(given) == len(wanted)
+    assert list(closed_words._combiner(most)(iter([]))) == []
