@@ -9,21 +9,25 @@ word, and combined once more.
 
 from __future__ import annotations
 
+import itertools
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import millis
-from ..functions.text import is_counted_word, tokens
+from ..functions.text import STOP_WORDS, tokens
 
 # The combiners travel to the executors whole: no package to install there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 KEYS = ["window_start", "topic", "word"]
+NAMES = [*KEYS, "first", "cnt"]
 COUNTS = "window_start BIGINT, topic STRING, word STRING, first BIGINT, cnt BIGINT"
 # Rows that are combined at a time, and those that a map task holds at most.
 STEP = 1 << 19
@@ -37,17 +41,15 @@ def closed_word_count(posts: DataFrame, window: str, clock: str) -> DataFrame:
     held = posts.groupBy(F.window(clock, window).alias("_window"), "topic", "text").agg(
         F.min("ts").alias("_first"), F.count(F.lit(1)).alias("cnt")
     )
-    # Unlike explode() the outer one puts no filter below the watermark, so
-    # windows also close by posts without words; a null is no counted word.
     words = held.select(
         F.unix_micros("_window.start").alias("window_start"),
         "topic",
-        F.explode_outer(tokens(F.col("text"))).alias("word"),
+        tokens(F.col("text")).alias("words"),
         millis(F.col("_first")).alias("first"),
         "cnt",
-    ).filter(is_counted_word(F.col("word")))
+    )
     tasks = SPREAD * int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = words.mapInArrow(_combiner(STEP), COUNTS).repartition(tasks, *KEYS)
+    dealt = words.mapInArrow(_count_texts, COUNTS).repartition(tasks, *KEYS)
     return dealt.mapInArrow(_combiner(None), COUNTS).select(
         F.timestamp_micros("window_start").alias("window_start"),
         F.col("first").alias("timestamp"),
@@ -57,6 +59,28 @@ def closed_word_count(posts: DataFrame, window: str, clock: str) -> DataFrame:
     )
 
 
+def _count_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _combiner(STEP)(_uses(batches))
+
+
+def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each use of a counted word, of texts as lists of words. No more
+    than about ``STEP`` uses, or one text's, at a time."""
+    ignored = pa.array(sorted(set(STOP_WORDS)))
+    for batch in batches:
+        sizes = pc.fill_null(pc.list_value_length(batch.column("words")), 0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype="int64")
+        cuts = [0, *(np.flatnonzero(np.diff(ends // STEP)) + 1).tolist(), batch.num_rows]
+        for start, end in itertools.pairwise(cuts):
+            part = batch.slice(start, end - start)
+            lists = part.column("words")
+            words, texts = pc.list_flatten(lists), pc.list_parent_indices(lists)
+            counted = pc.invert(pc.is_in(words, value_set=ignored.cast(words.type)))
+            words, texts = words.filter(counted), texts.filter(counted)
+            columns = [words if name == "word" else part.column(name).take(texts) for name in NAMES]
+            yield pa.RecordBatch.from_arrays(columns, names=NAMES)
+
+
 def _combiner(most: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds up a partition's rows of equal keys. With ``most`` a key may come
     several times: what is held is given out when it is more rows than that."""
@@ -84,5 +108,5 @@ def _combiner(most: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 def _combined(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
     grouped = pa.Table.from_batches(batches).group_by(KEYS, use_threads=False)
     found = grouped.aggregate([("first", "min"), ("cnt", "sum")])
-    ordered = found.select([*KEYS, "first_min", "cnt_sum"]).rename_columns([*KEYS, "first", "cnt"])
+    ordered = found.select([*KEYS, "first_min", "cnt_sum"]).rename_columns(NAMES)
     return ordered.to_batches(max_chunksize=1 << 16)

@@ -105,3 +105,22 @@ def test_combiner_adds_up(monkeypatch, most):
     if most != 4:
         assert len(given) == len(wanted)
     assert list(closed_words._combiner(most)(iter([]))) == []
+
+
+def test_uses_of_texts_piece_by_piece(monkeypatch):
+    """Lists of any length, empty or null, over several pieces of a batch."""
+    monkeypatch.setattr(closed_words, "STEP", 5)
+    lists = [["a", "x", ""], None, [], ["y"] * 12, ["the"], ["x", "y", "z"], ["z"] * 4, None]
+    n = len(lists)
+    columns = [list(range(n)), [None, *"bcdefgh"], lists, list(range(100, 100 + n)), [2] * n]
+    names = ["window_start", "topic", "words", "first", "cnt"]
+    batch = pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=names).slice(0)
+    found = [tuple(row.values()) for part in closed_words._uses(iter([batch, batch.slice(3)])) for row in part.to_pylist()]
+    rows = list(zip(*columns))
+    stop = {"a", "", "the"}
+    assert found == [
+        (start, topic, word, first, cnt)
+        for start, topic, words, first, cnt in rows + rows[3:]
+        for word in words or []
+        if word not in stop
+    ]
