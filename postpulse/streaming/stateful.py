@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from decimal import Decimal
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -285,14 +286,32 @@ class Largest(StatefulProcessor):
         pass
 
 
+def _cut_tasks(item: str, n: int):
+    """Cuts each Arrow batch of counts to the largest rows of a window and
+    topic, in the order of ``Largest``: no other row can be among them."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            frame = batch.select(["window_start", "topic", item, "cnt"]).to_pandas()
+            ordered = frame.sort_values(["cnt", item], ascending=[False, True])
+            kept = ordered.groupby(["window_start", "topic"], sort=False, dropna=False).head(n)
+            yield batch.take(pa.array(kept.index.to_numpy()))
+
+    return cut
+
+
 def stream_top_of_windows(posts: DataFrame, item: str, window: str, n: int | None = None) -> DataFrame:
     """``top_of_windows`` of a stream with a watermark: windowed counts, then
     their largest, as the windows close. One task ranks a window's topic; it
-    takes a row for each of its distinct items."""
+    takes up to n rows from each Arrow batch of counts."""
     count, usual = WINDOWED[item]
-    counts = count(posts, window, more_than=0)
-    return counts.groupBy("window_start", "topic").transformWithStateInPandas(
-        Largest(item, usual if n is None else n),
+    n = usual if n is None else n
+    counts = count(posts, window, more_than=0).withColumn("window_start", F.unix_micros("window_start"))
+    candidates = counts.mapInArrow(_cut_tasks(item, n), counts.schema).withColumn(
+        "window_start", F.timestamp_micros("window_start")
+    )
+    return candidates.groupBy("window_start", "topic").transformWithStateInPandas(
+        Largest(item, n),
         f"window_start TIMESTAMP, timestamp BIGINT, {item} STRING, topic STRING, cnt BIGINT",
         outputMode="append",
         timeMode="none",

@@ -9,7 +9,7 @@ from helpers import at, make_posts, ms, rows_of
 from test_streaming import LAST, feed, stream
 
 from postpulse.operators import closed_words, metrics
-from postpulse.streaming.stateful import stream_top_of_windows
+from postpulse.streaming.stateful import _cut_tasks, stream_top_of_windows
 from postpulse.streaming.windows import complete, end, event_time, open_ending, run_to_table, state_settings
 
 
@@ -124,3 +124,15 @@ def test_uses_of_texts_piece_by_piece(monkeypatch):
         for word in words or []
         if word not in stop
     ]
+
+
+def test_ranking_takes_few_rows_of_each_batch():
+    """Only rows that may be among the largest go on; ties by item."""
+    names = ["window_start", "timestamp", "word", "topic", "cnt"]
+    rows = [(i % 2, i, f"w{i:03}", "a" if i % 3 else None, 5 if i < 60 else 9) for i in range(100)]
+    batch = pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows)], names=names)
+    kept = [tuple(row.values()) for part in _cut_tasks("word", 2)(iter([batch])) for row in part.to_pylist()]
+    wanted = []
+    for key in {(row[0], row[3]) for row in rows}:
+        wanted += sorted((row for row in rows if (row[0], row[3]) == key), key=lambda row: (-row[4], row[2]))[:2]
+    assert sorted(kept, key=str) == sorted(wanted, key=str)
