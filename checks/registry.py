@@ -362,9 +362,11 @@ def _stream_cmp(
     live_of: Callable[..., DataFrame],
     texts: bool = False,
     loaded: tuple[list[str], str] | None = None,
+    among: bool = False,
 ) -> Query:
     """A stream's windows against a stored result: stream-static or, given the
-    keys and the value, with the stored result loaded into state."""
+    keys and the value, with the stored result loaded into state. With ``among``
+    the live metric takes the stored result, too: only its keys are compared."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         if texts:
@@ -378,7 +380,7 @@ def _stream_cmp(
             )
             live = tables.posts(spark, sf, rows)
         baseline = stage(stored_of(stored), f"baseline_{metric}")
-        windows = live_of(complete(live))
+        windows = live_of(complete(live), baseline) if among else live_of(complete(live))
         if loaded:
             compared = stream_difference(windows, baseline, *loaded)
         else:
@@ -525,7 +527,9 @@ QUERIES: dict[str, Query] = {
         "hashtag", topn.top_hashtags, lambda live: metrics.hashtag_count(live, DAY, more_than=0)
     ),
     "stream_cmp_word": _stream_cmp(
-        "word", topn.top_words, lambda live: metrics.word_count(live, HOUR, more_than=0), texts=True
+        "word", topn.top_words,
+        lambda live, words: metrics.word_count(live, HOUR, more_than=0, among=words),
+        texts=True, among=True,
     ),
     "stream_loaded_avg_retweets": _stream_cmp(
         "avg_retweets", metrics.avg_retweets, lambda live: metrics.avg_retweets(live, DAY),

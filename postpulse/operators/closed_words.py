@@ -4,7 +4,8 @@ A windowed aggregation holds the texts of the open windows, a row for each
 distinct text; that is all the state. One watermark closes a window, so its
 texts come out in one micro-batch, and their words are counted there and then:
 combined by the tasks that give out the texts, dealt out by window, topic and
-word, and combined once more.
+word, and combined once more. Where only listed words are asked for, the uses of
+others are dropped as they leave their texts, before anything is combined.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import millis
-from ..functions.text import STOP_WORDS, tokens
+from ..functions.text import STOP_WORDS, is_counted_word, tokens
 
 # The combiners travel to the executors whole: no package to install there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -35,21 +36,26 @@ STEP = 1 << 19
 SPREAD = 4
 
 
-def closed_word_count(posts: DataFrame, window: str, clock: str) -> DataFrame:
+def closed_word_count(
+    posts: DataFrame, window: str, clock: str, among: DataFrame | None = None
+) -> DataFrame:
     """(window_start, timestamp, word, topic, cnt) of a stream with a watermark
-    on ``clock``: all word uses of each window, as it closes."""
+    on ``clock``: all word uses of each window, as it closes, or those of the
+    words that ``among`` lists for their topic."""
     held = posts.groupBy(F.window(clock, window).alias("_window"), "topic", "text").agg(
         F.min("ts").alias("_first"), F.count(F.lit(1)).alias("cnt")
     )
-    words = held.select(
-        F.unix_micros("_window.start").alias("window_start"),
-        "topic",
-        tokens(F.col("text")).alias("words"),
-        millis(F.col("_first")).alias("first"),
-        "cnt",
-    )
+    start, first = F.unix_micros("_window.start"), millis(F.col("_first"))
+    words = tokens(F.col("text"))
+    lead, rest = [start.alias("window_start"), "topic"], [first.alias("first"), "cnt"]
+    if among is None:
+        counted = held.select(*lead, words.alias("words"), *rest).mapInArrow(_count_texts, COUNTS)
+    else:
+        uses = held.select(*lead, F.explode(words).alias("word"), *rest)
+        uses = listed(uses.filter(is_counted_word(F.col("word"))), among)
+        counted = uses.mapInArrow(_combiner(STEP), COUNTS)
     tasks = SPREAD * int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = words.mapInArrow(_count_texts, COUNTS).repartition(tasks, *KEYS)
+    dealt = counted.repartition(tasks, *KEYS)
     return dealt.mapInArrow(_combiner(None), COUNTS).select(
         F.timestamp_micros("window_start").alias("window_start"),
         F.col("first").alias("timestamp"),
@@ -59,6 +65,15 @@ def closed_word_count(posts: DataFrame, window: str, clock: str) -> DataFrame:
     )
 
 
+def listed(uses: DataFrame, among: DataFrame) -> DataFrame:
+    """Uses of the words that ``among`` lists for their topic. Nulls are equal:
+    plain equality filters null topics, which Spark would move below the
+    watermark, so that their posts would no longer close windows."""
+    keys = among.select(F.col("word").alias("_word"), F.col("topic").alias("_topic"))
+    same = F.col("word").eqNullSafe(F.col("_word")) & F.col("topic").eqNullSafe(F.col("_topic"))
+    return uses.join(keys, same, "left_semi")
+
+
 def _count_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _combiner(STEP)(_uses(batches))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import millis, truncated_mean
 from ..functions.text import hashtag, is_counted_word, source_apps, tokens, utf16_length
 from ..schema import ARRIVAL, ORIGINAL, RETWEET
-from .closed_words import closed_word_count
+from .closed_words import closed_word_count, listed
 from .sentiment import MAX_INLINE_WORDS, sentiment_by_join, stream_sentiment_by_join, with_sentiment
 
 WINDOW = "60 seconds"
@@ -212,16 +212,25 @@ def hashtag_count(posts: DataFrame, window: str | None = None, more_than: int =
     return count_by(tags, window, ["hashtag", "topic"]).filter(F.col("cnt") > more_than)
 
 
-def word_count(posts: DataFrame, window: str | None = None, more_than: int | None = None) -> DataFrame:
+def word_count(
+    posts: DataFrame,
+    window: str | None = None,
+    more_than: int | None = None,
+    among: DataFrame | None = None,
+) -> DataFrame:
     """Word uses per topic. Rare words are left out: above 10 uses over a whole
     input, above 1 per window, unless another threshold is given. A stream
-    holds the texts of its open windows and counts their words at the close."""
+    holds the texts of its open windows and counts their words at the close.
+    ``among`` lists (word, topic): only their uses are counted."""
     if more_than is None:
         more_than = 10 if window is None else 1
     if posts.isStreaming and window is not None:
-        return closed_word_count(posts, window, _times(posts)[-1]).filter(F.col("cnt") > more_than)
+        counts = closed_word_count(posts, window, _times(posts)[-1], among)
+        return counts.filter(F.col("cnt") > more_than)
     words = posts.select(*_times(posts), "topic", F.explode(tokens(F.col("text"))).alias("word"))
     words = words.filter(is_counted_word(F.col("word")))
+    if among is not None:
+        words = listed(words, among)
     return count_by(words, window, ["word", "topic"]).filter(F.col("cnt") > more_than)
 
 

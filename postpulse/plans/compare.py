@@ -67,7 +67,7 @@ def compared(
             [output("hashtag", compare.compare_hashtag)],
         ),
         "compare_word": (
-            metrics.word_count(posts, window, more_than=0),
+            metrics.word_count(posts, window, more_than=0, among=base["word"]),
             [output("word", compare.compare_word)],
         ),
     }

@@ -8,7 +8,8 @@ import pytest
 from helpers import at, make_posts, ms, rows_of
 from test_streaming import LAST, feed, stream
 
-from postpulse.operators import closed_words, metrics
+from checks import registry
+from postpulse.operators import closed_words, compare, metrics
 from postpulse.streaming.stateful import _cut_tasks, stream_top_of_windows
 from postpulse.streaming.windows import complete, end, event_time, open_ending, run_to_table, state_settings
 
@@ -73,6 +74,39 @@ def test_windows_by_arrival(spark, tmp_path):
     assert rows_of(found, "word", "timestamp", "cnt") == [("day", ms(5), 1), ("good", ms(3), 3)]
 
 
+@pytest.mark.parametrize("files", [1, 4])
+def test_listed_words_are_those_of_all_counts(spark, tmp_path, files):
+    """Only listed words are counted: by topic, each use once however often its
+    word is listed. The last post, of no topic and text, still closes windows."""
+    rows = [*wordy(), {"ts": at(LAST), "topic": None, "text": None}]
+    posts = make_posts(spark, rows)
+    feed(spark, rows, tmp_path / "feed", files)
+    live = event_time(stream(spark, tmp_path / "feed", 1))
+    pairs = [("w7", "a"), ("w7", "a"), ("copy", "b"), ("common", None), ("the", "a"), ("none", "b"), (None, "a")]
+    among = spark.createDataFrame(pairs, "word STRING, topic STRING")
+    counts = metrics.word_count(live, "60 seconds", 0, among)
+    streamed = run_to_table(counts, f"listed_{files}")
+    whole = metrics.word_count(posts, "60 seconds", more_than=0)
+    assert streamed.columns == whole.columns and streamed.dtypes == whole.dtypes
+    key = lambda row: tuple(map(str, row))
+    wanted = sorted((tuple(row) for row in whole.collect() if (row.word, row.topic) in pairs), key=key)
+    assert {row[2] for row in wanted} == {"w7", "copy", "common"}
+    assert sorted(map(tuple, streamed.collect()), key=key) == wanted
+    assert sorted(map(tuple, metrics.word_count(posts, "60 seconds", 0, among).collect()), key=key) == wanted
+    compared = run_to_table(compare.compare_word(metrics.word_count(live, "60 seconds", 0, among), among), f"cmp_{files}")
+    assert sorted(map(tuple, compared.collect()), key=key) == [row for row in wanted if row[3] is not None]
+
+
+def test_compared_words_are_dropped_before_they_are_dealt_out(spark, sf_dir, monkeypatch):
+    """The stored words are joined to the uses, not only to the counts."""
+    given = []
+    monkeypatch.setattr(registry, "run_to_table", lambda rows, label: given.append(rows) or rows)
+    registry.QUERIES["stream_cmp_word"](spark, sf_dir)
+    text = given[0]._jdf.queryExecution().analyzed().toString()
+    assert text.index("LeftSemi") < text.index("MapInArrow")
+    assert text.rindex("LeftSemi") > text.rindex("MapInArrow") > text.rindex("RepartitionByExpression")
+
+
 @pytest.mark.parametrize("most", [None, 4, 1 << 20])
 def test_combiner_adds_up(monkeypatch, most):
     """Held rows are combined now and then; a map task gives out what is too much."""
